@@ -1,10 +1,9 @@
-from .random import exponential_race, open_uniform, uniform
+from .random import exponential_race, uniform
 from .vector import dim_of, sq_dist, tag_dim, vector_literal
 
 __all__ = [
     "dim_of",
     "exponential_race",
-    "open_uniform",
     "sq_dist",
     "tag_dim",
     "uniform",

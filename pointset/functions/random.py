@@ -4,6 +4,8 @@
 executor could draw other rows.  Every draw here is a pure function of
 ``(seed, tag, row id)`` instead: it repeats under any partitioning and can be
 written in any SQL dialect that has md5.
+
+Keys and weights are given as SQL text, a column name in the simplest case.
 """
 
 from __future__ import annotations
@@ -13,29 +15,27 @@ from pyspark.sql import functions as F
 
 # 13 hex digits are 52 bits, which a double holds exactly.
 HEX_DIGITS = 13
-SCALE = 4503599627370496.0
+SCALE = "4503599627370496D"
 
 
-def _bits(seed: int, tag: str, key: Column) -> Column:
-    text = F.concat(F.lit(f"{seed}|{tag}|"), key.cast("string"))
-    digest = F.md5(text.cast("binary"))
-    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("double")
+def _bits(seed: int, tag: str, key: str) -> str:
+    text = f"concat('{int(seed)}|{tag}|', cast({key} as string))"
+    return f"cast(conv(substring(md5(cast({text} as binary)), 1, {HEX_DIGITS}), 16, 10) as double)"
 
 
-def uniform(seed: int, tag: str, key: Column) -> Column:
-    """Uniform number in [0, 1) for the row with this key."""
-    return _bits(seed, tag, key) / F.lit(SCALE)
+def uniform_sql(seed: int, tag: str, key: str) -> str:
+    return f"({_bits(seed, tag, key)} / {SCALE})"
 
 
-def open_uniform(seed: int, tag: str, key: Column) -> Column:
-    """Uniform number in (0, 1), safe to take the logarithm of."""
-    return (_bits(seed, tag, key) + F.lit(0.5)) / F.lit(SCALE)
+def uniform(seed: int, tag: str, key: str = "id") -> Column:
+    """Uniform number in [0, 1) for the row with this key."""
+    return F.expr(uniform_sql(seed, tag, key))
 
 
-def exponential_race(seed: int, tag: str, key: Column, weight: Column) -> Column:
+def exponential_race(seed: int, tag: str, key: str, weight: str) -> Column:
     """Arrival time of the row; the earliest arrival wins with odds ``weight``.
 
     The minimum over all rows is therefore one weighted draw, and a minimum
-    needs no shuffle of rows.
+    needs no shuffle of rows.  Half a step keeps the logarithm finite.
     """
-    return -F.log(open_uniform(seed, tag, key)) / weight
+    return F.expr(f"-ln(({_bits(seed, tag, key)} + 0.5D) / {SCALE}) / ({weight})")

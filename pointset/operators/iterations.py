@@ -72,14 +72,14 @@ def lloyd(
     """
     log = log or RunLog()
     policy = Cache(cache)
-    base = policy.hold(pts.select("x", *([weight] if weight else [])))
+    base = policy.hold_once(pts, pts.select("x", *([weight] if weight else [])))
     with log.timed("lloyd"):
         small = local_centroids(cents)
         if small is None:
             result = _lloyd_as_tables(base, cents, max_iter, tol, weight, log)
         else:
             result = _lloyd_small(base, *small, max_iter, tol, weight, log)
-    policy.release(base if policy.keeps else None)
+    policy.release_once(pts, base)
     return result
 
 

@@ -6,13 +6,18 @@ vectors, which of a bounded block of centroids is nearest.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Kernels travel to the workers whole, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Cells of a distance matrix held at once (doubles).
 MATRIX_CELLS = 2_000_000
 
@@ -83,6 +88,12 @@ def _matches(ids: np.ndarray, d2: np.ndarray) -> pa.StructArray:
     return pa.StructArray.from_arrays([pa.array(ids.astype(np.int32)), pa.array(d2)], names=["cid", "d2"])
 
 
+def _match_udf(run: Callable):
+    # Declared non-deterministic because the optimizer copies deterministic
+    # functions into pushed-down filters, which runs the kernel twice per row.
+    return F.arrow_udf(run, MATCH).asNondeterministic()
+
+
 def nearest_column(x: Column, ids: np.ndarray, c: np.ndarray) -> Column:
     """Struct column ``(cid, d2)`` of the nearest centroid.
 
@@ -97,7 +108,7 @@ def nearest_column(x: Column, ids: np.ndarray, c: np.ndarray) -> Column:
         where, d2 = nearest(pts, c)
         return _matches(ids[where], d2)
 
-    return F.arrow_udf(run, MATCH)(x)
+    return _match_udf(run)(x)
 
 
 def nearest_other_column(x: Column, own: Column, ids: np.ndarray, c: np.ndarray) -> Column:
@@ -115,7 +126,7 @@ def nearest_other_column(x: Column, own: Column, ids: np.ndarray, c: np.ndarray)
         where, d2 = nearest(pts, c, skip=slot)
         return _matches(ids[where], d2)
 
-    return F.arrow_udf(run, MATCH)(x, own)
+    return _match_udf(run)(x, own)
 
 
 def lower_column(x: Column, cid: Column, d2: Column, ids: np.ndarray, c: np.ndarray, rank: np.ndarray | None) -> Column:
@@ -135,7 +146,7 @@ def lower_column(x: Column, cid: Column, d2: Column, ids: np.ndarray, c: np.ndar
         better = (found < known) | ((found == known) & before)
         return _matches(np.where(better, new, old), np.where(better, found, known))
 
-    return F.arrow_udf(run, MATCH)(x, cid, d2)
+    return _match_udf(run)(x, cid, d2)
 
 
 def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) -> Callable:

@@ -53,7 +53,9 @@ def rescaled(x: Column, lo: np.ndarray, hi: np.ndarray, keep: np.ndarray) -> Col
         return F.array().cast("array<double>")
     if len(keep) <= UNROLL_LIMIT:
         return F.array(*[(x[int(j)] - F.lit(float(lo[j]))) / F.lit(float(hi[j] - lo[j])) for j in keep])
-    kept = F.transform(F.array(*[F.lit(int(j)) for j in keep]), lambda j: x[j])
+    kept = x
+    if len(keep) < len(lo):
+        kept = F.transform(F.array(*[F.lit(int(j)) for j in keep]), lambda j: x[j])
     shifted = F.zip_with(kept, vector_literal(lo[keep]), lambda v, m: v - m)
     return F.zip_with(shifted, vector_literal((hi - lo)[keep]), lambda v, r: v / r)
 
@@ -75,7 +77,7 @@ def dense_index(values: DataFrame, by: str, name: str) -> DataFrame:
 
 def range_index(values: DataFrame, by: str, name: str, ranges: int = RANGES) -> DataFrame:
     spark = values.sparkSession
-    draw = uniform(0, "range", F.xxhash64(by))
+    draw = uniform(0, "range", f"xxhash64({by})")
     cuts = [row[0] for row in values.orderBy(draw, by).limit(ranges - 1).select(by).collect()]
     bounds = F.sort_array(F.array(*[F.lit(c) for c in cuts])) if cuts else F.array().cast(values.schema[by].dataType)
     ranged = values.withColumn("_range", F.size(F.filter(bounds, lambda c: c < F.col(by))))

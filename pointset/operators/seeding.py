@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import dim_of, exponential_race, tag_dim, uniform
+from ..functions import exponential_race, tag_dim, uniform
+from ..functions.random import uniform_sql
 from ..sources.durable import SMALL_BYTES, SMALL_ROWS, Cache, discard, materialize
 from ..sources.points import TOP_N_LIMIT, subset
 from ..sources.runlog import RunLog
@@ -27,7 +28,7 @@ def init_from_set(pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None
     timer = log or RunLog()
     with timer.timed("init"):
         drawn = subset(pts.select("id", "x"), k, seed, tag="init")
-        named = drawn.withColumn("u", uniform(seed, "init", F.col("id")))
+        named = drawn.withColumn("u", uniform(seed, "init"))
         if k > TOP_N_LIMIT:
             order = named.select(F.struct("u", "id").alias("o"), F.col("x").alias("c"))
             return dense_index(materialize(order, "init"), "o", "cid").select("cid", "c")
@@ -41,8 +42,7 @@ def init_from_set(pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None
 
 def init_from_space(spark: SparkSession, k: int, dim: int, seed: int = 12345) -> DataFrame:
     """``k`` points drawn uniformly from the unit cube of ``dim`` dimensions."""
-    place = F.sequence(F.lit(0), F.lit(dim - 1))
-    draw = F.transform(place, lambda j: uniform(seed, "space", F.col("id") * F.lit(dim) + j))
+    draw = F.expr(f"transform(sequence(0, {dim - 1}), j -> {uniform_sql(seed, 'space', f'id * {dim} + j')})")
     return spark.range(k).select(F.col("id").cast("int").alias("cid"), tag_dim(draw, "c", dim))
 
 
@@ -53,7 +53,7 @@ def rounds(psi: float) -> int:
 
 def oversample(pts: DataFrame, l: float, psi: float, seed: int, round: int) -> DataFrame:
     """Keep each point with probability ``min(1, l * d2 / psi)``."""
-    return pts.where(uniform(seed, str(round), F.col("id")) < F.lit(float(l)) * F.col("d2") / F.lit(float(psi)))
+    return pts.where(uniform(seed, str(round)) < F.lit(float(l)) * F.col("d2") / F.lit(float(psi)))
 
 
 def extend(cents: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -85,20 +85,21 @@ def seed_plus_plus(
     coincide with a centroid.
     """
     spark, mass = pts.sparkSession, F.col(weight) if weight else F.lit(1.0)
-    base = pts.select("id", "x", mass.cast("double").alias("w")).where(F.col("w") > 0)
-    state = NearestState(base, Cache(cache))
-    frame, odds, chosen = base, F.col("w"), []
+    policy = Cache(cache)
+    base = policy.hold_once(pts, pts.select("id", "x", mass.cast("double").alias("w")).where(F.col("w") > 0))
+    state = NearestState(base, policy)
+    frame, odds, chosen = base, "w", []
     for j in range(k):
-        race = exponential_race(seed, f"pp{j}", F.col("id"), F.col("odds"))
-        runners = frame.withColumn("odds", odds).where(F.col("odds") > 0)
-        winner = runners.agg(F.min(F.struct(race.alias("t"), "id", "x")).alias("m")).head().m
+        race = exponential_race(seed, f"pp{j}", "id", odds).alias("t")
+        winner = frame.where(f"{odds} > 0").agg(F.min(F.struct(race, "id", "x")).alias("m")).head().m
         state.settled()
         if winner is None:
             break
         chosen.append(np.array(winner.x, dtype=float))
         if j + 1 < k:
-            frame, odds = state.add(chosen[-1][None, :]), F.col("w") * F.col("d2")
+            frame, odds = state.add(chosen[-1][None, :]), "w * d2"
     state.close()
+    policy.release_once(pts, base)
     if not chosen:
         raise ValueError("no point has a positive weight")
     return centroid_table(spark, range(len(chosen)), np.array(chosen))
@@ -155,18 +156,19 @@ def oversampled_candidates(
     """Weighted distinct candidates ``(cid, c, w)``; ``None`` if the first cost is 0."""
     log = log or RunLog()
     spark = pts.sparkSession
-    base = pts.select("id", "x")
+    policy = Cache(cache)
+    base = policy.hold_once(pts, pts.select("id", "x"))
     first = local_centroids(init_from_set(base, 1, seed))[1]
     dim = first.shape[1]
     if COST_DROP * l * (dim + 4) * 8 > SMALL_BYTES or COST_DROP * l > SMALL_ROWS:
         return _candidates_as_tables(base, centroid_table(spark, [0], first), l, seed, log, max_rounds)
 
-    state = NearestState(base, Cache(cache))
+    state = NearestState(base, policy)
     frame = state.add(first)
     psi, drawn = _cost_and_draw(frame, None, l, seed, 0)
     log.add("init", "CostInit", psi, 0)
     if psi == 0:
-        state.close()
+        policy.release_once(pts, base)
         return None
     n_rounds = rounds(psi) if max_rounds is None else min(max_rounds, rounds(psi))
     for r in range(n_rounds):
@@ -185,6 +187,7 @@ def oversampled_candidates(
     # `rank` numbers the distinct candidates in vector order, so equal ones merge.
     counts = {row.cid: row.n for row in cluster_sizes(frame).collect()}
     state.close()
+    policy.release_once(pts, base)
     distinct = np.unique(state.centres, axis=0)
     weights = np.zeros(len(distinct))
     for cid, n in counts.items():
@@ -195,7 +198,7 @@ def oversampled_candidates(
 
 
 def _hit(frame: DataFrame, l: float, psi: float, seed: int, r: int):
-    u = uniform(seed, str(r), F.col("id"))
+    u = uniform(seed, str(r))
     hit = u < F.lit(l) * F.col("d2") / F.lit(psi)
     return F.when(hit, F.struct("id", u.alias("u"), "d2", "x"))
 

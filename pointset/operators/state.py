@@ -9,69 +9,81 @@ from pyspark.sql import functions as F
 from ..sources.durable import Cache, discard, materialize
 from . import kernels
 
-# Generations chained before the state is written out and the lineage cut.
-CHECKPOINT_EVERY = 8
+# Cells (centres x dimensions) compared anew in each pass before the result is
+# kept as a generation.  Below this, comparing again costs less per point than
+# storing and reading the point once more.
+FOLD_CELLS = 16_384
+# Generations chained before one is written out and the lineage cut.
+CHECKPOINT_EVERY = 4
 
 
 class NearestState:
     """Keeps ``cid`` (order of arrival) and ``d2`` up to date as centres are added.
 
-    With caching, a point is compared with the new centres only and the previous
-    generation is the starting point.  Without caching, one pass over the base
-    table compares with all centres; nothing is chained.
+    A pass compares the points of the latest generation with the centres that
+    came after it.  The first generation is the base table itself.  Without
+    caching it stays the only one and nothing is chained.
     """
 
-    def __init__(self, pts: DataFrame, cache: Cache, checkpoint_every: int = CHECKPOINT_EVERY):
+    def __init__(self, pts: DataFrame, cache: Cache, fold_cells: int = FOLD_CELLS, checkpoint_every: int = CHECKPOINT_EVERY):
         self.base = pts
         self.cache = cache
+        self.fold_cells = fold_cells
         self.checkpoint_every = checkpoint_every
         self.centres: np.ndarray | None = None
+        self.rank: np.ndarray | None = None
         self.df: DataFrame | None = None
-        self._held: list[DataFrame] = []
-        self._written: DataFrame | None = None
+        self._generation: DataFrame | None = None
+        self._folded = 0
         self._chained = 0
-
-    @property
-    def rank(self) -> np.ndarray:
-        """Position of each centre among the distinct ones in vector order."""
-        return np.unique(self.centres, axis=0, return_inverse=True)[1].reshape(-1)
+        self._held: list[DataFrame] = []
+        self._written: list[DataFrame] = []
 
     def add(self, new: np.ndarray) -> DataFrame:
-        first = 0 if self.centres is None else len(self.centres)
+        known = 0 if self.centres is None else len(self.centres)
+        if self.cache.keeps and (known - self._folded) * new.shape[1] > self.fold_cells:
+            self._fold(known)
         self.centres = new if self.centres is None else np.vstack([self.centres, new])
-        columns = self.base.columns
-        if self.df is None or not self.cache.keeps:
-            order = np.argsort(self.rank, kind="stable")
-            found = kernels.nearest_column(F.col("x"), order, self.centres[order])
-            source = self.base
+        # Place of each centre among the distinct ones in vector order: settles
+        # ties, so that ids can be replaced by these places in the end.
+        self.rank = np.unique(self.centres, axis=0, return_inverse=True)[1].reshape(-1)
+        ids = np.arange(self._folded, len(self.centres))
+        ids = ids[np.argsort(self.rank[ids], kind="stable")]
+        x, block = F.col("x"), self.centres[ids]
+        if self._generation is None:
+            source, found = self.base, kernels.nearest_column(x, ids, block)
         else:
-            ids = np.arange(first, len(self.centres))
-            order = np.argsort(self.rank[ids], kind="stable")
-            source = self._cut() if self._chained >= self.checkpoint_every else self.df
-            found = kernels.lower_column(
-                F.col("x"), F.col("cid"), F.col("d2"), ids[order], new[order], self.rank
-            )
+            source = self._generation
+            found = kernels.lower_column(x, F.col("cid"), F.col("d2"), ids, block, self.rank)
+        columns = self.base.columns
         matched = source.select(*columns, found.alias("_m"))
         self.df = matched.select(*columns, F.col("_m.cid").alias("cid"), F.col("_m.d2").alias("d2"))
-        if self.cache.keeps:
-            self._held.append(self.cache.hold(self.df))
-            self._chained += 1
         return self.df
 
-    def settled(self) -> None:
-        """To be called once the current generation has been computed."""
-        while len(self._held) > 1 and self.cache.mode == "unpersist":
-            self.cache.release(self._held.pop(0))
+    def _fold(self, known: int) -> None:
+        """Make the current state the generation that later passes start from."""
+        self._chained += 1
+        if self._chained % self.checkpoint_every == 0:
+            self._generation = materialize(self.df, "state")
+            self._written.append(self._generation)
+        else:
+            self._generation = self.cache.hold(self.df)
+            self._held.append(self._generation)
+        self._folded = known
 
-    def _cut(self) -> DataFrame:
-        previous, self._written = self._written, materialize(self.df, "state")
-        if previous is not None and self.cache.mode == "unpersist":
-            discard(previous)
-        self._chained = 0
-        return self._written
+    def settled(self) -> None:
+        """To be called once the current state has been computed."""
+        if self.cache.mode == "unpersist":
+            self._forget(self._generation)
 
     def close(self) -> None:
-        for df in self._held:
-            self.cache.release(df)
-        if self._written is not None and self.cache.mode == "unpersist":
-            discard(self._written)
+        if self.cache.mode == "unpersist":
+            self._forget(None)
+
+    def _forget(self, latest: DataFrame | None) -> None:
+        for df in [d for d in self._held if d is not latest]:
+            df.unpersist()
+            self._held.remove(df)
+        for df in [d for d in self._written if d is not latest]:
+            discard(df)
+            self._written.remove(df)

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dim_of, tag_dim
+from ..functions import dim_of
 from ..operators.iterations import lloyd
 from ..operators.nearest import assign
-from ..operators.prepare import numeric_columns, rescaled
+from ..operators.prepare import minmax_rescale, numeric_columns
+from ..operators.profile import true_k
 from ..operators.seeding import init_from_set, init_from_space, init_parallel
-from ..operators.vectors import vector_aggregate
 from ..sources.durable import Cache
 from ..sources.points import to_points, with_partitions
 from ..sources.runlog import RunLog
 
 INITS = ("parallel", "naive", "space")
+# Inputs of at most this many rows per core are spread evenly before they are kept,
+# in tasks of at least MIN_ROWS_PER_TASK rows.
+MAX_ROWS_PER_CORE = 250_000
+MIN_ROWS_PER_TASK = 20_000
 
 
 @dataclass
@@ -46,22 +49,26 @@ def numeric_points(df: DataFrame, id: str | Column, label: str, features: list[s
 
 
 def prepare(pts: DataFrame, rescale: bool = True) -> tuple[DataFrame, int]:
-    """Rescaled points and the number of labels, from one scan."""
-    dim = dim_of(pts)
-    per_label = vector_aggregate(pts, ["y"], "x", dim, {"lo": "min", "hi": "max"})
-    packed = vector_aggregate(
-        per_label.withColumn("both", F.concat("lo", "hi")).select("y", "both"),
-        [],
-        "both",
-        2 * dim,
-        {"lo": "min", "hi": "max"},
-        {"k": F.count("y")},
-    ).head()
-    lo, hi = np.array(packed.lo[:dim], dtype=float), np.array(packed.hi[dim:], dtype=float)
-    if not rescale:
-        return pts, packed.k
-    keep = np.flatnonzero(lo < hi)
-    return pts.withColumn("x", tag_dim(rescaled(F.col("x"), lo, hi, keep), "x", len(keep))), packed.k
+    """Rescaled points and the number of labels."""
+    labels = true_k(pts).head().k
+    return (minmax_rescale(pts) if rescale else pts), labels
+
+
+def spread(pts: DataFrame, partitions: int | None, policy: Cache) -> DataFrame:
+    """Points in ``partitions`` partitions.
+
+    By default they stay where the scan put them, unless the points are kept for
+    many passes and are so few that the scan may have left cores idle.
+    """
+    if partitions:
+        return with_partitions(pts, partitions)
+    if not policy.keeps:
+        return pts
+    cores = pts.sparkSession.sparkContext.defaultParallelism
+    n = pts.count()
+    if MIN_ROWS_PER_TASK * 2 <= n <= cores * MAX_ROWS_PER_CORE:
+        return with_partitions(pts, min(cores, n // MIN_ROWS_PER_TASK))
+    return pts
 
 
 def cluster(
@@ -83,13 +90,12 @@ def cluster(
     """
     if init not in INITS:
         raise ValueError(f"init must be one of {INITS}, not {init!r}")
-    spread = with_partitions(pts, partitions) if partitions else pts
     log = RunLog(run_id, init, cache, partitions or 0)
     policy = Cache(cache)
     with log.timed("total"):
         with log.timed("pre"):
-            ready, labels = prepare(spread, rescale)
-            ready = policy.hold(ready)
+            ready, labels = prepare(pts, rescale)
+            ready = policy.hold(spread(ready, partitions, policy))
         k = labels if k is None else k
         if init == "parallel":
             start = init_parallel(ready, k, l, seed, log, cache)

@@ -36,7 +36,7 @@ def sq(a: str, b: str) -> str:
 
 
 def r6(value: str, name: str) -> str:
-    return f"round({value}, 6) + 0.0 AS {name}"
+    return f"round(({value}) * 1e6::DOUBLE) / 1e6::DOUBLE + 0.0 AS {name}"
 
 
 class Script:

@@ -81,10 +81,23 @@ class Cache:
     def hold(self, df: DataFrame) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keeps else df
 
-    def release(self, df: DataFrame | None) -> None:
-        if df is not None and self.mode == "unpersist":
+    def release(self, df: DataFrame) -> None:
+        if self.mode == "unpersist":
             df.unpersist()
 
+    def hold_once(self, source: DataFrame, df: DataFrame) -> DataFrame:
+        """Keep ``df``, which selects from ``source``, unless ``source`` is kept already."""
+        return df if _is_kept(source) else self.hold(df)
+
+    def release_once(self, source: DataFrame, df: DataFrame) -> None:
+        if not _is_kept(source):
+            self.release(df)
+
+
+def _is_kept(df: DataFrame) -> bool:
+    level = df.storageLevel
+    return level.useMemory or level.useDisk
+
 
 def fetch_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> pa.Table | None:
     """The table as Arrow data if it is within the bounds, else ``None``.

@@ -65,7 +65,7 @@ def _pack(columns: list[str]) -> Column:
 
 def shuffle(df: DataFrame, seed: int, id: str = "id", tag: str = "shuffle") -> DataFrame:
     """All rows in a random order that only depends on the seed and the ids."""
-    return df.orderBy(uniform(seed, tag, F.col(id)), F.col(id))
+    return df.orderBy(uniform(seed, tag, id), F.col(id))
 
 
 def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle") -> DataFrame:
@@ -75,22 +75,23 @@ def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle
     task into one; there the n-th smallest key is located first, with two scans
     of the ids alone, and the subset becomes a plain filter without any shuffle.
     """
-    u = uniform(seed, tag, F.col(id))
+    u = uniform(seed, tag, id)
     if n <= TOP_N_LIMIT:
         return df.orderBy(u, F.col(id)).limit(n)
-    keys = df.select(F.col(id).alias("id"), u.alias("u"))
     total = df.count()
     if n >= total:
         return df
+    keys = df.select(F.col(id).alias("id"), u.alias("u"))
     # All n smallest keys lie below `top` unless the draw is many sigma off;
     # the count decides, and doubling `top` mends it.
-    top = min(1.0, (n + 8 * math.sqrt(n)) / total)
-    while keys.where(F.col("u") < top).count() < n:
-        top *= 2
-    inside, need, low, width = keys.where(F.col("u") < top), n, 0.0, top / HISTOGRAM_BINS
+    top, low, need, inside = min(1.0, (n + 8 * math.sqrt(n)) / total), 0.0, n, keys
     while True:
-        bin_no = F.floor((F.col("u") - low) / width)
+        width = (top - low) / HISTOGRAM_BINS
+        bin_no = F.least(F.floor((F.col("u") - low) / width), F.lit(HISTOGRAM_BINS))
         counts = inside.groupBy(bin_no.alias("b")).count().orderBy("b").collect()
+        if inside is keys and sum(row["count"] for row in counts if row.b < HISTOGRAM_BINS) < n:
+            top *= 2
+            continue
         for row in counts:
             if need <= row["count"]:
                 break
@@ -98,9 +99,9 @@ def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle
         inside = inside.where(bin_no == row.b)
         if row["count"] <= TOP_N_LIMIT or width < 1e-15:
             break
-        low, width = low + row.b * width, width / HISTOGRAM_BINS
+        low, top = low + row.b * width, low + (row.b + 1) * width
     last = inside.orderBy("u", "id").limit(need).agg(F.max(F.struct("u", "id")).alias("m")).head().m
-    return df.where((u < last.u) | ((u == last.u) & (F.col(id) <= F.lit(last.id))))
+    return df.where(F.struct(u.alias("u"), F.col(id).alias("id")) <= F.struct(F.lit(last.u).alias("u"), F.lit(last.id).alias("id")))
 
 
 def with_partitions(df: DataFrame, n: int | None = None) -> DataFrame:
