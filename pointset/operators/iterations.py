@@ -27,9 +27,10 @@ def step_sums(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None
     most one row per task, centroid and chunk.
     """
     mass = [F.col(weight).cast("double").alias("w")] if weight else []
-    run = kernels.partial_sums(ids, c, CHUNK, weight is not None)
+    chunk = min(CHUNK, c.shape[1])
+    run = kernels.partial_sums(ids, c, chunk, weight is not None)
     partial = pts.select("x", *mass).mapInArrow(run, kernels.PARTIAL_SUMS)
-    sums = ", ".join(f"sum(s[{j}])" for j in range(CHUNK))
+    sums = ", ".join(f"sum(s[{j}])" for j in range(chunk))
     return partial.groupBy("cid", "chunk").agg(
         F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("sd2").alias("sd2"), F.expr(f"array({sums}) AS s")
     )
@@ -42,12 +43,12 @@ def lloyd_step(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | Non
         raise ValueError("no points to cluster")
     kept = np.array(sorted({row.cid for row in rows}), dtype=np.int64)
     slot = {cid: i for i, cid in enumerate(kept)}
-    n_chunks = -(-c.shape[1] // CHUNK)
-    sums = np.zeros((len(kept), n_chunks * CHUNK))
+    chunk = min(CHUNK, c.shape[1])
+    sums = np.zeros((len(kept), -(-c.shape[1] // chunk) * chunk))
     n, w, sd2 = np.zeros(len(kept), dtype=np.int64), np.zeros(len(kept)), np.zeros(len(kept))
     for row in rows:
         i = slot[row.cid]
-        sums[i, row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = row.s
+        sums[i, row.chunk * chunk : (row.chunk + 1) * chunk] = row.s
         n[i], w[i], sd2[i] = row.n, row.w, row.sd2
     mass = w if weight else n
     return kept, sums[:, : c.shape[1]] / mass[:, None], n, float(sd2.sum())

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dim_of, sq_dist, tag_dim, vector_literal
-from ..sources.durable import SMALL_BYTES, SMALL_ROWS, discard, fetch_small, lookup_join, materialize
+from ..sources import durable
+from ..sources.durable import discard, fetch_small, lookup_join, materialize
 from . import kernels
 from .vectors import vector_aggregate
 
@@ -27,9 +28,9 @@ def centroid_table(spark: SparkSession, ids, c: np.ndarray) -> DataFrame:
     return table.withColumn("c", tag_dim(F.col("c"), "c", c.shape[1])) if len(rows) else table
 
 
-def local_centroids(cents: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES):
+def local_centroids(cents: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     """Ids (ascending) and matrix of a centroid table within the bounds, else ``None``."""
-    table = fetch_small(cents.select(F.col("cid").cast("int").alias("cid"), "c"), rows, size)
+    table = fetch_small(cents.select(F.col("cid").cast("int").alias("cid"), "c"))
     if table is None:
         return None
     ids = table.column("cid").to_numpy()
@@ -39,20 +40,20 @@ def local_centroids(cents: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_
     return ids[order], kernels.matrix(table.column("c"))[order]
 
 
-def centroid_blocks(cents: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> Iterator[tuple]:
+def centroid_blocks(cents: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The centroids as blocks that each fit a task: one block if they are few."""
-    small = local_centroids(cents, rows, size)
+    small = local_centroids(cents)
     if small is not None:
         yield small
         return
     table = materialize(cents.select("cid", "c"), "centroids")
     facts = table.agg(F.count("*").alias("n"), F.sum(F.size("c") * 8 + 16).alias("bytes")).head()
-    n_blocks = 2 * max(-(-facts.n // rows), -(-facts.bytes // size))
+    n_blocks = 2 * max(-(-facts.n // durable.SMALL_ROWS), -(-facts.bytes // durable.SMALL_BYTES))
     slot = F.pmod(F.xxhash64("cid"), F.lit(n_blocks))
     for i in range(n_blocks):
         block = table.where(slot == i)
         if not block.isEmpty():
-            yield from centroid_blocks(block, rows, size)
+            yield from centroid_blocks(block)
     discard(table)
 
 
@@ -61,7 +62,6 @@ def assign(
     cents: DataFrame,
     update_d2: bool = True,
     kernel: str = "arrow",
-    rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Nearest centroid of every point; equal distances go to the lowest id.
 
@@ -72,7 +72,7 @@ def assign(
     """
     rest = [c for c in pts.columns if c not in ("cid", "d2")]
     out, done = None, None
-    for ids, c in centroid_blocks(cents, rows):
+    for ids, c in centroid_blocks(cents):
         if out is None:
             found = _match_sql(ids, c) if kernel == "sql" else kernels.nearest_column(F.col("x"), ids, c)
             out = pts.select(*pts.columns, found.alias("_m"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,8 +79,8 @@ def range_index(values: DataFrame, by: str, name: str, ranges: int = RANGES) ->
     spark = values.sparkSession
     draw = uniform(0, "range", f"xxhash64({by})")
     cuts = [row[0] for row in values.orderBy(draw, by).limit(ranges - 1).select(by).collect()]
-    bounds = F.sort_array(F.array(*[F.lit(c) for c in cuts])) if cuts else F.array().cast(values.schema[by].dataType)
-    ranged = values.withColumn("_range", F.size(F.filter(bounds, lambda c: c < F.col(by))))
+    below = F.size(F.filter(F.array(*[_literal(c) for c in cuts]), lambda c: c < F.col(by))) if cuts else F.lit(0)
+    ranged = values.withColumn("_range", below)
     sizes = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
     starts, seen = [], 0
     for range_no, size in sizes:
@@ -92,6 +92,12 @@ def range_index(values: DataFrame, by: str, name: str, ranges: int = RANGES) ->
     return numbered.withColumn(name, (F.col("_start") + F.col("_pos")).cast("int")).drop("_range", "_pos", "_start")
 
 
+def _literal(value) -> Column:
+    if isinstance(value, Row):
+        return F.struct(*[F.lit(v).alias(name) for name, v in value.asDict().items()])
+    return F.lit(value)
+
+
 def labels_in_order(pts: DataFrame, label: str = "y", name: str = "label_id") -> DataFrame:
     """The distinct labels with their position in sorted order."""
     return dense_index(pts.select(label).where(F.col(label).isNotNull()).distinct(), label, name)

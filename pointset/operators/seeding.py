@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exponential_race, tag_dim, uniform
 from ..functions.random import uniform_sql
-from ..sources.durable import SMALL_BYTES, SMALL_ROWS, Cache, discard, materialize
+from ..sources.durable import Cache, discard, is_small, materialize
 from ..sources.points import TOP_N_LIMIT, subset
 from ..sources.runlog import RunLog
 from .iterations import lloyd
@@ -34,10 +34,8 @@ def init_from_set(pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None
             return dense_index(materialize(order, "init"), "o", "cid").select("cid", "c")
         place = F.row_number().over(Window.orderBy("u", "id")) - 1
         cents = named.select(place.alias("cid"), F.col("x").alias("c"))
-        if log is None:
-            return cents
-        ids, c = local_centroids(cents)
-        return centroid_table(pts.sparkSession, ids, c)
+        small = local_centroids(cents) if log is not None else None
+        return centroid_table(pts.sparkSession, *small) if small else cents
 
 
 def init_from_space(spark: SparkSession, k: int, dim: int, seed: int = 12345) -> DataFrame:
@@ -111,7 +109,7 @@ def recluster(candidates: DataFrame, k: int, seed: int = 12345) -> DataFrame:
     if n <= k:
         return candidates.select("cid", "c")
     pts = candidates.select(F.col("cid").alias("id"), F.col("c").alias("x"), "w")
-    if n <= SMALL_ROWS:
+    if is_small(n, 0):
         pts = pts.coalesce(max(1, n // 10_000))
     pts = pts.persist()
     start = seed_plus_plus(pts, k, "w", seed)
@@ -160,7 +158,7 @@ def oversampled_candidates(
     base = policy.hold_once(pts, pts.select("id", "x"))
     first = local_centroids(init_from_set(base, 1, seed))[1]
     dim = first.shape[1]
-    if COST_DROP * l * (dim + 4) * 8 > SMALL_BYTES or COST_DROP * l > SMALL_ROWS:
+    if not is_small(COST_DROP * l, COST_DROP * l * (dim + 4) * 8):
         return _candidates_as_tables(base, centroid_table(spark, [0], first), l, seed, log, max_rounds)
 
     state = NearestState(base, policy)

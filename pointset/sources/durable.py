@@ -99,15 +99,17 @@ def _is_kept(df: DataFrame) -> bool:
     return level.useMemory or level.useDisk
 
 
-def fetch_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> pa.Table | None:
+def fetch_small(df: DataFrame) -> pa.Table | None:
     """The table as Arrow data if it is within the bounds, else ``None``.
 
-    One job; never more than ``rows + 1`` rows reach the driver.
+    One job; never more than ``SMALL_ROWS + 1`` rows reach the driver.
     """
-    table = df.limit(rows + 1).toArrow()
-    if table.num_rows > rows or table.nbytes > size:
-        return None
-    return table
+    table = df.limit(SMALL_ROWS + 1).toArrow()
+    return table if is_small(table.num_rows, table.nbytes) else None
+
+
+def is_small(rows: float, size: float) -> bool:
+    return rows <= SMALL_ROWS and size <= SMALL_BYTES
 
 
 def local_table(spark: SparkSession, table: pa.Table, schema) -> DataFrame:
