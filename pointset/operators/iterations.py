@@ -8,50 +8,69 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dim_of, tag_dim
-from ..sources.durable import Cache, discard, materialize
+from ..functions import tag_dim
+from ..sources.durable import Cache, discard, is_kept, materialize
 from ..sources.runlog import RunLog
 from . import kernels
 from .nearest import assign, cost, local_centroids, update_centroids
 
 # Elements per partial-sum row, so that any dimensionality gives the same plan.
 CHUNK = 32
+# Partial rows that are merged on the driver instead of in a shuffle.
+MERGE_ROWS = 10_000
 # Relative movement below which centroids count as unmoved (rounding only).
 STILL = 1e-13
 
 
-def step_sums(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None = None) -> DataFrame:
-    """One fused step: assign, count, cost and vector sums per centroid.
+def partial_table(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None = None) -> DataFrame:
+    """One fused step per task: assign, count, cost and vector sums per centroid.
 
-    The points are read once and stay where they are; the shuffle carries at
-    most one row per task, centroid and chunk.
+    The points are read once and stay where they are; a task leaves at most one
+    row per centroid and chunk.
     """
     mass = [F.col(weight).cast("double").alias("w")] if weight else []
-    chunk = min(CHUNK, c.shape[1])
-    run = kernels.partial_sums(ids, c, chunk, weight is not None)
-    partial = pts.select("x", *mass).mapInArrow(run, kernels.PARTIAL_SUMS)
-    sums = ", ".join(f"sum(s[{j}])" for j in range(chunk))
-    return partial.groupBy("cid", "chunk").agg(
+    run = kernels.partial_sums(ids, c, chunk_of(c), weight is not None)
+    return pts.select("x", *mass).mapInArrow(run, kernels.PARTIAL_SUMS)
+
+
+def step_sums(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None = None) -> DataFrame:
+    """The partial rows of all tasks, added up per centroid and chunk."""
+    sums = ", ".join(f"sum(s[{j}])" for j in range(chunk_of(c)))
+    return partial_table(pts, ids, c, weight).groupBy("cid", "chunk").agg(
         F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("sd2").alias("sd2"), F.expr(f"array({sums}) AS s")
     )
 
 
-def lloyd_step(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None = None):
-    """New ids, centroids, sizes and the cost against the old centroids."""
-    rows = step_sums(pts, ids, c, weight).collect()
-    if not rows:
+def chunk_of(c: np.ndarray) -> int:
+    return min(CHUNK, c.shape[1])
+
+
+def lloyd_step(
+    pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None = None, tasks: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """New ids, centroids, sizes and the cost against the old centroids.
+
+    If the number of ``tasks`` is known and leaves few partial rows, they are
+    added up right here, which saves the shuffle.
+    """
+    chunk, dim = chunk_of(c), c.shape[1]
+    n_chunks = -(-dim // chunk)
+    few = tasks is not None and tasks * len(ids) * n_chunks <= MERGE_ROWS
+    rows = (partial_table if few else step_sums)(pts, ids, c, weight).toArrow()
+    if not rows.num_rows:
         raise ValueError("no points to cluster")
-    kept = np.array(sorted({row.cid for row in rows}), dtype=np.int64)
-    slot = {cid: i for i, cid in enumerate(kept)}
-    chunk = min(CHUNK, c.shape[1])
-    sums = np.zeros((len(kept), -(-c.shape[1] // chunk) * chunk))
-    n, w, sd2 = np.zeros(len(kept), dtype=np.int64), np.zeros(len(kept)), np.zeros(len(kept))
-    for row in rows:
-        i = slot[row.cid]
-        sums[i, row.chunk * chunk : (row.chunk + 1) * chunk] = row.s
-        n[i], w[i], sd2[i] = row.n, row.w, row.sd2
+    column = {name: rows.column(name).to_numpy() for name in ("cid", "chunk", "n", "w", "sd2")}
+    kept, slot = np.unique(column["cid"], return_inverse=True)
+    sums = np.zeros((len(kept), n_chunks, chunk))
+    np.add.at(sums, (slot, column["chunk"]), kernels.matrix(rows.column("s")))
+    # Counts are repeated in every chunk of a centroid.
+    head = column["chunk"] == 0
+    n, w, sd2 = (
+        np.bincount(slot[head], weights=column[name][head], minlength=len(kept)) for name in ("n", "w", "sd2")
+    )
     mass = w if weight else n
-    return kept, sums[:, : c.shape[1]] / mass[:, None], n, float(sd2.sum())
+    moved = sums.reshape(len(kept), -1)[:, :dim] / mass[:, None]
+    return kept.astype(np.int64), moved, n.astype(np.int64), float(sd2.sum())
 
 
 def lloyd(
@@ -79,7 +98,8 @@ def lloyd(
         if small is None:
             result = _lloyd_as_tables(base, cents, max_iter, tol, weight, log)
         else:
-            result = _lloyd_small(base, *small, max_iter, tol, weight, log)
+            tasks = base.rdd.getNumPartitions() if policy.keeps or is_kept(pts) else None
+            result = _lloyd_small(base, *small, max_iter, tol, weight, log, tasks)
     policy.release_once(pts, base)
     return result
 
@@ -88,12 +108,12 @@ def _converged(costs: list[float], tol: float | None) -> bool:
     return tol is not None and len(costs) > 1 and costs[-1] > (1 - tol) * costs[-2]
 
 
-def _lloyd_small(base, ids, c, max_iter, tol, weight, log) -> DataFrame:
+def _lloyd_small(base, ids, c, max_iter, tol, weight, log, tasks) -> DataFrame:
     costs: list[float] = []
     n = np.zeros(len(ids), dtype=np.int64)
     for t in range(max_iter):
         start = time.perf_counter()
-        kept, moved, n, value = lloyd_step(base, ids, c, weight)
+        kept, moved, n, value = lloyd_step(base, ids, c, weight, tasks)
         still = len(kept) == len(ids) and np.all(np.abs(moved - c) <= STILL * (1 + np.abs(c)))
         ids, c = kept, moved
         costs.append(value)
@@ -109,7 +129,6 @@ def _lloyd_small(base, ids, c, max_iter, tol, weight, log) -> DataFrame:
 def _lloyd_as_tables(base, cents, max_iter, tol, weight, log) -> DataFrame:
     """The same iterations for centroid sets that do not fit a task."""
     costs: list[float] = []
-    dim_of(base)
     current = cents.select("cid", "c")
     for t in range(max_iter):
         start = time.perf_counter()

@@ -79,7 +79,7 @@ def seed_plus_plus(
 ) -> DataFrame:
     """Up to ``k`` centroids by weighted distance-squared seeding.
 
-    Every draw is one minimum over all points; draws stop early when all points
+    Every draw is one pass over the points; draws stop early when all points
     coincide with a centroid.
     """
     spark, mass = pts.sparkSession, F.col(weight) if weight else F.lit(1.0)
@@ -89,7 +89,8 @@ def seed_plus_plus(
     frame, odds, chosen = base, "w", []
     for j in range(k):
         race = exponential_race(seed, f"pp{j}", "id", odds).alias("t")
-        winner = frame.where(f"{odds} > 0").agg(F.min(F.struct(race, "id", "x")).alias("m")).head().m
+        # Each task offers its earliest arrival; there is no shuffle.
+        winner = frame.where(f"{odds} > 0").select(race, "id", "x").orderBy("t", "id").limit(1).head()
         state.settled()
         if winner is None:
             break

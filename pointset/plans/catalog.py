@@ -269,12 +269,14 @@ def q_cluster_parallel_lineitem(spark, d):
     return _summary(cluster(lineitem(spark, d), seed=SEED).assigned())
 
 
-def _expected(spark, d):
-    return op.expected_centroids(scaled_lineitem(spark, d))
+def _scaled_and_start(spark, d):
+    pts = scaled_lineitem(spark, d)
+    return pts, start(pts)
 
 
-def _predicted(spark, d):
-    return start(scaled_lineitem(spark, d))
+def _expected_and_start(spark, d):
+    pts, cents = _scaled_and_start(spark, d)
+    return op.expected_centroids(pts), cents
 
 
 def q_run_log_roundtrip(spark, d):
@@ -338,7 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_sql_kernel": lambda s, d: _matches(
         op.assign(embeddings(s, d), start(embeddings(s, d)), kernel="sql")
     ),
-    "assign_lineitem": lambda s, d: _matches(op.assign(scaled_lineitem(s, d), _predicted(s, d))),
+    "assign_lineitem": lambda s, d: _matches(op.assign(*_scaled_and_start(s, d))),
     "assign_keep_d2": lambda s, d: _matches(
         op.assign(_first_state(s, d)[0], start(embeddings(s, d)), update_d2=False)
     ),
@@ -347,7 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             embeddings(s, d).withColumn("cid", F.col("y").cast("int")), start(embeddings(s, d))
         )
     ),
-    "cost": lambda s, d: op.cost(op.assign(scaled_lineitem(s, d), _predicted(s, d))).select(_r("cost", "cost")),
+    "cost": lambda s, d: op.cost(op.assign(*_scaled_and_start(s, d))).select(_r("cost", "cost")),
     "update_centroids": lambda s, d: _vectors(
         op.update_centroids(op.assign(embeddings(s, d), start(embeddings(s, d)))), "c", "cid", "n"
     ),
@@ -361,7 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "cluster_sizes": lambda s, d: op.cluster_sizes(op.assign(embeddings(s, d), start(embeddings(s, d)))),
     # initialisation
-    "init_from_set": lambda s, d: _vectors(_predicted(s, d), "c", "cid"),
+    "init_from_set": lambda s, d: _vectors(_scaled_and_start(s, d)[1], "c", "cid"),
     "init_from_space": q_init_from_space,
     "first_centroid_cost": lambda s, d: op.cost(_first_state(s, d)[0]).select(_r("cost", "cost")),
     "rounds": q_rounds,
@@ -384,14 +386,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_naive_lineitem": q_cluster_naive_lineitem,
     "cluster_parallel_lineitem": q_cluster_parallel_lineitem,
     # evaluation
-    "sizes_desc": lambda s, d: op.cluster_sizes(op.assign(scaled_lineitem(s, d), _predicted(s, d)), order="desc"),
+    "sizes_desc": lambda s, d: op.cluster_sizes(op.assign(*_scaled_and_start(s, d)), order="desc"),
     "label_sizes_desc": lambda s, d: op.label_counts(embeddings(s, d), order="desc"),
     "expected_centroids": lambda s, d: _vectors(op.expected_centroids(embeddings(s, d)), "c", "cid", "y", "n"),
     "expected_distances": lambda s, d: op.expected_distances(scaled_lineitem(s, d)).select("id", "y", _r("d2", "d2")),
-    "match_centroids": lambda s, d: op.match_centroids(_expected(s, d), _predicted(s, d)).select(
+    "match_centroids": lambda s, d: op.match_centroids(*_expected_and_start(s, d)).select(
         "cid", "matched", _r("d2", "d2"), _r("dist", "dist")
     ),
-    "match_mse": lambda s, d: op.match_mse(_expected(s, d), _predicted(s, d)).select(_r("mse", "mse")),
+    "match_mse": lambda s, d: op.match_mse(*_expected_and_start(s, d)).select(_r("mse", "mse")),
     "rms_radius": lambda s, d: op.rms_radius(embeddings(s, d)).select("y", _r("radius", "radius")),
     "nearest_other": lambda s, d: op.nearest_other(op.expected_centroids(embeddings(s, d))).select(
         "cid", "nearest", _r("dist", "dist")

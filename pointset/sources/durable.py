@@ -87,14 +87,14 @@ class Cache:
 
     def hold_once(self, source: DataFrame, df: DataFrame) -> DataFrame:
         """Keep ``df``, which selects from ``source``, unless ``source`` is kept already."""
-        return df if _is_kept(source) else self.hold(df)
+        return df if is_kept(source) else self.hold(df)
 
     def release_once(self, source: DataFrame, df: DataFrame) -> None:
-        if not _is_kept(source):
+        if not is_kept(source):
             self.release(df)
 
 
-def _is_kept(df: DataFrame) -> bool:
+def is_kept(df: DataFrame) -> bool:
     level = df.storageLevel
     return level.useMemory or level.useDisk
 

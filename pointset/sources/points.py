@@ -64,8 +64,12 @@ def _pack(columns: list[str]) -> Column:
 
 
 def shuffle(df: DataFrame, seed: int, id: str = "id", tag: str = "shuffle") -> DataFrame:
-    """All rows in a random order that only depends on the seed and the ids."""
-    return df.orderBy(uniform(seed, tag, id), F.col(id))
+    """All rows in a random order that only depends on the seed and the ids.
+
+    The draw becomes a column first: an expression in the sort order would be
+    evaluated again at every comparison.
+    """
+    return df.withColumn("_u", uniform(seed, tag, id)).orderBy("_u", id).drop("_u")
 
 
 def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle") -> DataFrame:
@@ -75,9 +79,9 @@ def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle
     task into one; there the n-th smallest key is located first, with two scans
     of the ids alone, and the subset becomes a plain filter without any shuffle.
     """
-    u = uniform(seed, tag, id)
     if n <= TOP_N_LIMIT:
-        return df.orderBy(u, F.col(id)).limit(n)
+        return df.withColumn("_u", uniform(seed, tag, id)).orderBy("_u", id).limit(n).drop("_u")
+    u = uniform(seed, tag, id)
     total = df.count()
     if n >= total:
         return df
