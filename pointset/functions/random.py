@@ -20,7 +20,7 @@ SCALE = "4503599627370496D"
 
 def _bits(seed: int, tag: str, key: str) -> str:
     text = f"concat('{int(seed)}|{tag}|', cast({key} as string))"
-    return f"cast(conv(substring(md5(cast({text} as binary)), 1, {HEX_DIGITS}), 16, 10) as double)"
+    return f"cast(conv(substring(md5(cast({text} as binary)), 1, {HEX_DIGITS}), 16, 10) as bigint)"
 
 
 def uniform_sql(seed: int, tag: str, key: str) -> str:

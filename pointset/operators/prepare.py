@@ -12,8 +12,9 @@ from ..functions.vector import UNROLL_LIMIT
 from ..sources.durable import fetch_small, local_table, lookup_join, materialize
 from .vectors import vector_aggregate
 
-# Ranges used to number a distinct set that is too large for one task.
-RANGES = 512
+# A distinct set too large for one task is numbered in ranges of about this many rows.
+RANGE_ROWS = 50_000
+MAX_RANGES = 512
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -72,10 +73,11 @@ def dense_index(values: DataFrame, by: str, name: str) -> DataFrame:
     position = F.row_number().over(Window.orderBy(by)) - 1
     if small is not None:
         return local_table(spark, small, values.schema).withColumn(name, position)
-    return range_index(materialize(values, "distinct"), by, name)
+    table = materialize(values, "distinct")
+    return range_index(table, by, name, min(MAX_RANGES, 1 + table.count() // RANGE_ROWS))
 
 
-def range_index(values: DataFrame, by: str, name: str, ranges: int = RANGES) -> DataFrame:
+def range_index(values: DataFrame, by: str, name: str, ranges: int) -> DataFrame:
     spark = values.sparkSession
     draw = uniform(0, "range", f"xxhash64({by})")
     cuts = [row[0] for row in values.orderBy(draw, by).limit(ranges - 1).select(by).collect()]

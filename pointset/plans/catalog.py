@@ -64,8 +64,8 @@ def lineitem_key():
         F.col("l_linenumber").cast("string"),
         F.col("l_partkey").cast("string"),
         F.col("l_suppkey").cast("string"),
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
+        F.col("l_shipdate").cast("date").cast("string"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("string"),
     )
 
 

@@ -15,7 +15,7 @@ RECLUSTER_ITERATIONS = 100
 
 LINE_KEY = (
     "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d'), "
-    "CAST(round(l_extendedprice * 100) AS BIGINT))"
+    "CAST(floor(l_extendedprice * 100 + 0.5::DOUBLE) AS BIGINT))"
 )
 
 

@@ -81,3 +81,12 @@ def test_range_index_numbers_without_one_big_task(spark, ranges):
     values = spark.range(1000).select((F.col("id") * 37 % 1000).alias("v"))
     rows = prepare.range_index(values, "v", "n", ranges).collect()
     assert all(r.n == r.v for r in rows) and len(rows) == 1000
+
+
+def test_range_index_of_vectors_and_structs(spark):
+    values = spark.range(100).select(F.array(F.col("id") % 7 * 1.0, F.col("id") * 1.0).alias("v"), "id")
+    for column in ("v", "s"):
+        table = values.withColumn("s", F.struct(F.col("v")[0].alias("a"), "id"))
+        rows = prepare.range_index(table, column, "n", 5).collect()
+        order = sorted(rows, key=lambda r: tuple(r[column]))
+        assert [r.n for r in order] == list(range(100))
