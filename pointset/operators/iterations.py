@@ -8,11 +8,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import tag_dim
 from ..sources.durable import Cache, discard, is_kept, materialize
 from ..sources.runlog import RunLog
 from . import kernels
-from .nearest import assign, cost, local_centroids, update_centroids
+from .nearest import assign, centroid_table, cost, local_centroids, update_centroids
 
 # Elements per partial-sum row, so that any dimensionality gives the same plan.
 CHUNK = 32
@@ -42,7 +41,7 @@ def step_sums(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None
 
 
 def chunk_of(c: np.ndarray) -> int:
-    return min(CHUNK, c.shape[1])
+    return max(1, min(CHUNK, c.shape[1]))
 
 
 def lloyd_step(
@@ -54,7 +53,7 @@ def lloyd_step(
     added up right here, which saves the shuffle.
     """
     chunk, dim = chunk_of(c), c.shape[1]
-    n_chunks = -(-dim // chunk)
+    n_chunks = max(1, -(-dim // chunk))
     few = tasks is not None and tasks * len(ids) * n_chunks <= MERGE_ROWS
     rows = (partial_table if few else step_sums)(pts, ids, c, weight).toArrow()
     if not rows.num_rows:
@@ -121,9 +120,7 @@ def _lloyd_small(base, ids, c, max_iter, tol, weight, log, tasks) -> DataFrame:
         log.add("lloyd", "tIterations", time.perf_counter() - start, t)
         if _converged(costs, tol) or (tol is None and still):
             break
-    rows = [(int(i), [float(v) for v in row], int(m)) for i, row, m in zip(ids, c, n)]
-    table = base.sparkSession.createDataFrame(rows, "cid int, c array<double>, n bigint")
-    return table.withColumn("c", tag_dim(F.col("c"), "c", c.shape[1]))
+    return centroid_table(base.sparkSession, ids, c, n=n)
 
 
 def _lloyd_as_tables(base, cents, max_iter, tol, weight, log) -> DataFrame:

@@ -32,7 +32,7 @@ def matrix(vectors) -> np.ndarray:
     n = len(vectors)
     if vectors.null_count or (n and len(flat) % n):
         raise ValueError("points must be vectors of one length without nulls")
-    return flat.reshape(n, -1) if n else np.empty((0, 0))
+    return flat.reshape(n, len(flat) // n) if n else np.empty((0, 0))
 
 
 def pair_distances(x: np.ndarray, c: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) ->
     however many points it reads.
     """
     k, dim = c.shape
-    n_chunks = -(-dim // chunk)
+    n_chunks = max(1, -(-dim // chunk))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, mass, cost = np.zeros(k, dtype=np.int64), np.zeros(k), np.zeros(k)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +19,19 @@ from ..sources.durable import discard, fetch_small, lookup_join, materialize
 from . import kernels
 from .vectors import vector_aggregate
 
-CENTROIDS = "cid int, c array<double>"
+def centroid_table(spark: SparkSession, ids, c: np.ndarray, **more) -> DataFrame:
+    """Centroid rows held on the driver as a table, with further columns by name.
 
-
-def centroid_table(spark: SparkSession, ids, c: np.ndarray) -> DataFrame:
-    """Centroid rows held on the driver as a table."""
-    rows = [(int(i), [float(v) for v in row]) for i, row in zip(ids, c)]
-    table = spark.createDataFrame(rows, CENTROIDS)
-    return table.withColumn("c", tag_dim(F.col("c"), "c", c.shape[1])) if len(rows) else table
+    Arrow data becomes a local relation: its size is known to the optimizer.
+    """
+    c = np.ascontiguousarray(c, dtype=np.float64)
+    starts = np.arange(len(c) + 1, dtype=np.int32) * np.int32(c.shape[1])
+    columns = {
+        "cid": pa.array(np.asarray(ids, dtype=np.int32)),
+        "c": pa.ListArray.from_arrays(starts, pa.array(c.ravel())),
+        **{name: pa.array(np.asarray(values)) for name, values in more.items()},
+    }
+    return spark.createDataFrame(pa.table(columns)).withColumn("c", tag_dim(F.col("c"), "c", c.shape[1]))
 
 
 def local_centroids(cents: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:

@@ -191,9 +191,7 @@ def oversampled_candidates(
     weights = np.zeros(len(distinct))
     for cid, n in counts.items():
         weights[state.rank[cid]] += n
-    rows = [(i, [float(v) for v in c], float(w)) for i, (c, w) in enumerate(zip(distinct, weights))]
-    table = spark.createDataFrame(rows, "cid int, c array<double>, w double")
-    return table.withColumn("c", tag_dim(F.col("c"), "c", dim))
+    return centroid_table(spark, range(len(distinct)), distinct, w=weights)
 
 
 def _hit(frame: DataFrame, l: float, psi: float, seed: int, r: int):

@@ -242,9 +242,9 @@ def q_lloyd_weighted_2_iter(spark, d):
 
 
 def q_lloyd_cost_log(spark, d):
-    pts = with_partitions(scaled_lineitem(spark, d))
-    log = RunLog("1", "naive", "persist", 0)
-    op.lloyd(pts, start(pts, 3), 20, log=log, cache="persist")
+    pts = scaled_lineitem(spark, d)
+    log = RunLog("1", "naive", "unpersist", 0)
+    op.lloyd(with_partitions(pts), start(pts, 3), 20, log=log, cache="unpersist")
     costs = op.series(log.to_df(spark), "lloyd", "CostsKmeans")
     return costs.select("iter", _r("value", "cost"))
 

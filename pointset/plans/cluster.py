@@ -95,17 +95,19 @@ def cluster(
     with log.timed("total"):
         with log.timed("pre"):
             ready, labels = prepare(pts, rescale)
-            ready = policy.hold(spread(ready, partitions, policy))
+            # What is released after the run is kept without the labels.
+            keeps_all = cache == "persist"
+            kept = policy.hold(spread(ready if keeps_all else ready.select("id", "x"), partitions, policy))
         k = labels if k is None else k
         if init == "parallel":
-            start = init_parallel(ready, k, l, seed, log, cache)
+            start = init_parallel(kept, k, l, seed, log, cache)
         elif init == "naive":
-            start = init_from_set(ready, k, seed, log)
+            start = init_from_set(kept, k, seed, log)
         else:
             start = init_from_space(pts.sparkSession, k, dim_of(ready), seed)
-        cents = lloyd(ready, start, max_iter, tol, log=log)
-    policy.release(ready)
-    return Clustering(ready, cents, k, log)
+        cents = lloyd(kept, start, max_iter, tol, log=log)
+    policy.release(kept)
+    return Clustering(kept if keeps_all else ready, cents, k, log)
 
 
 def sweep(

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CACHE_MODES = ("none", "persist", "unpersist")
 
@@ -102,9 +103,13 @@ def is_kept(df: DataFrame) -> bool:
 def fetch_small(df: DataFrame) -> pa.Table | None:
     """The table as Arrow data if it is within the bounds, else ``None``.
 
-    One job; never more than ``SMALL_ROWS + 1`` rows reach the driver.
+    A collected limit stops reading once it has ``SMALL_ROWS + 1`` rows, so a
+    table beyond the bound does not reach the driver or a single task.
     """
-    table = df.limit(SMALL_ROWS + 1).toArrow()
+    rows = df.limit(SMALL_ROWS + 1).collect()
+    if len(rows) > SMALL_ROWS:
+        return None
+    table = pa.Table.from_pylist([row.asDict(recursive=True) for row in rows], schema=to_arrow_schema(df.schema))
     return table if is_small(table.num_rows, table.nbytes) else None
 
 

@@ -125,6 +125,14 @@ def test_coinciding_points_give_one_centroid(spark):
     assert as_dict(ps.lloyd(pts, cents_of(spark, [[1.0, 2.0]]), 5)) == {0: [1.0, 2.0]}
 
 
+def test_run_without_any_varying_dimension(spark):
+    pts = make_points(spark, [[3.0, 4.0]] * 12, [i % 2 for i in range(12)])
+    for init in ("parallel", "naive"):
+        run = ps.cluster(pts, init=init)
+        assert [(r.cid, r.n) for r in ps.cluster_sizes(run.assigned()).collect()] == [(0, 12)]
+        assert set(run.costs()) == {0.0}
+
+
 def test_fewer_distinct_points_than_k(spark):
     pts = make_points(spark, [[0.0], [0.0], [1.0], [5.0]] * 5)
     cents = as_dict(ps.init_parallel(pts, 10, seed=4))
