@@ -105,9 +105,9 @@ def test_uniform_is_uniform_and_independent_of_layout(spark):
 
 
 def test_weighted_draw_follows_the_weights(spark):
-    df = spark.range(4).withColumn("w", F.col("id") + 1.0)
     wins = np.zeros(4)
-    draws = spark.range(4000).withColumnRenamed("id", "d").join(F.broadcast(df))
+    draws = spark.range(4000).select(F.col("id").alias("d"), F.explode(F.array(*map(F.lit, range(4)))).alias("id"))
+    draws = draws.withColumn("w", F.col("id") + 1.0)
     race = ps.exponential_race(5, "d", "d * 10 + id", "w")
     for r in draws.groupBy("d").agg(F.min_by("id", race).alias("id")).groupBy("id").count().collect():
         wins[r.id] = r["count"]
