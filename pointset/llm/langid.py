@@ -223,7 +223,7 @@ def predict(network: Network):
         letter = np.zeros(256, bool)
         letter[65:91] = letter[97:123] = True
         for batch in batches:
-            for block in text_blocks(batch.column("text")):
+            for block in text_blocks(batch.column("_read")):
                 x, lengths, counts = windows_of(block.data, block.offsets, WINDOW, max(WIDTHS) - 1)
                 logs = network.log_probabilities(x, lookups)
                 bounds = np.concatenate([[0], np.cumsum(counts)])
@@ -258,8 +258,8 @@ def identify(docs: DataFrame, network: Network | None, *keep: str) -> DataFrame:
     without a trained network.  Only ``text`` enters a prediction.  Repeated rows get
     equal predictions; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", *keep, F.col("text").alias("text"))
+    rows = docs.select("doc_id", *keep, F.col("text").alias("_read"))
     if network is None:
-        return rows.drop("text").withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return rows.drop("_read").withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(predict(network), f"{shape}, lang_pred string, score double")
