@@ -1,14 +1,17 @@
 """Token ids by the tokenizers library, for whole texts.
 
 The public tokenizers used here never merge across a single space between two
-visible characters.  A text is therefore cut there, and every distinct piece of a
-block is encoded once; a worker keeps the pieces it met for its later tasks.
+visible characters (byte-level BPE), or across any space (the other one).  Texts are
+cut there, every distinct piece of a group of texts is encoded once, and the ids of
+the texts are put together from those of their pieces.  A worker remembers a bounded
+number of pieces for its next groups.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +19,14 @@ import pyarrow.compute as pc
 
 from .words import process_cache
 
-# Pieces a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 200_000
+# Characters of the texts that share their pieces.
+GROUP_CHARS = 8 << 20
+# Pieces a worker remembers.
+REMEMBERED = 600_000
+# Pieces handed to the tokenizer as one text, with a special token between them.
+JOINED = 256
 # A space next to another white space character, or at an end, is no place to cut.
-UNSAFE = re.compile(r"\s\s|^\s|\s$")
+RISKY = r"(?:\A|[\t-\r\x{85}\pZ]) | (?:[\t-\r\x{85}\pZ]|\z)"
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -29,73 +36,120 @@ def tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        cache["tokenizer", path] = Tokenizer.from_file(path)
+        loaded = Tokenizer.from_file(path)
+        special = sorted((i, token.content) for i, token in loaded.get_added_tokens_decoder().items() if token.special)
+        cache["tokenizer", path] = loaded, special
     return cache["tokenizer", path]
 
 
-def encode_pieces(pieces: list[str], path: str) -> list[np.ndarray]:
-    known = process_cache().setdefault(("pieces", path), {})
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = [p for p in pieces if p not in known]
-    if new:
-        for piece, code in zip(new, tokenizer(path).encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = np.array(code.ids, np.uint32)
-    return [known[p] for p in pieces]
+def encode_pieces(pieces: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pieces one after another, and how many each has.
 
-
-def split_text(text: str) -> list[str]:
-    """Pieces that are encoded alone; joined, they are the text."""
-    return CUT.split(text) if text else []
+    A special token splits a text before anything else looks at it, so pieces joined
+    by one are encoded as if each were alone.
+    """
+    loaded, special = tokenizer(path)
+    mark, sign = special[0]
+    groups = []
+    for a in range(0, len(pieces), JOINED):
+        group = pieces[a : a + JOINED]
+        text = sign.join(group)
+        if text.count(sign) == len(group) - 1 and not any(other in text for _, other in special[1:]):
+            groups.append(text)
+        else:
+            groups += [*group]
+    whole = iter(loaded.encode_batch_fast(groups, add_special_tokens=False))
+    flat, sizes, at = [], [], 0
+    for a in range(0, len(pieces), JOINED):
+        n = min(JOINED, len(pieces) - a)
+        if groups[at] is not pieces[a] or n == 1:
+            ids = np.array(next(whole).ids, np.uint32)
+            at += 1
+            cuts = np.flatnonzero(ids == mark) if n > 1 else np.empty(0, np.int64)
+            sizes.append(np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1)
+            flat.append(np.delete(ids, cuts))
+        else:
+            own = [np.array(next(whole).ids, np.uint32) for _ in range(n)]
+            at += n
+            sizes.append(np.array([len(ids) for ids in own]))
+            flat += own
+    return np.concatenate(flat) if flat else np.empty(0, np.uint32), np.concatenate(sizes) if sizes else np.empty(0, np.int64)
+
+
+def remembered(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids that hold those of the pieces, and where each piece begins and how many it has."""
+    slot = ("pieces", path, spaced)
+    known, flat, sizes = process_cache().get(slot, (pieces.slice(0, 0), np.empty(0, np.uint32), np.empty(0, np.int64)))
+    at = pc.index_in(pieces, value_set=known)
+    new = pieces.filter(pc.is_null(at))
+    if len(new):
+        forms = new.to_pylist()
+        more, many = encode_pieces([" " + f for f in forms] if spaced else forms, path)
+        known, flat, sizes = pa.concat_arrays([known, new]), np.append(flat, more), np.append(sizes, many)
+        at = pc.index_in(pieces, value_set=known)
+    begins = np.cumsum(sizes) - sizes
+    where = at.to_numpy(zero_copy_only=False)
+    if len(known) <= REMEMBERED:
+        process_cache()[slot] = known, flat, sizes
+    else:
+        process_cache().pop(slot, None)
+    return flat, begins[where], sizes[where]
 
 
-def encode_texts(texts: list[str | None], path: str, end: int, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: pa.Array, path: str, end: int, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts one after another, ``end`` after each, and their bounds.
 
     ``spaced``: the space before a word belongs to its piece (byte-level BPE);
-    otherwise the tokenizer drops white space.
+    otherwise the tokenizer drops white space.  Null texts are empty.
     """
-    counts = np.empty(len(texts), np.int64)
-    pieces: list[str] = []
-    for i, text in enumerate(texts):
-        if not text:
-            own = []
-        elif UNSAFE.search(text):
-            own = split_text(text)
-        elif spaced:
-            own = text.split(" ")
-            own[1:] = [" " + p for p in own[1:]]
-        else:
-            own = text.split(" ")
-        counts[i] = len(own)
-        pieces += own
-    # an end mark is a piece of its own, the last code
-    coded = pc.dictionary_encode(pa.array(pieces, pa.large_string()))
-    distinct = coded.dictionary.to_pylist()
-    ids = [*encode_pieces(distinct, path), np.array([end], np.uint32)]
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    ends = np.cumsum(counts)
-    codes = np.insert(codes, ends, len(distinct))
-    sizes = np.array([len(x) for x in ids], np.int64)
-    flat = np.concatenate(ids)
-    begins = np.cumsum(sizes) - sizes
-    lengths = sizes[codes]
-    stops = np.cumsum(lengths)
-    at = np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(begins[codes] - (stops - lengths), lengths)
-    last = ends + np.arange(len(texts))
-    bounds = np.concatenate([[0], stops[last]]) if len(texts) else np.zeros(1, np.int64)
-    return flat[at].astype(np.uint32), bounds
-
-
-def text_groups(texts, most: int = 1 << 20):
+    n = len(texts)
+    texts = texts.fill_null("") if texts.null_count else texts
+    risky = np.zeros(n, bool)
+    if spaced:
+        risky = pc.match_substring_regex(texts, RISKY).to_numpy(zero_copy_only=False)
+    plain = texts if not risky.any() else pc.if_else(pa.array(risky), "", texts)
+    lists = pc.split_pattern(plain, " ")
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, sources, sizes = remembered(coded.dictionary, path, spaced)
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    begins = np.cumsum(counts) - counts
+    forms: list[str] = []
+    if spaced:
+        # the first piece of a text has no space before it
+        first = coded.take(pa.array(begins)).dictionary_decode().dictionary_encode()
+        codes[begins] = first.indices.to_numpy(zero_copy_only=False) + len(sizes)
+        forms = first.dictionary.to_pylist()
+    own = {int(i): CUT.split(texts[int(i)].as_py()) for i in np.flatnonzero(risky)}
+    known: dict[str, int] = {}
+    for pieces in own.values():
+        for piece in pieces:
+            known.setdefault(piece, len(sizes) + len(forms) + len(known))
+    more, many = encode_pieces([*forms, *known], path)
+    # the end mark is one more piece
+    sources = np.concatenate([sources, len(flat) + np.cumsum(many) - many, [len(flat) + len(more)]])
+    flat, sizes = np.concatenate([flat, more, np.array([end], np.uint32)]), np.concatenate([sizes, many, [1]])
+    many = counts.copy()
+    for i, pieces in own.items():
+        many[i] = len(pieces)
+    stops = np.cumsum(many + 1)
+    every = np.full(int(stops[-1]) if n else 0, len(sizes) - 1, np.int64)
+    kept = np.repeat(~risky, counts)
+    every[(np.arange(len(codes)) + np.repeat(stops - many - 1 - begins, counts))[kept]] = codes[kept]
+    for i, pieces in own.items():
+        every[stops[i] - 1 - len(pieces) : stops[i] - 1] = [known[p] for p in pieces]
+    lengths = sizes[every]
+    ends = np.cumsum(lengths)
+    at = np.arange(int(ends[-1]) if n else 0) + np.repeat(sources[every] - (ends - lengths), lengths)
+    return flat[at], np.concatenate([[0], ends[stops - 1]]) if n else np.zeros(1, np.int64)
+
+
+def text_groups(texts: pa.Array, most: int = GROUP_CHARS) -> Iterator[tuple[int, pa.Array]]:
     """Cut a string column into runs of about ``most`` characters: first row and texts."""
-    group: list = []
-    first = size = 0
-    for i, text in enumerate(texts.to_pylist()):
-        if group and size > most:
-            yield first, group
-            group, first, size = [], i, 0
-        group.append(text)
-        size += len(text or "")
-    if group:
-        yield first, group
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends, first = np.cumsum(sizes), 0
+    while first < len(texts):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield first, texts.slice(first, last - first)
+        first = last
