@@ -23,14 +23,23 @@ from .words import process_cache
 GROUP_CHARS = 8 << 20
 # Pieces a worker remembers.
 REMEMBERED = 600_000
-# Pieces handed to the tokenizer as one text, with a special token between them.
+# Pieces handed to the tokenizer as one text.
 JOINED = 256
 # A space next to another white space character, or at an end, is no place to cut.
 RISKY = r"(?:\A|[\t-\r\x{85}\pZ]) | (?:[\t-\r\x{85}\pZ]|\z)"
+# Pieces of letters, digits and signs that no normalization changes but to lower case.
+# They may hold single line breaks.
+LETTERS = r"[!-~\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+"
+PLAIN = rf"\A{LETTERS}(?:\n{LETTERS})*\z"
+# How the tokenizer without spaces splits a piece, and its signs for a
+# space at the beginning and for the end of a word.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+"
+SPACE, WORD_END = "\u0120", "</w>"
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def tokenizer(path: str):
+    """The tokenizer, its special tokens, and which ids begin with a space or end a word."""
     cache = process_cache()
     if ("tokenizer", path) not in cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,42 +47,78 @@ def tokenizer(path: str):
 
         loaded = Tokenizer.from_file(path)
         special = sorted((i, token.content) for i, token in loaded.get_added_tokens_decoder().items() if token.special)
-        cache["tokenizer", path] = loaded, special
+        words = loaded.get_vocab()
+        begins, ends = (np.zeros(max(words.values()) + 1, bool) for _ in range(2))
+        begins[[i for word, i in words.items() if word.startswith(SPACE)]] = True
+        ends[[i for word, i in words.items() if word.endswith(WORD_END)]] = True
+        cache["tokenizer", path] = loaded, special, begins, ends
     return cache["tokenizer", path]
 
 
-def encode_pieces(pieces: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pieces one after another, and how many each has.
+def encode_apart(pieces: list[str], path: str) -> list[np.ndarray]:
+    """Ids of each piece, whatever it holds.
 
     A special token splits a text before anything else looks at it, so pieces joined
     by one are encoded as if each were alone.
     """
-    loaded, special = tokenizer(path)
+    loaded, special, _, _ = tokenizer(path)
     mark, sign = special[0]
-    groups = []
+    out: list[np.ndarray] = []
     for a in range(0, len(pieces), JOINED):
         group = pieces[a : a + JOINED]
         text = sign.join(group)
         if text.count(sign) == len(group) - 1 and not any(other in text for _, other in special[1:]):
-            groups.append(text)
+            ids = np.array(loaded.encode(text, add_special_tokens=False).ids, np.uint32)
+            cuts = np.flatnonzero(ids == mark)
+            out += [part[1:] if i else part for i, part in enumerate(np.split(ids, cuts))]
         else:
-            groups += [*group]
-    whole = iter(loaded.encode_batch_fast(groups, add_special_tokens=False))
-    flat, sizes, at = [], [], 0
-    for a in range(0, len(pieces), JOINED):
-        n = min(JOINED, len(pieces) - a)
-        if groups[at] is not pieces[a] or n == 1:
-            ids = np.array(next(whole).ids, np.uint32)
-            at += 1
-            cuts = np.flatnonzero(ids == mark) if n > 1 else np.empty(0, np.int64)
-            sizes.append(np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1)
-            flat.append(np.delete(ids, cuts))
-        else:
-            own = [np.array(next(whole).ids, np.uint32) for _ in range(n)]
-            at += n
-            sizes.append(np.array([len(ids) for ids in own]))
-            flat += own
-    return np.concatenate(flat) if flat else np.empty(0, np.uint32), np.concatenate(sizes) if sizes else np.empty(0, np.int64)
+            codes = loaded.encode_batch_fast(group, add_special_tokens=False)
+            out += [np.array(code.ids, np.uint32) for code in codes]
+    return out
+
+
+def encode_pieces(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct pieces one after another, and how many each has.
+
+    Plain pieces are joined to longer texts by single spaces.  Where they end is told
+    by the ids that begin with a space, or by counting the ids that end a word.
+    """
+    loaded, special, begins, ends = tokenizer(path)
+    plain = pc.match_substring_regex(pieces, PLAIN)
+    for _, sign in special:
+        plain = pc.and_(plain, pc.invert(pc.match_substring(pieces, sign)))
+    easy = plain.to_numpy(zero_copy_only=False)
+    sizes, parts = np.zeros(len(pieces), np.int64), []
+    texts, where = pieces.filter(plain), np.flatnonzero(easy)
+    marks = np.ones(len(texts), np.int64)
+    if not spaced:
+        marks = pc.count_substring_regex(pc.utf8_lower(texts), PARTS).to_numpy(zero_copy_only=False).astype(np.int64)
+    names, groups = texts.to_pylist(), []
+    for a in range(0, len(names), JOINED):
+        groups.append((" " if spaced else "") + " ".join(names[a : a + JOINED]))
+    odd: list[int] = np.flatnonzero(~easy).tolist()
+    for k, code in enumerate(loaded.encode_batch_fast(groups, add_special_tokens=False)):
+        own = slice(k * JOINED, (k + 1) * JOINED)
+        ids = np.array(code.ids, np.uint32)
+        flags = np.flatnonzero((begins if spaced else ends)[ids])
+        if len(flags) != marks[own].sum():
+            odd += where[own].tolist()
+            continue
+        stops = np.append(flags[1:], len(ids)) if spaced else flags[np.cumsum(marks[own]) - 1] + 1
+        sizes[where[own]] = np.diff(stops, prepend=0)
+        parts.append((where[own], ids))
+    odd.sort()
+    left = pieces.take(pa.array(odd, pa.int64())).to_pylist()
+    found = encode_apart([" " + p for p in left] if spaced else left, path)
+    for i, ids in zip(odd, found):
+        sizes[i] = len(ids)
+        parts.append((np.array([i]), ids))
+    flat = np.empty(int(sizes.sum()), np.uint32)
+    sources = np.cumsum(sizes) - sizes
+    for rows, ids in parts:
+        many = sizes[rows]
+        flat[np.arange(len(ids)) + np.repeat(sources[rows] - (np.cumsum(many) - many), many)] = ids
+    return flat, sizes
 
 
 def remembered(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,8 +128,7 @@ def remembered(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray, n
     at = pc.index_in(pieces, value_set=known)
     new = pieces.filter(pc.is_null(at))
     if len(new):
-        forms = new.to_pylist()
-        more, many = encode_pieces([" " + f for f in forms] if spaced else forms, path)
+        more, many = encode_pieces(new, path, spaced)
         known, flat, sizes = pa.concat_arrays([known, new]), np.append(flat, more), np.append(sizes, many)
         at = pc.index_in(pieces, value_set=known)
     begins = np.cumsum(sizes) - sizes
@@ -125,7 +169,9 @@ def encode_texts(texts: pa.Array, path: str, end: int, spaced: bool) -> tuple[np
     for pieces in own.values():
         for piece in pieces:
             known.setdefault(piece, len(sizes) + len(forms) + len(known))
-    more, many = encode_pieces([*forms, *known], path)
+    apart = encode_apart([*forms, *known], path)
+    many = np.array([len(ids) for ids in apart], np.int64)
+    more = np.concatenate([np.empty(0, np.uint32), *apart])
     # the end mark is one more piece
     sources = np.concatenate([sources, len(flat) + np.cumsum(many) - many, [len(flat) + len(more)]])
     flat, sizes = np.concatenate([flat, more, np.array([end], np.uint32)]), np.concatenate([sizes, many, [1]])
