@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from .words import process_cache
 
 # Characters of the texts that share their pieces.
-GROUP_CHARS = 8 << 20
+GROUP_CHARS = 6 << 20
 # Pieces a worker remembers.
 REMEMBERED = 600_000
 # Pieces handed to the tokenizer as one text.
@@ -97,7 +97,9 @@ def encode_pieces(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray
     for a in range(0, len(names), JOINED):
         groups.append((" " if spaced else "") + " ".join(names[a : a + JOINED]))
     odd: list[int] = np.flatnonzero(~easy).tolist()
-    for k, code in enumerate(loaded.encode_batch_fast(groups, add_special_tokens=False)):
+    # A code also holds the texts and places of its tokens: few are kept at a time.
+    codes = (c for a in range(0, len(groups), 16) for c in loaded.encode_batch_fast(groups[a : a + 16], add_special_tokens=False))
+    for k, code in enumerate(codes):
         own = slice(k * JOINED, (k + 1) * JOINED)
         ids = np.array(code.ids, np.uint32)
         flags = np.flatnonzero((begins if spaced else ends)[ids])
@@ -124,19 +126,25 @@ def encode_pieces(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray
 def remembered(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids that hold those of the pieces, and where each piece begins and how many it has."""
     slot = ("pieces", path, spaced)
-    known, flat, sizes = process_cache().get(slot, (pieces.slice(0, 0), np.empty(0, np.uint32), np.empty(0, np.int64)))
+    none = np.empty(0, np.int64)
+    known, flat, sizes, seen = process_cache().get(slot, (pieces.slice(0, 0), np.empty(0, np.uint32), none, none))
     at = pc.index_in(pieces, value_set=known)
-    new = pieces.filter(pc.is_null(at))
+    fresh = pc.is_null(at)
+    new = pieces.filter(fresh)
+    where = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     if len(new):
         more, many = encode_pieces(new, path, spaced)
+        where[fresh.to_numpy(zero_copy_only=False)] = len(known) + np.arange(len(new))
         known, flat, sizes = pa.concat_arrays([known, new]), np.append(flat, more), np.append(sizes, many)
-        at = pc.index_in(pieces, value_set=known)
+        seen = np.append(seen, np.zeros(len(new), np.int64))
+    seen[where] += 1
     begins = np.cumsum(sizes) - sizes
-    where = at.to_numpy(zero_copy_only=False)
     if len(known) <= REMEMBERED:
-        process_cache()[slot] = known, flat, sizes
+        process_cache()[slot] = known, flat, sizes, seen
     else:
-        process_cache().pop(slot, None)
+        # keep what several groups held
+        kept = seen > 1
+        process_cache()[slot] = known.filter(pa.array(kept)), flat[np.repeat(kept, sizes)], sizes[kept], seen[kept] - 1
     return flat, begins[where], sizes[where]
 
 
@@ -186,7 +194,12 @@ def encode_texts(texts: pa.Array, path: str, end: int, spaced: bool) -> tuple[np
         every[stops[i] - 1 - len(pieces) : stops[i] - 1] = [known[p] for p in pieces]
     lengths = sizes[every]
     ends = np.cumsum(lengths)
-    at = np.arange(int(ends[-1]) if n else 0) + np.repeat(sources[every] - (ends - lengths), lengths)
+    # one step on within a piece, a jump between pieces
+    at = np.ones(int(ends[-1]) if n else 0, np.int32)
+    some = lengths > 0
+    begin, source = (ends - lengths)[some], sources[every][some]
+    at[begin] = source - np.append(0, (source + lengths[some] - 1)[:-1])
+    np.cumsum(at, out=at)
     return flat[at], np.concatenate([[0], ends[stops - 1]]) if n else np.zeros(1, np.int64)
 
 
