@@ -18,11 +18,11 @@ def expected_centroids(pts: DataFrame, label: str = "y") -> DataFrame:
     Grouping on the label itself leaves only one row per label to be numbered.
     """
     means = update_centroids(pts.where(F.col(label).isNotNull()), key=label)
-    return dense_index(means, label, "cid").select("cid", label, "c", "n")
+    return dense_index(means, label, "cid").select(F.col("cid").cast("int").alias("cid"), label, "c", "n")
 
 
 def expected_distances(pts: DataFrame, label: str = "y") -> DataFrame:
-    """Squared distance of every point to the mean of its own label."""
+    """Squared distance of every point to the mean of its own label; null without one."""
     return update_distances(pts.drop("cid"), expected_centroids(pts, label), key=label)
 
 
@@ -41,7 +41,7 @@ def match_mse(expected: DataFrame, predicted: DataFrame) -> DataFrame:
 
 def rms_radius(pts: DataFrame, label: str = "y") -> DataFrame:
     """Root mean square distance of the points of a label to their mean."""
-    distances = expected_distances(pts, label)
+    distances = expected_distances(pts.where(F.col(label).isNotNull()), label)
     return distances.groupBy(label).agg(F.sqrt(F.avg("d2")).alias("radius"))
 
 

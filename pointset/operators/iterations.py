@@ -126,16 +126,29 @@ def _lloyd_small(base, ids, c, max_iter, tol, weight, log, tasks) -> DataFrame:
 def _lloyd_as_tables(base, cents, max_iter, tol, weight, log) -> DataFrame:
     """The same iterations for centroid sets that do not fit a task."""
     costs: list[float] = []
-    current = cents.select("cid", "c")
+    current, written = cents.select("cid", "c"), None
     for t in range(max_iter):
         start = time.perf_counter()
         live = base.where(F.col(weight) > 0) if weight else base
         assigned = materialize(assign(live, current), "assigned")
         costs.append(float(cost(assigned).head().cost))
-        current = materialize(update_centroids(assigned, weight).select("cid", "c", "n"), "centroids")
+        moved = materialize(update_centroids(assigned, weight).select("cid", "c", "n"), "centroids")
         discard(assigned)
+        still = tol is None and _unmoved(current, moved)
+        current = moved
+        if written is not None:
+            discard(written)
+        written = moved
         log.add("lloyd", "CostsKmeans", costs[-1], t)
         log.add("lloyd", "tIterations", time.perf_counter() - start, t)
-        if _converged(costs, tol):
+        if _converged(costs, tol) or still:
             break
     return current
+
+
+def _unmoved(before: DataFrame, after: DataFrame) -> bool:
+    """Whether all centroids are left and none moved by more than rounding."""
+    pair = before.select("cid", F.col("c").alias("_b")).join(after.select("cid", "c"), "cid", "left")
+    gaps = F.zip_with("c", "_b", lambda a, b: F.abs(a - b) > STILL * (1 + F.abs(b)))
+    moved = F.col("c").isNull() | F.exists(gaps, lambda g: g)
+    return pair.where(moved).isEmpty()

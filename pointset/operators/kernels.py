@@ -28,10 +28,15 @@ def matrix(vectors) -> np.ndarray:
     """Arrow list column as an ``(n, dim)`` array, without copying doubles."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    n = len(vectors)
-    if vectors.null_count or (n and len(flat) % n):
-        raise ValueError("points must be vectors of one length without nulls")
+    values, n = vectors.flatten(), len(vectors)
+    if vectors.null_count or values.null_count:
+        raise ValueError("vectors must not be null or hold nulls")
+    sizes = np.diff(vectors.offsets.to_numpy()) if n else np.empty(0)
+    if n and np.any(sizes != sizes[0]):
+        raise ValueError("vectors must have one length")
+    flat = values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if np.isnan(flat).any():
+        raise ValueError("vectors must not hold NaN")
     return flat.reshape(n, len(flat) // n) if n else np.empty((0, 0))
 
 
@@ -53,6 +58,8 @@ def nearest(x: np.ndarray, c: np.ndarray, skip: np.ndarray | None = None) -> tup
     per row (-1 for none).
     """
     n, k = len(x), len(c)
+    if x.shape[1] != c.shape[1]:
+        raise ValueError(f"vectors of length {x.shape[1]} cannot be compared with centroids of length {c.shape[1]}")
     where, best = np.zeros(n, dtype=np.int64), np.empty(n)
     norms = np.sum(c * c, axis=1)
     reach = np.sqrt(norms.max())
@@ -197,4 +204,45 @@ def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) ->
     return run
 
 
+def first_arrivals(draw: int, most: int) -> Callable:
+    """For ``mapInArrow``: the ``most`` earliest arrivals of a task in each race.
+
+    Column ``e`` holds the exponential numbers of the races, the first being ``draw``.
+    """
+
+    def earliest(table: pa.Table, races: int) -> list[np.ndarray]:
+        odds = table.column("w").to_numpy() * table.column("d2").to_numpy()
+        t = matrix(table.column("e")) / odds[:, None]
+        kept = []
+        for j in range(races):
+            own = t[:, j]
+            if len(own) > most:
+                # with all that tie for the last place
+                kept.append(np.flatnonzero(own <= np.partition(own, most - 1)[most - 1]))
+            else:
+                kept.append(np.arange(len(own)))
+        return kept
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[pa.Table] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            races = len(batch.column("e")[0])
+            best = best or [table.slice(0, 0)] * races
+            for j, rows in enumerate(earliest(table, races)):
+                both = pa.concat_tables([best[j], table.take(pa.array(rows))])
+                best[j] = both.take(pa.array(earliest(both, races)[j]))
+        for j, table in enumerate(best or []):
+            e = matrix(table.column("e"))[:, j]
+            t = e / (table.column("w").to_numpy() * table.column("d2").to_numpy())
+            for part in table.drop_columns(["e"]).append_column("e", pa.array(e)).append_column(
+                "draw", pa.array(np.full(len(e), draw + j, np.int32))
+            ).append_column("t", pa.array(t)).combine_chunks().to_batches():
+                yield part
+
+    return run
+
+
 PARTIAL_SUMS = "cid int, chunk int, n bigint, w double, sd2 double, s array<double>"

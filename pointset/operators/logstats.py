@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 STAGES = ["pre", "init", "lloyd"]
 TIMES = ["pre", "init_time", "lloyd"]
-RUN = ["run_id", "init", "cache_mode", "partitions"]
+# A run, and the setting it was made in.
+RUN = ["run_id", "init", "cache_mode", "partitions", "n_rows"]
 
 
 def _totals(log: DataFrame) -> DataFrame:
@@ -15,15 +16,15 @@ def _totals(log: DataFrame) -> DataFrame:
 
 
 def stage_times(log: DataFrame) -> DataFrame:
-    """One row per run and partition count with the time of each stage."""
-    wide = _totals(log).groupBy("run_id", "init", "partitions").pivot("stage", STAGES).agg(F.sum("value"))
-    return wide.toDF("run_id", "init", "partitions", *TIMES)
+    """One row per run with the time of each stage."""
+    wide = _totals(log).groupBy(*RUN).pivot("stage", STAGES).agg(F.sum("value"))
+    return wide.toDF(*RUN, *TIMES)
 
 
 def stage_stats(log: DataFrame) -> DataFrame:
-    """Mean and population deviation over the runs, per partition count and stage."""
-    per_run = _totals(log).groupBy("run_id", "init", "partitions", "stage").agg(F.sum("value").alias("t"))
-    return per_run.groupBy("init", "partitions", "stage").agg(
+    """Mean and population deviation over the runs of one setting, per stage."""
+    per_run = _totals(log).groupBy(*RUN, "stage").agg(F.sum("value").alias("t"))
+    return per_run.groupBy(*RUN[1:], "stage").agg(
         F.avg("t").alias("mean"), F.stddev_pop("t").alias("std"), F.count("*").alias("n_runs")
     )
 
@@ -35,7 +36,7 @@ def series(log: DataFrame, stage: str, metric: str) -> DataFrame:
 
 
 def cache_comparison(log: DataFrame, partitions: int = 8) -> DataFrame:
-    """Total time of a run per caching mode at one partition count."""
+    """Total time of a run per caching mode and number of rows at one partition count."""
     used = _totals(log).where(F.col("partitions") == partitions)
-    per_run = used.groupBy("run_id", "init", "cache_mode").agg(F.sum("value").alias("t"))
-    return per_run.groupBy("cache_mode").agg(F.avg("t").alias("mean_total"), F.count("*").alias("n_runs"))
+    per_run = used.groupBy(*RUN).agg(F.sum("value").alias("t"))
+    return per_run.groupBy("cache_mode", "n_rows").agg(F.avg("t").alias("mean_total"), F.count("*").alias("n_runs"))

@@ -10,15 +10,20 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dim_of, sq_dist, tag_dim, vector_literal
+from ..functions import dim_of, sq_dist, tag_dim
 from ..sources import durable
 from ..sources.durable import discard, fetch_small, lookup_join, materialize
 from . import kernels
 from .vectors import vector_aggregate
 
+KERNELS = ("arrow", "sql")
+# Blocks of centroids compared in one pass over the points.
+PASS_BLOCKS = 8
+
+
 def centroid_table(spark: SparkSession, ids, c: np.ndarray, **more) -> DataFrame:
     """Centroid rows held on the driver as a table, with further columns by name.
 
@@ -72,22 +77,33 @@ def assign(
     """Nearest centroid of every point; equal distances go to the lowest id.
 
     A map over the points: nothing is shuffled.  Centroids beyond the size bound
-    are taken block by block, each pass keeping the better match.  With
-    ``update_d2=False`` only ``cid`` changes.  ``kernel="sql"`` uses array
-    functions instead of Arrow batches.
+    are taken block by block, each block keeping the better match: ``PASS_BLOCKS``
+    of them in one pass over the points.  With ``update_d2=False`` only ``cid``
+    changes.  ``kernel="sql"`` uses array functions instead of Arrow batches.
+
+    A filter on the result does not reach the scan (see ``kernels``); filter first.
     """
+    if kernel not in KERNELS:
+        raise ValueError(f"kernel must be one of {KERNELS}, not {kernel!r}")
     rest = [c for c in pts.columns if c not in ("cid", "d2")]
     out, done = None, None
-    for ids, c in centroid_blocks(cents):
+    for i, (ids, c) in enumerate(centroid_blocks(cents)):
         if out is None:
-            found = _match_sql(ids, c) if kernel == "sql" else kernels.nearest_column(F.col("x"), ids, c)
-            out = pts.select(*pts.columns, found.alias("_m"))
-        else:
+            out = _first_match(pts, ids, c, kernel)
+            continue
+        if i % PASS_BLOCKS == 0:
             previous, done = done, materialize(out, "assign")
+            out = done
             if previous is not None:
                 discard(previous)
-            better = kernels.lower_column(F.col("x"), F.col("_m.cid"), F.col("_m.d2"), ids, c, None)
-            out = done.withColumn("_m", better)
+        if kernel == "sql":
+            better = _first_match(out.withColumnRenamed("_m", "_old"), ids, c, kernel)
+            both = [F.struct(F.col(f"{m}.d2").alias("d2"), F.col(f"{m}.cid").alias("cid")) for m in ("_old", "_m")]
+            best = F.least(*both)
+            out = better.withColumn("_m", F.struct(best.cid.alias("cid"), best.d2.alias("d2"))).drop("_old")
+        else:
+            found = kernels.lower_column(F.col("x"), F.col("_m.cid"), F.col("_m.d2"), ids, c, None)
+            out = out.withColumn("_m", found)
     if update_d2:
         d2 = [F.col("_m.d2").alias("d2")]
     else:
@@ -95,18 +111,26 @@ def assign(
     return out.select(*rest, F.col("_m.cid").alias("cid"), *d2)
 
 
-def _match_sql(ids: np.ndarray, c: np.ndarray) -> Column:
-    cents = F.array(*[F.struct(F.lit(int(i)).alias("cid"), vector_literal(v).alias("c")) for i, v in zip(ids, c)])
+def _first_match(pts: DataFrame, ids: np.ndarray, c: np.ndarray, kernel: str) -> DataFrame:
+    """The points with ``_m``, their match among a block of centroids."""
+    if kernel == "arrow":
+        return pts.select("*", kernels.nearest_column(F.col("x"), ids, c).alias("_m"))
+    # one row that holds the block, so the plan keeps its size
+    packed = centroid_table(pts.sparkSession, ids, c).agg(F.collect_list(F.struct("cid", "c")).alias("_cents"))
     scored = F.transform(
-        cents, lambda e: F.struct(sq_dist(F.col("x"), e.c).alias("d2"), e.cid.alias("cid"))
+        "_cents", lambda e: F.struct(sq_dist(F.col("x"), e.c).alias("d2"), e.cid.alias("cid"))
     )
     best = F.array_min(scored)
-    return F.struct(best.cid.alias("cid"), best.d2.alias("d2"))
+    wide = pts.join(F.broadcast(packed))
+    return wide.select(*pts.columns, F.struct(best.cid.alias("cid"), best.d2.alias("d2")).alias("_m"))
 
 
 def update_distances(pts: DataFrame, cents: DataFrame, key: str = "cid") -> DataFrame:
-    """Squared distance of every point to the centroid it already belongs to."""
-    joined = lookup_join(pts.drop("d2"), cents.select(key, "c"), key)
+    """Squared distance of every point to the centroid it already belongs to.
+
+    Points without a known centroid stay, with a null distance.
+    """
+    joined = lookup_join(pts.drop("d2"), cents.select(key, "c"), key, "left")
     return joined.withColumn("d2", sq_dist(F.col("x"), F.col("c"), dim_of(pts))).drop("c")
 
 

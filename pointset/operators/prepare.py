@@ -3,30 +3,28 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import dim_of, tag_dim, uniform, vector_literal
+from ..functions import dim_of, vector_literal
 from ..functions.vector import UNROLL_LIMIT
 from ..sources.durable import fetch_small, local_table, lookup_join, materialize
+from .profile import TEXT, type_class
 from .vectors import vector_aggregate
 
-# A distinct set too large for one task is numbered in ranges of about this many rows.
-RANGE_ROWS = 50_000
-MAX_RANGES = 512
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
+    """Attributes that can be elements of a vector."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
 def drop_categorical(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Only the numeric attributes, plus the columns named in ``keep``.
+    """All attributes but those that hold text, plus the columns named in ``keep``.
 
     Decided on the schema, so the other columns are not even read.
     """
-    wanted = set(numeric_columns(df)) | set(keep or [])
+    wanted = {f.name for f in df.schema.fields if type_class(f.dataType) != TEXT} | set(keep or [])
     return df.select(*[c for c in df.columns if c in wanted])
 
 
@@ -62,42 +60,30 @@ def rescaled(x: Column, lo: np.ndarray, hi: np.ndarray, keep: np.ndarray) -> Col
 
 
 def dense_index(values: DataFrame, by: str, name: str) -> DataFrame:
-    """Number distinct rows 0, 1, … in the order of ``by``.
+    """Number distinct rows 0, 1, … (bigint) in the order of ``by``.
 
-    A small set is numbered by one window.  A large one is cut into ranges at
-    the values of a keyed sample, numbered inside each range and shifted by the
-    sizes of the ranges before it, so no task ever sees all of it.
+    A small set is numbered by one window.  A large one is range-partitioned and
+    numbered inside each partition, shifted by the sizes of the partitions before
+    it, so no task ever sees all of it.
     """
-    spark = values.sparkSession
     small = fetch_small(values)
-    position = F.row_number().over(Window.orderBy(by)) - 1
     if small is not None:
-        return local_table(spark, small, values.schema).withColumn(name, position)
-    table = materialize(values, "distinct")
-    return range_index(table, by, name, min(MAX_RANGES, 1 + table.count() // RANGE_ROWS))
-
-
-def range_index(values: DataFrame, by: str, name: str, ranges: int) -> DataFrame:
-    spark = values.sparkSession
-    draw = uniform(0, "range", f"xxhash64({by})")
-    cuts = [row[0] for row in values.orderBy(draw, by).limit(ranges - 1).select(by).collect()]
-    below = F.size(F.filter(F.array(*[_literal(c) for c in cuts]), lambda c: c < F.col(by))) if cuts else F.lit(0)
-    ranged = values.withColumn("_range", below)
-    sizes = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
-    starts, seen = [], 0
-    for range_no, size in sizes:
-        starts.append((range_no, seen))
-        seen += size
-    offsets = spark.createDataFrame(starts, "_range int, _start bigint")
+        position = (F.row_number().over(Window.orderBy(by)) - 1).cast("bigint")
+        return local_table(values.sparkSession, small, values.schema).withColumn(name, position)
+    return range_index(values, by, name)
+
+
+def range_index(values: DataFrame, by: str, name: str, ranges: int | None = None) -> DataFrame:
+    """Numbers by ranges; the partitions are written out, so that they stay as counted."""
+    parts = [ranges] if ranges else []
+    ranged = materialize(values.repartitionByRange(*parts, by).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(by)) - 1
-    numbered = ranged.withColumn("_pos", inside).join(F.broadcast(offsets), "_range")
-    return numbered.withColumn(name, (F.col("_start") + F.col("_pos")).cast("int")).drop("_range", "_pos", "_start")
-
-
-def _literal(value) -> Column:
-    if isinstance(value, Row):
-        return F.struct(*[F.lit(v).alias(name) for name, v in value.asDict().items()])
-    return F.lit(value)
+    numbered = ranged.withColumn("_pos", inside).join(F.broadcast(starts), "_range")
+    return numbered.withColumn(name, F.col("_start") + F.col("_pos")).drop("_range", "_pos", "_start")
 
 
 def labels_in_order(pts: DataFrame, label: str = "y", name: str = "label_id") -> DataFrame:
@@ -106,5 +92,5 @@ def labels_in_order(pts: DataFrame, label: str = "y", name: str = "label_id") ->
 
 
 def label_index(pts: DataFrame, label: str = "y", name: str = "label_id") -> DataFrame:
-    """Add to each point the position of its label among the sorted labels."""
-    return lookup_join(pts, labels_in_order(pts, label, name), label)
+    """Add to each point the position of its label among the sorted labels; null: null."""
+    return lookup_join(pts, labels_in_order(pts, label, name), label, "left")

@@ -70,7 +70,7 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None, approx: boo
     narrow ``(attribute, value)`` shuffle per class instead of one job per
     attribute.  Repeated values are merged before that shuffle.
     """
-    columns = [c for c in columns or df.columns if type_class(df.schema[c].dataType) != VECTOR]
+    columns = columns or df.columns
     if approx:
         sketches = {f"d_{c}": F.approx_count_distinct(F.col(c)) for c in columns}
         return _per_attribute(df, columns, sketches, lambda c: [F.col(f"d_{c}").alias("n_distinct")])
@@ -107,6 +107,6 @@ def label_counts(df: DataFrame, label: str = "y", order: str | None = None) -> D
 
 
 def numeric_dim(df: DataFrame) -> DataFrame:
-    """How many attributes are left when those holding text are dropped."""
-    text = F.array_contains(F.split("types", ","), TEXT)
-    return type_profile(df).agg(F.count_if(~text).alias("dim"))
+    """How many attributes ``drop_categorical`` leaves; the table itself is not read."""
+    left = sum(type_class(f.dataType) != TEXT for f in df.schema.fields)
+    return df.sparkSession.range(1).select(F.lit(left).cast("bigint").alias("dim"))

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import exponential_race, tag_dim, uniform
 from ..functions.random import uniform_sql
 from ..sources.durable import Cache, discard, is_small, materialize
-from ..sources.points import TOP_N_LIMIT, subset
+from ..sources.points import subset
 from ..sources.runlog import RunLog
+from . import kernels
 from .iterations import lloyd
 from .nearest import assign, centroid_table, cluster_sizes, cost, local_centroids
 from .prepare import dense_index
@@ -21,6 +22,11 @@ from .state import NearestState
 RECLUSTER_ITERATIONS = 100
 # A round also fetches the candidates it would need if the cost fell this much.
 COST_DROP = 4.0
+# Draws of the weighted seeding looked at in one pass, and arrivals fetched for each.
+DRAWS = 16
+FETCHED = 64
+# Rows on which the hits of a round come to the driver.
+HIT_ROWS = 1024
 
 
 def init_from_set(pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None = None) -> DataFrame:
@@ -28,12 +34,8 @@ def init_from_set(pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None
     timer = log or RunLog()
     with timer.timed("init"):
         drawn = subset(pts.select("id", "x"), k, seed, tag="init")
-        named = drawn.withColumn("u", uniform(seed, "init"))
-        if k > TOP_N_LIMIT:
-            order = named.select(F.struct("u", "id").alias("o"), F.col("x").alias("c"))
-            return dense_index(materialize(order, "init"), "o", "cid").select("cid", "c")
-        place = F.row_number().over(Window.orderBy("u", "id")) - 1
-        cents = named.select(place.alias("cid"), F.col("x").alias("c"))
+        order = drawn.select(F.struct(uniform(seed, "init").alias("u"), "id").alias("o"), F.col("x").alias("c"))
+        cents = dense_index(order, "o", "cid").select(F.col("cid").cast("int").alias("cid"), "c")
         small = local_centroids(cents) if log is not None else None
         return centroid_table(pts.sparkSession, *small) if small else cents
 
@@ -64,7 +66,8 @@ def extend(cents: DataFrame, candidates: DataFrame) -> DataFrame:
 
 def dedup(cents: DataFrame) -> DataFrame:
     """Distinct centroids, numbered in vector order."""
-    return dense_index(cents.select("c").distinct(), "c", "cid").select("cid", "c")
+    numbered = dense_index(cents.select("c").distinct(), "c", "cid")
+    return numbered.select(F.col("cid").cast("int").alias("cid"), "c")
 
 
 def candidate_weights(pts: DataFrame, cents: DataFrame) -> DataFrame:
@@ -75,28 +78,39 @@ def candidate_weights(pts: DataFrame, cents: DataFrame) -> DataFrame:
 
 
 def seed_plus_plus(
-    pts: DataFrame, k: int, weight: str | None = None, seed: int = 12345, cache: str = "unpersist"
+    pts: DataFrame, k: int, weight: str | None = None, seed: int = 12345, cache: str = "none"
 ) -> DataFrame:
     """Up to ``k`` centroids by weighted distance-squared seeding.
 
-    Every draw is one pass over the points; draws stop early when all points
-    coincide with a centroid.
+    A draw is won by the earliest arrival of a race whose odds fall with the distance
+    to the nearest centroid.  Distances only fall, so arrivals only get later: a pass
+    over the points fetches the earliest few of each of the next ``DRAWS`` draws, and
+    a draw is settled from these for as long as its winner, measured against the new
+    centroids too, arrives before all that were not fetched.  Only then are the points
+    read again.  Draws stop early when all points coincide with a centroid.
     """
     spark, mass = pts.sparkSession, F.col(weight) if weight else F.lit(1.0)
     policy = Cache(cache)
     base = policy.hold_once(pts, pts.select("id", "x", mass.cast("double").alias("w")).where(F.col("w") > 0))
     state = NearestState(base, policy)
-    frame, odds, chosen = base, "w", []
-    for j in range(k):
-        race = exponential_race(seed, f"pp{j}", "id", odds).alias("t")
-        # Each task offers its earliest arrival; there is no shuffle.
-        winner = frame.where(f"{odds} > 0").select(race, "id", "x").orderBy("t", "id").limit(1).head()
+    frame = base.withColumn("d2", F.lit(1.0))
+    chosen: list[np.ndarray] = []
+    while len(chosen) < k:
+        # without a centroid there are no distances yet: the first draw stands alone
+        wanted = range(len(chosen), min(k, len(chosen) + DRAWS) if chosen else 1)
+        races = _earliest(frame, seed, wanted)
         state.settled()
-        if winner is None:
+        new: list[np.ndarray] = []
+        for draw in wanted:
+            winner = _winner(races.get(draw, []), new)
+            if winner is None:
+                break
+            new.append(winner)
+        if not new:
             break
-        chosen.append(np.array(winner.x, dtype=float))
-        if j + 1 < k:
-            frame, odds = state.add(chosen[-1][None, :]), "w * d2"
+        chosen += new
+        if len(chosen) < k:
+            frame = state.add(np.array(new))
     state.close()
     policy.release_once(pts, base)
     if not chosen:
@@ -104,6 +118,36 @@ def seed_plus_plus(
     return centroid_table(spark, range(len(chosen)), np.array(chosen))
 
 
+def _earliest(frame: DataFrame, seed: int, draws: range) -> dict[int, list]:
+    """The earliest ``FETCHED`` arrivals of each draw; every task offers no more."""
+    times = F.array(*[exponential_race(seed, f"pp{j}", "id", "1.0D") for j in draws])
+    live = frame.where("w * d2 > 0").select("id", "x", "w", "d2", times.alias("e"))
+    kind = frame.schema["id"].dataType.simpleString()
+    offered = live.mapInArrow(
+        kernels.first_arrivals(draws.start, FETCHED),
+        f"id {kind}, x array<double>, w double, d2 double, e double, draw int, t double",
+    )
+    place = F.row_number().over(Window.partitionBy("draw").orderBy("t", "id"))
+    races: dict[int, list] = {}
+    rows = offered.withColumn("place", place).where(F.col("place") <= FETCHED).collect()
+    for row in sorted(rows, key=lambda row: (row.draw, row.place)):
+        races.setdefault(row.draw, []).append(row)
+    return races
+
+
+def _winner(race: list, new: list[np.ndarray]) -> np.ndarray | None:
+    """The winner of a draw given the centroids since the pass; ``None``: not settled."""
+    best = None
+    for row in race:
+        d2 = min([row.d2, *[float(np.sum((np.array(row.x) - c) ** 2)) for c in new]])
+        if row.w * d2 > 0:
+            arrival = (row.e / (row.w * d2), row.id)
+            best = min(best, (arrival, row.x)) if best and best[0] != arrival else (arrival, row.x)
+    if best is None or len(race) == FETCHED and best[0] > (race[-1].t, race[-1].id):
+        return None
+    return np.array(best[1], dtype=float)
+
+
 def recluster(candidates: DataFrame, k: int, seed: int = 12345) -> DataFrame:
     """Reduce weighted candidates ``(cid, c, w)`` to at most ``k`` centroids."""
     n = candidates.count()
@@ -125,8 +169,7 @@ def init_parallel(
     l: float | None = None,
     seed: int = 12345,
     log: RunLog | None = None,
-    cache: str = "unpersist",
-    max_rounds: int | None = None,
+    cache: str = "none",
 ) -> DataFrame:
     """Scalable k-means seeding by oversampling (k-means||).
 
@@ -138,30 +181,35 @@ def init_parallel(
     l = float(2 * k if l is None else l)
     timer = log or RunLog()
     with timer.timed("init"):
-        candidates = oversampled_candidates(pts, l, seed, timer, cache, max_rounds)
+        candidates = oversampled_candidates(pts, l, seed, timer, cache)
         if candidates is None:
             return init_from_set(pts, 1, seed)
         return recluster(candidates, k, seed)
 
 
+def _fits(n: float, dim: int) -> bool:
+    """Whether so many candidates may be held on the driver and in every task."""
+    return is_small(n, n * (dim + 4) * 8)
+
+
 def oversampled_candidates(
     pts: DataFrame,
     l: float,
     seed: int,
     log: RunLog | None = None,
-    cache: str = "unpersist",
-    max_rounds: int | None = None,
+    cache: str = "none",
 ) -> DataFrame | None:
-    """Weighted distinct candidates ``(cid, c, w)``; ``None`` if the first cost is 0."""
+    """Weighted distinct candidates ``(cid, c, w)``; ``None`` if the first cost is 0.
+
+    Candidates stay on the driver while they, and those the next round may fetch, are
+    within the bounds; from then on the rounds go on with tables.
+    """
     log = log or RunLog()
     spark = pts.sparkSession
     policy = Cache(cache)
     base = policy.hold_once(pts, pts.select("id", "x"))
     first = local_centroids(init_from_set(base, 1, seed))[1]
     dim = first.shape[1]
-    if not is_small(COST_DROP * l, COST_DROP * l * (dim + 4) * 8):
-        return _candidates_as_tables(base, centroid_table(spark, [0], first), l, seed, log, max_rounds)
-
     state = NearestState(base, policy)
     frame = state.add(first)
     psi, drawn = _cost_and_draw(frame, None, l, seed, 0)
@@ -169,8 +217,15 @@ def oversampled_candidates(
     if psi == 0:
         policy.release_once(pts, base)
         return None
-    n_rounds = rounds(psi) if max_rounds is None else min(max_rounds, rounds(psi))
+    n_rounds = rounds(psi)
     for r in range(n_rounds):
+        if not _fits(len(state.centres) + COST_DROP * l + (0 if drawn is None else len(drawn)), dim):
+            cents = centroid_table(spark, range(len(state.centres)), state.centres)
+            table = materialize(frame.select("id", "x", "cid", "d2"), "state")
+            state.close()
+            weighted = _candidates_as_tables(base, cents, table, psi, l, seed, log, range(r, n_rounds))
+            policy.release_once(pts, base)
+            return weighted
         with log.timed("init", "tSamples", r):
             if drawn is None:
                 drawn = _draw(frame, l, psi, seed, r)
@@ -194,23 +249,27 @@ def oversampled_candidates(
     return centroid_table(spark, range(len(distinct)), distinct, w=weights)
 
 
-def _hit(frame: DataFrame, l: float, psi: float, seed: int, r: int):
+def _hit(l: float, psi: float, seed: int, r: int):
     u = uniform(seed, str(r))
     hit = u < F.lit(l) * F.col("d2") / F.lit(psi)
     return F.when(hit, F.struct("id", u.alias("u"), "d2", "x"))
 
 
 def _cost_and_draw(frame: DataFrame, before: float | None, l: float, seed: int, r: int):
-    """Cost of the generation and, if it fell moderately, the next candidates."""
+    """Cost of the generation and, if it fell moderately, the next candidates.
+
+    The hits come in up to ``HIT_ROWS`` rows: no task gathers all of them.
+    """
     if before is None:
         return _checked(frame.agg(F.sum("d2").alias("psi")).head().psi), None
     floor = before / COST_DROP
-    hits = F.collect_list(_hit(frame, l, floor, seed, r))
-    row = frame.agg(F.sum("d2").alias("psi"), hits.alias("hits")).head()
-    psi = _checked(row.psi)
+    slot = F.pmod(F.spark_partition_id(), F.lit(HIT_ROWS)).alias("slot")
+    parts = frame.groupBy(slot).agg(F.sum("d2").alias("psi"), F.collect_list(_hit(l, floor, seed, r)).alias("hits"))
+    rows = sorted(parts.collect(), key=lambda row: row.slot)
+    psi = _checked(math.fsum(row.psi for row in rows) if rows else None)
     if psi < floor:
         return psi, None
-    kept = sorted((h for h in row.hits if h.u < l * h.d2 / psi), key=lambda h: h.id)
+    kept = sorted((h for row in rows for h in row.hits if h.u < l * h.d2 / psi), key=lambda h: h.id)
     return psi, np.array([h.x for h in kept], dtype=float)
 
 
@@ -226,34 +285,33 @@ def _checked(psi) -> float:
 
 
 def _candidates_as_tables(
-    base: DataFrame, first: DataFrame, l: float, seed: int, log: RunLog, max_rounds: int | None
-) -> DataFrame | None:
-    """The same rounds for candidate sets too large for the driver.
+    base: DataFrame, cents: DataFrame, frame: DataFrame, psi: float, l: float, seed: int, log: RunLog, left: range
+) -> DataFrame:
+    """The rounds ``left`` for candidate sets too large for the driver.
 
     Candidates and assigned points live in tables of the shared folder; the
     candidates are compared in blocks.
     """
-    cents = first
-    frame = materialize(assign(base, cents), "state")
-    psi = _checked(cost(frame).head().cost)
-    log.add("init", "CostInit", psi, 0)
-    if psi == 0:
-        return None
-    n_rounds = rounds(psi) if max_rounds is None else min(max_rounds, rounds(psi))
-    for r in range(n_rounds):
+    written = []
+    for r in left:
         drawn = materialize(oversample(frame, l, psi, seed, r).select("id", "x"), "drawn")
         if not drawn.isEmpty():
             previous, known = frame, frame.select("id", "x", F.col("d2").alias("d2_before"))
             cents = materialize(extend(cents, drawn), "candidates")
+            written.append(cents)
             fresh = dense_index(drawn.select("id", F.col("x").alias("c")), "id", "cid").select("cid", "c")
             lowered = assign(known, fresh).withColumn("d2", F.least("d2", "d2_before")).drop("d2_before")
             frame = materialize(lowered, "state")
             discard(previous)
             psi = _checked(cost(frame).head().cost)
+        discard(drawn)
         log.add("init", "CostInit", psi, r + 1)
         if psi == 0:
             break
+    discard(frame)
     distinct = materialize(dedup(cents), "distinct")
+    for table in written:
+        discard(table)
     weighted = materialize(candidate_weights(base, distinct), "weighted")
-    discard(frame)
+    discard(distinct)
     return weighted

@@ -1,3 +1,3 @@
-from .cluster import Clustering, cluster, numeric_points, prepare, sweep
+from .cluster import Clustering, cluster, evaluate, numeric_points, prepare, sweep
 
-__all__ = ["Clustering", "cluster", "numeric_points", "prepare", "sweep"]
+__all__ = ["Clustering", "cluster", "evaluate", "numeric_points", "prepare", "sweep"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import sq_dist, uniform
+from ..operators.logstats import RUN
 from ..sources import (
     RunLog,
     append_run_log,
@@ -22,7 +23,7 @@ from ..sources import (
     with_partitions,
 )
 from ..sources.durable import fresh_path
-from .cluster import cluster, numeric_points, sweep
+from .cluster import cluster, evaluate, numeric_points, sweep
 
 SEED = 7
 K = 10
@@ -101,6 +102,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 2 == 0, "parallel").otherwise("naive").alias("init"),
         mode.alias("cache_mode"),
         F.pow(F.lit(2), 1 + F.col("user_id") % 7).cast("int").alias("partitions"),
+        ((F.col("user_id") % 3 + 1) * 1000).cast("bigint").alias("n_rows"),
         stage.alias("stage"),
         F.lit("tTotal").alias("metric"),
         F.col("event_id").alias("iter"),
@@ -216,6 +218,14 @@ def q_seed_plus_plus(spark, d):
     return _vectors(op.seed_plus_plus(embeddings(spark, d), 3, seed=SEED), "c", "cid")
 
 
+def q_seed_plus_plus_20(spark, d):
+    return _vectors(op.seed_plus_plus(embeddings(spark, d), 20, seed=SEED), "c", "cid")
+
+
+def q_recluster_all_rounds(spark, d):
+    return _vectors(op.recluster(op.oversampled_candidates(embeddings(spark, d), 2 * K, SEED), 3, SEED), "c", "cid")
+
+
 def q_seed_plus_plus_weighted(spark, d):
     pts = embeddings(spark, d).withColumn("w", 1 + F.col("y").cast("double"))
     return _vectors(op.seed_plus_plus(pts, 3, "w", SEED), "c", "cid")
@@ -241,9 +251,19 @@ def q_lloyd_weighted_2_iter(spark, d):
     return _vectors(op.lloyd(pts, start(pts), 2, tol=None, weight="w"), "c", "cid", "n")
 
 
+def q_lloyd_20_iter(spark, d):
+    pts = embeddings(spark, d)
+    return _vectors(op.lloyd(pts, start(pts), 20, tol=None), "c", "cid", "n")
+
+
+def q_lloyd_weighted_100_iter(spark, d):
+    pts = embeddings(spark, d).withColumn("w", 1 + F.col("y").cast("double"))
+    return _vectors(op.lloyd(pts, start(pts), 100, tol=None, weight="w"), "c", "cid", "n")
+
+
 def q_lloyd_cost_log(spark, d):
     pts = scaled_lineitem(spark, d)
-    log = RunLog("1", "naive", "unpersist", 0)
+    log = RunLog("1", "naive", "unpersist")
     op.lloyd(with_partitions(pts), start(pts, 3), 20, log=log, cache="unpersist")
     costs = op.series(log.to_df(spark), "lloyd", "CostsKmeans")
     return costs.select("iter", _r("value", "cost"))
@@ -262,11 +282,45 @@ def q_cluster_space(spark, d):
 
 
 def q_cluster_naive_lineitem(spark, d):
-    return _summary(cluster(lineitem(spark, d), init="naive", seed=SEED).assigned())
+    return _summary(cluster(lineitem(spark, d), init="naive", seed=SEED, cache="unpersist").assigned())
 
 
 def q_cluster_parallel_lineitem(spark, d):
-    return _summary(cluster(lineitem(spark, d), seed=SEED).assigned())
+    return _summary(cluster(lineitem(spark, d), seed=SEED, cache="unpersist").assigned())
+
+
+def _finished(spark, d):
+    return cluster(lineitem(spark, d), init="naive", seed=SEED, cache="unpersist")
+
+
+def q_evaluate_lineitem(spark, d):
+    """A finished clustering against the true labels."""
+    found = evaluate(_finished(spark, d))
+    return found.select("y", "n", "cid", "matched", _r("d2", "d2"), _r("radius", "radius"), _r("other", "other"))
+
+
+def q_evaluate_lineitem_mse(spark, d):
+    run = _finished(spark, d)
+    return op.match_mse(op.expected_centroids(run.points), run.centroids.select("cid", "c")).select(_r("mse", "mse"))
+
+
+def unlabelled_in_part(pts: DataFrame) -> DataFrame:
+    """Line items of which those with line number 3 have no label."""
+    return pts.withColumn("y", F.when(F.col("x")[LINEITEM_FEATURES.index("l_linenumber")] != 3, F.col("y")))
+
+
+def q_label_index_nulls(spark, d):
+    return op.label_index(unlabelled_in_part(lineitem(spark, d))).select("id", "y", "label_id")
+
+
+def q_expected_distances_nulls(spark, d):
+    pts = op.minmax_rescale(unlabelled_in_part(lineitem(spark, d)))
+    return op.expected_distances(pts).select("id", "y", _r("d2", "d2"))
+
+
+def q_drop_categorical(spark, d):
+    """What is left of the line items; the time is shown as a day."""
+    return op.drop_categorical(mixed(spark, d)).withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 def _scaled_and_start(spark, d):
@@ -290,27 +344,29 @@ def q_run_log_roundtrip(spark, d):
 
 def q_sweep(spark, d):
     """Costs of every combination; they do not depend on the partition count."""
-    log = sweep(embeddings(spark, d), [2, 8], inits=("naive",), k=K, max_iter=3, tol=None, seed=SEED, rescale=False)
+    log = sweep(embeddings(spark, d), [2, 8], k=K, seed=SEED, rescale=False)
     costs = log.where(F.col("metric") == "CostsKmeans")
     return costs.select("init", "partitions", "iter", _r("value", "cost"))
 
 
 def q_cache_modes(spark, d):
-    log = sweep(
-        embeddings(spark, d),
-        [8],
-        inits=("naive",),
-        caches=("none", "persist", "unpersist"),
-        k=K,
-        max_iter=2,
-        tol=None,
-        seed=SEED,
-        rescale=False,
-    )
+    caches = ("none", "persist", "unpersist")
+    log = sweep(embeddings(spark, d), [8], inits=("parallel",), caches=caches, k=K, seed=SEED, rescale=False)
     costs = log.where(F.col("metric") == "CostsKmeans")
     return costs.select("cache_mode", "iter", _r("value", "cost"))
 
 
+def q_sweep_runs(spark, d):
+    """Runs and stages counted over a log that two sweeps have written."""
+    path = fresh_path(spark, "runlog")
+    pts = embeddings(spark, d)
+    for caches, repetitions in ((("none", "persist"), 2), (("persist",), 1)):
+        done = sweep(pts, [2], inits=("naive",), caches=caches, repetitions=repetitions, k=K, seed=SEED, rescale=False)
+        append_run_log(done, path)
+    stats = op.stage_stats(read_run_logs(spark, path))
+    return stats.select("init", "cache_mode", "partitions", "n_rows", "stage", "n_runs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and layout
     "load_points": lambda s, d: _vectors(embeddings(s, d), "x", "id", "y"),
@@ -330,10 +386,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_counts": lambda s, d: op.label_counts(_table(s, d, "part"), "p_brand"),
     "numeric_dim": lambda s, d: op.numeric_dim(_table(s, d, "lineitem")),
     # preparation
-    "drop_categorical": lambda s, d: op.drop_categorical(mixed(s, d)),
+    "drop_categorical": q_drop_categorical,
     "min_max": q_min_max,
     "minmax_rescale": q_minmax_rescale,
     "label_index": lambda s, d: op.label_index(lineitem(s, d)).select("id", "y", "label_id"),
+    "label_index_nulls": q_label_index_nulls,
     # distances, assignment, update
     "sq_dist": lambda s, d: embeddings(s, d).select("id", _r(sq_dist(F.col("x"), F.reverse("x")), "d2")),
     "assign": lambda s, d: _matches(op.assign(embeddings(s, d), start(embeddings(s, d)))),
@@ -373,12 +430,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candidate_weights": q_candidate_weights,
     "candidates": q_candidates,
     "seed_plus_plus": q_seed_plus_plus,
+    "seed_plus_plus_20": q_seed_plus_plus_20,
     "seed_plus_plus_weighted": q_seed_plus_plus_weighted,
     "recluster": q_recluster,
+    "recluster_all_rounds": q_recluster_all_rounds,
     "init_parallel": q_init_parallel,
     # iterations and whole runs
     "lloyd_2_iter": q_lloyd_2_iter,
     "lloyd_weighted_2_iter": q_lloyd_weighted_2_iter,
+    "lloyd_20_iter": q_lloyd_20_iter,
+    "lloyd_weighted_100_iter": q_lloyd_weighted_100_iter,
     "lloyd_cost_log": q_lloyd_cost_log,
     "cluster_naive": q_cluster_naive,
     "cluster_parallel": q_cluster_parallel,
@@ -390,6 +451,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_sizes_desc": lambda s, d: op.label_counts(embeddings(s, d), order="desc"),
     "expected_centroids": lambda s, d: _vectors(op.expected_centroids(embeddings(s, d)), "c", "cid", "y", "n"),
     "expected_distances": lambda s, d: op.expected_distances(scaled_lineitem(s, d)).select("id", "y", _r("d2", "d2")),
+    "expected_distances_nulls": q_expected_distances_nulls,
+    "evaluate_lineitem": q_evaluate_lineitem,
+    "evaluate_lineitem_mse": q_evaluate_lineitem_mse,
     "match_centroids": lambda s, d: op.match_centroids(*_expected_and_start(s, d)).select(
         "cid", "matched", _r("d2", "d2"), _r("dist", "dist")
     ),
@@ -400,14 +464,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     # run-log analytics
     "stage_times": lambda s, d: op.stage_times(event_log(s, d)).select(
-        "run_id", "init", "partitions", _r("pre", "pre"), _r("init_time", "init_time"), _r("lloyd", "lloyd")
+        *RUN, _r("pre", "pre"), _r("init_time", "init_time"), _r("lloyd", "lloyd")
     ),
     "stage_stats": lambda s, d: op.stage_stats(event_log(s, d)).select(
-        "init", "partitions", "stage", _r("mean", "mean"), _r("std", "std"), "n_runs"
+        *RUN[1:], "stage", _r("mean", "mean"), _r("std", "std"), "n_runs"
     ),
     "series": lambda s, d: op.series(event_log(s, d), "lloyd", "tTotal"),
     "cache_comparison": lambda s, d: op.cache_comparison(event_log(s, d)).select(
-        "cache_mode", _r("mean_total", "mean_total"), "n_runs"
+        "cache_mode", "n_rows", _r("mean_total", "mean_total"), "n_runs"
     ),
     "sweep": q_sweep,
+    "sweep_runs": q_sweep_runs,
 }

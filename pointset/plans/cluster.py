@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dim_of
+from ..operators.evaluate import expected_centroids, match_centroids, nearest_other, rms_radius
 from ..operators.iterations import lloyd
 from ..operators.nearest import assign
 from ..operators.prepare import minmax_rescale, numeric_columns
@@ -79,18 +80,20 @@ def cluster(
     max_iter: int = 20,
     tol: float | None = 1e-3,
     seed: int = 12345,
-    cache: str = "unpersist",
+    cache: str = "none",
     partitions: int | None = None,
     rescale: bool = True,
-    run_id: str = "run",
+    run_id: str | None = None,
+    n_rows: int | None = None,
 ) -> Clustering:
     """Rescale, pick start centroids and run Lloyd iterations.
 
-    ``k`` defaults to the number of labels and ``l`` to ``2k``.
+    ``k`` defaults to the number of labels and ``l`` to ``2k``.  ``run_id`` and
+    ``n_rows`` go to the log; a run gets an id of its own if none is given.
     """
     if init not in INITS:
         raise ValueError(f"init must be one of {INITS}, not {init!r}")
-    log = RunLog(run_id, init, cache, partitions or 0)
+    log = RunLog(run_id, init, cache, partitions or 0, n_rows)
     policy = Cache(cache)
     with log.timed("total"):
         with log.timed("pre"):
@@ -115,18 +118,39 @@ def sweep(
     partitions: list[int],
     inits: tuple[str, ...] = ("parallel", "naive"),
     caches: tuple[str, ...] = ("persist",),
+    repetitions: int = 1,
     **options,
 ) -> DataFrame:
-    """Run logs of every combination of partition count, start and caching mode."""
+    """Run logs of every combination of partition count, start and caching mode.
+
+    Every run has an id of its own and carries the number of rows, so logs of several
+    sweeps can be kept together.
+    """
     spark = pts.sparkSession
+    n_rows = pts.count()
     rows = []
     for n in partitions:
         for init in inits:
             for cache in caches:
-                run = cluster(pts, init=init, cache=cache, partitions=n, **options)
-                rows += run.log.rows
-                if cache == "persist":
-                    run.points.unpersist()
+                for _ in range(repetitions):
+                    run = cluster(pts, init=init, cache=cache, partitions=n, n_rows=n_rows, **options)
+                    rows += run.log.rows
+                    if cache == "persist":
+                        run.points.unpersist()
     merged = RunLog()
     merged.rows = rows
     return merged.to_df(spark)
+
+
+def evaluate(run: Clustering, label: str = "y") -> DataFrame:
+    """A finished clustering against the true labels, a row per label.
+
+    ``y, n`` and the position ``cid`` of the label, the final centroid ``matched`` to
+    its mean and their squared distance ``d2``, the label's ``radius`` and the distance
+    ``other`` to the nearest mean of another label.
+    """
+    expected = expected_centroids(run.points, label)
+    matched = match_centroids(expected, run.centroids.select("cid", "c")).select("cid", "matched", "d2")
+    others = nearest_other(expected).select("cid", F.col("dist").alias("other"))
+    joined = expected.select("cid", label, "n").join(matched, "cid").join(others, "cid")
+    return joined.join(rms_radius(run.points, label), label)

@@ -178,7 +178,11 @@ class Script:
 
     def candidates(self, src: str, l: float, rounds: int = MAX_ROUNDS) -> str:
         first, state, psi = self.first_state(src)
-        limit = self.add(f"SELECT greatest(1, floor(ln(v))) AS r FROM {psi}", "rounds")
+        wanted = "greatest(1, floor(ln(v)))"
+        limit = self.add(
+            f"SELECT CASE WHEN {wanted} > {rounds} THEN error('more than {rounds} rounds') ELSE {wanted} END AS r FROM {psi}",
+            "rounds",
+        )
         parts = [f"SELECT c FROM {first}"]
         for r in range(rounds):
             drawn = self.oversample(state, l, psi, r, f"{r} < (SELECT r FROM {limit}) AND (SELECT v FROM {psi}) > 0")
@@ -237,10 +241,12 @@ EVENT_LOG = """
            CASE WHEN user_id % 2 = 0 THEN 'parallel' ELSE 'naive' END AS init,
            CASE event_id % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'persist' ELSE 'unpersist' END AS cache_mode,
            CAST(pow(2, 1 + user_id % 7) AS INT) AS partitions,
+           CAST((user_id % 3 + 1) * 1000 AS BIGINT) AS n_rows,
            CASE event_type WHEN 'click' THEN 'pre' WHEN 'view' THEN 'init'
                            WHEN 'purchase' THEN 'lloyd' ELSE 'other' END AS stage,
            'tTotal' AS metric, event_id AS iter, value
     FROM events"""
+SETTING = "init, cache_mode, partitions, n_rows"
 TIMED = "metric = 'tTotal' AND stage IN ('pre', 'init', 'lloyd')"
 
 # Attributes of the checked line items, in table order.
@@ -307,6 +313,11 @@ def _own_distances(s: Script, pts: str) -> str:
     return s.add(f"SELECT p.id, p.y, {sq('p.x', 'e.c')} AS d2 FROM {pts} p JOIN {means} e USING (y)", "own")
 
 
+def _unlabelled_in_part(s: Script) -> str:
+    place = LINEITEM_FEATURES.index("l_linenumber") + 1
+    return s.add(f"SELECT id, x, CASE WHEN x[{place}] <> 3 THEN y END AS y FROM {s.lineitem()}", "part_labelled")
+
+
 def _matched(s: Script) -> str:
     pts, predicted = _predicted(s)
     expected = _expected(s, pts)
@@ -332,15 +343,24 @@ def _build() -> dict[str, str]:
     )
     sql["partition_count"] = "SELECT CAST(8 AS BIGINT) AS n_partitions, count(*) AS n_rows FROM lineitem"
 
-    def naive_costs(iterations: int, keys: str) -> str:
-        s = Script()
-        pts, cents = _started(s)
-        costs = s.lloyd(pts, cents, iterations)[1]
+    def run_costs(s: Script, pts: str, cents: str) -> str:
+        costs = s.lloyd(pts, cents, MAX_LLOYD, 0.001)[1]
         every = _union(f"SELECT * FROM {c}" for c in costs)
-        return s.select(f"SELECT {keys}, CAST(iter AS BIGINT) AS iter, {r6('cost', 'cost')} FROM ({every})")
+        return s.add(
+            f"SELECT CAST(iter AS BIGINT) AS iter, {r6('cost', 'cost')} FROM ({every}) WHERE cost IS NOT NULL", "costs"
+        )
 
-    sql["cache_modes"] = naive_costs(2, "unnest(['none', 'persist', 'unpersist']) AS cache_mode")
-    sql["sweep"] = naive_costs(3, "'naive' AS init, unnest([2::INT, 8::INT]) AS partitions")
+    s = Script()
+    pts = s.embeddings()
+    costs = run_costs(s, pts, s.init_parallel(pts, K))
+    sql["cache_modes"] = s.select(f"SELECT unnest(['none', 'persist', 'unpersist']) AS cache_mode, iter, cost FROM {costs}")
+    naive = run_costs(s, pts, s.from_set(pts, K))
+    both = f"SELECT 'parallel' AS init, * FROM {costs} UNION ALL SELECT 'naive', * FROM {naive}"
+    sql["sweep"] = s.select(f"SELECT init, unnest([2::INT, 8::INT]) AS partitions, iter, cost FROM ({both})")
+    sql["sweep_runs"] = """
+        SELECT 'naive' AS init, cache_mode, 2::INT AS partitions, (SELECT count(*) FROM embeddings) AS n_rows,
+               unnest(['pre', 'init', 'lloyd']) AS stage, n_runs
+        FROM (VALUES ('none', 2::BIGINT), ('persist', 3::BIGINT)) AS t(cache_mode, n_runs)"""
     sql["run_log_roundtrip"] = EVENT_LOG
 
     sql["shape"] = "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS INT) AS dim FROM embeddings"
@@ -354,7 +374,8 @@ def _build() -> dict[str, str]:
     sql["numeric_dim"] = f"SELECT count(*) AS dim FROM ({every_type}) WHERE NOT list_contains(string_split(types, ','), 'text')"
 
     columns = ", ".join(LINEITEM_FEATURES)
-    sql["drop_categorical"] = f"SELECT {columns}, 1.0::DOUBLE AS konst FROM lineitem"
+    day = "strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate"
+    sql["drop_categorical"] = f"SELECT {columns}, {day}, 1.0::DOUBLE AS konst FROM lineitem"
     s = Script()
     bounds = s.bounds(s.lineitem(", 1.0::DOUBLE"))
     sql["min_max"] = s.select(f"SELECT CAST(pos - 1 AS INT) AS pos, {r6('lo', 'lo')}, {r6('hi', 'hi')} FROM {bounds}")
@@ -364,8 +385,11 @@ def _build() -> dict[str, str]:
     sql["minmax_rescale"] = s.select(f"SELECT id, CAST(len(x) AS INT) AS dim, {xs} FROM {scaled}")
     s = Script()
     sql["label_index"] = s.select(
-        f"SELECT id, y, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INT) AS label_id FROM {s.lineitem()}"
+        f"SELECT id, y, CAST(dense_rank() OVER (ORDER BY y) - 1 AS BIGINT) AS label_id FROM {s.lineitem()}"
     )
+    s = Script()
+    place = "CASE WHEN y IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY y NULLS LAST) - 1 AS BIGINT) END"
+    sql["label_index_nulls"] = s.select(f"SELECT id, y, {place} AS label_id FROM {_unlabelled_in_part(s)}")
 
     s = Script()
     sql["sq_dist"] = s.select(
@@ -435,6 +459,11 @@ def _build() -> dict[str, str]:
     plain = s.add(f"SELECT *, 1.0::DOUBLE AS w FROM {s.embeddings()}")
     sql["seed_plus_plus"] = s.vectors(s.seed_plus_plus(plain, 3), "c", "cid")
     s = Script()
+    plain = s.add(f"SELECT *, 1.0::DOUBLE AS w FROM {s.embeddings()}")
+    sql["seed_plus_plus_20"] = s.vectors(s.seed_plus_plus(plain, 20), "c", "cid")
+    s = Script()
+    sql["recluster_all_rounds"] = s.vectors(s.recluster(s.candidates(s.embeddings(), 2 * K), 3), "c", "cid")
+    s = Script()
     sql["seed_plus_plus_weighted"] = s.vectors(s.seed_plus_plus(_weighted(s, s.embeddings()), 3), "c", "cid")
     s = Script()
     pts = s.embeddings()
@@ -449,6 +478,12 @@ def _build() -> dict[str, str]:
     pts, cents = _started(s)
     sql["lloyd_weighted_2_iter"] = s.vectors(s.lloyd(_weighted(s, pts), cents, 2, weight="w")[0], "c", "cid", "n")
     s = Script()
+    pts, cents = _started(s)
+    sql["lloyd_20_iter"] = s.vectors(s.lloyd(pts, cents, 20)[0], "c", "cid", "n")
+    s = Script()
+    pts, cents = _started(s)
+    sql["lloyd_weighted_100_iter"] = s.vectors(s.lloyd(_weighted(s, pts), cents, 100, weight="w")[0], "c", "cid", "n")
+    s = Script()
     pts = s.scaled_lineitem()
     costs = s.lloyd(pts, s.from_set(pts, 3), MAX_LLOYD, 0.001)[1]
     every = _union(f"SELECT * FROM {c}" for c in costs)
@@ -487,6 +522,29 @@ def _build() -> dict[str, str]:
     sql["expected_distances"] = s.select(
         f"SELECT id, y, {r6('d2', 'd2')} FROM {_own_distances(s, s.scaled_lineitem())}"
     )
+    s = Script()
+    pts = s.rescale(_unlabelled_in_part(s))
+    means = _expected(s, s.add(f"SELECT * FROM {pts} WHERE y IS NOT NULL"))
+    own = s.add(f"SELECT p.id, p.y, {sq('p.x', 'e.c')} AS d2 FROM {pts} p LEFT JOIN {means} e USING (y)", "own")
+    sql["expected_distances_nulls"] = s.select(f"SELECT id, y, {r6('d2', 'd2')} FROM {own}")
+
+    s = Script()
+    pts = s.scaled_lineitem()
+    final = s.lloyd(pts, s.from_set(pts, 3), MAX_LLOYD, 0.001)[0]
+    means = _expected(s, pts)
+    near = s.assign(s.add(f"SELECT cid AS id, c AS x FROM {means}", "wanted"), final)
+    gaps = f"SELECT a.cid, min({sq('a.c', 'b.c')}) AS other FROM {means} a JOIN {means} b ON a.cid <> b.cid GROUP BY a.cid"
+    radius = (
+        f"SELECT y, sqrt(avg(d2)) AS radius FROM (SELECT p.y, {sq('p.x', 'e.c')} AS d2 FROM {pts} p JOIN {means} e "
+        "USING (y)) GROUP BY y"
+    )
+    sql["evaluate_lineitem"] = s.select(
+        f"SELECT e.y, e.n, e.cid, m.cid AS matched, {r6('m.d2', 'd2')}, {r6('r.radius', 'radius')}, "
+        f"{r6('sqrt(o.other)', 'other')} FROM {means} e JOIN {near} m ON m.id = e.cid JOIN ({radius}) r ON r.y = e.y "
+        f"JOIN ({gaps}) o ON o.cid = e.cid"
+    )
+    sql["evaluate_lineitem_mse"] = s.select(f"SELECT {r6('avg(d2)', 'mse')} FROM {near}")
+
     s = Script()
     found = _matched(s)
     sql["match_centroids"] = s.select(
@@ -507,26 +565,26 @@ def _build() -> dict[str, str]:
         for stage, name in [("pre", "pre"), ("init", "init_time"), ("lloyd", "lloyd")]
     )
     sql["stage_times"] = (
-        f"SELECT run_id, init, partitions, {times} FROM ({EVENT_LOG}) WHERE {TIMED} GROUP BY run_id, init, partitions"
+        f"SELECT run_id, {SETTING}, {times} FROM ({EVENT_LOG}) WHERE {TIMED} GROUP BY run_id, {SETTING}"
     )
     per_run = (
-        f"SELECT init, partitions, stage, sum(value) AS t FROM ({EVENT_LOG}) WHERE {TIMED} "
-        "GROUP BY run_id, init, partitions, stage"
+        f"SELECT {SETTING}, stage, sum(value) AS t FROM ({EVENT_LOG}) WHERE {TIMED} GROUP BY run_id, {SETTING}, stage"
     )
     sql["stage_stats"] = (
-        f"SELECT init, partitions, stage, {r6('avg(t)', 'mean')}, {r6('stddev_pop(t)', 'std')}, count(*) AS n_runs "
-        f"FROM ({per_run}) GROUP BY init, partitions, stage"
+        f"SELECT {SETTING}, stage, {r6('avg(t)', 'mean')}, {r6('stddev_pop(t)', 'std')}, count(*) AS n_runs "
+        f"FROM ({per_run}) GROUP BY {SETTING}, stage"
     )
     sql["series"] = (
-        f"SELECT run_id, init, cache_mode, partitions, iter, value FROM ({EVENT_LOG}) "
+        f"SELECT run_id, {SETTING}, iter, value FROM ({EVENT_LOG}) "
         "WHERE stage = 'lloyd' AND metric = 'tTotal' ORDER BY run_id, init, partitions, iter"
     )
     per_mode = (
-        f"SELECT cache_mode, sum(value) AS t FROM ({EVENT_LOG}) WHERE {TIMED} AND partitions = 8 "
-        "GROUP BY run_id, init, cache_mode"
+        f"SELECT cache_mode, n_rows, sum(value) AS t FROM ({EVENT_LOG}) WHERE {TIMED} AND partitions = 8 "
+        f"GROUP BY run_id, {SETTING}"
     )
     sql["cache_comparison"] = (
-        f"SELECT cache_mode, {r6('avg(t)', 'mean_total')}, count(*) AS n_runs FROM ({per_mode}) GROUP BY cache_mode"
+        f"SELECT cache_mode, n_rows, {r6('avg(t)', 'mean_total')}, count(*) AS n_runs FROM ({per_mode}) "
+        "GROUP BY cache_mode, n_rows"
     )
     return sql
 

@@ -1,4 +1,4 @@
-from .durable import Cache, discard, fetch_small, lookup_join, materialize, shared_folder
+from .durable import Cache, discard, fetch_small, lookup_join, materialize, shared_folder, table_scope
 from .points import assemble, load_points, partition_count, shuffle, subset, to_points, with_partitions
 from .runlog import RunLog, append_run_log, read_run_logs
 
@@ -17,6 +17,7 @@ __all__ = [
     "shared_folder",
     "shuffle",
     "subset",
+    "table_scope",
     "to_points",
     "with_partitions",
 ]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 CACHE_MODES = ("none", "persist", "unpersist")
@@ -17,7 +20,11 @@ CACHE_MODES = ("none", "persist", "unpersist")
 SMALL_ROWS = 50_000
 SMALL_BYTES = 128 << 20
 
-SALTS = 32
+# Rows of one key from which a join with a large lookup table splits it.
+HOT_ROWS = 1_000_000
+SALTED_ROWS = 250_000
+
+_scopes = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,13 +35,40 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="pointset-")
-    context.setCheckpointDir(folder)
-    return folder
+    # A local session without the setting gets one folder for all its tables.
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="pointset-")
+    return _local_folders[context.applicationId]
+
+
+_local_folders: dict[str, str] = {}
+
+
+@contextmanager
+def table_scope():
+    """Delete, at the end, every intermediate table written inside.
+
+    What was computed inside has to be consumed (or written elsewhere) by then.
+    """
+    outer, _scopes.tables = getattr(_scopes, "tables", None), []
+    try:
+        yield
+    finally:
+        for spark, path in _scopes.tables:
+            _delete(spark, path)
+        _scopes.tables = outer
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/pointset/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/pointset/{name}-{uuid.uuid4().hex}"
+    if getattr(_scopes, "tables", None) is not None:
+        _scopes.tables.append((spark, path))
+    return path
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -53,24 +87,20 @@ def discard(df: DataFrame) -> None:
     """Delete the files of a superseded ``materialize`` result."""
     spark = df.sparkSession
     owned = f"{shared_folder(spark).rstrip('/')}/pointset/"
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
-    for folder in folders:
-        if owned.split(":", 1)[-1].lstrip("/") not in folder:
-            continue
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if owned.split(":", 1)[-1].lstrip("/") in folder:
+            _delete(spark, folder)
 
 
 class Cache:
     """What to do with intermediate tables that are read more than once.
 
-    ``none`` recomputes them, ``persist`` keeps every generation and
-    ``unpersist`` keeps only the latest one.
+    ``none`` recomputes them and needs no storage.  ``unpersist`` keeps the latest
+    generation: about one copy of ids and vectors on the executors, and at times one
+    in the shared folder.  ``persist`` keeps every generation.
     """
 
-    def __init__(self, mode: str = "unpersist"):
+    def __init__(self, mode: str = "none"):
         if mode not in CACHE_MODES:
             raise ValueError(f"cache must be one of {CACHE_MODES}, not {mode!r}")
         self.mode = mode
@@ -103,16 +133,38 @@ def is_kept(df: DataFrame) -> bool:
 def fetch_small(df: DataFrame) -> pa.Table | None:
     """The table as Arrow data if it is within the bounds, else ``None``.
 
-    A collected limit stops reading once it has ``SMALL_ROWS + 1`` rows, so a
-    table beyond the bound does not reach the driver or a single task.
+    The width of a row is known before any is fetched, from the length recorded with
+    its vectors or else from one row.  A limit then stops reading at the first row
+    beyond the bounds, so a larger table reaches neither the driver nor a single task.
     """
-    rows = df.limit(SMALL_ROWS + 1).collect()
-    if len(rows) > SMALL_ROWS:
+    schema = to_arrow_schema(df.schema)
+    per_row = _row_bytes(df)
+    if per_row is None:
+        first = df.limit(1).collect()
+        if not first:
+            return schema.empty_table()
+        per_row = pa.Table.from_pylist([r.asDict(recursive=True) for r in first], schema=schema).nbytes
+    most = min(SMALL_ROWS, int(SMALL_BYTES / max(1, per_row)))
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
         return None
-    table = pa.Table.from_pylist([row.asDict(recursive=True) for row in rows], schema=to_arrow_schema(df.schema))
+    table = pa.Table.from_pylist([row.asDict(recursive=True) for row in rows], schema=schema)
     return table if is_small(table.num_rows, table.nbytes) else None
 
 
+def _row_bytes(df: DataFrame) -> int | None:
+    """Bytes of a row, texts taken as 64; ``None`` if a vector's length is not recorded."""
+    total = 0
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.ArrayType):
+            if "dim" not in field.metadata:
+                return None
+            total += 8 * int(field.metadata["dim"])
+        else:
+            total += 64 if isinstance(field.dataType, (T.StringType, T.BinaryType, T.StructType)) else 8
+    return total
+
+
 def is_small(rows: float, size: float) -> bool:
     return rows <= SMALL_ROWS and size <= SMALL_BYTES
 
@@ -124,16 +176,25 @@ def local_table(spark: SparkSession, table: pa.Table, schema) -> DataFrame:
 def lookup_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows to a lookup table with one row per ``key``.
 
-    A lookup table within the bounds is broadcast.  A larger one is joined on
-    ``(key, salt)``: the rows of one key spread over ``SALTS`` tasks, so that a
-    key holding a third of all rows does not end in one task.
+    A lookup table within the bounds is broadcast.  A larger one is joined by a
+    shuffle, in which only keys found hot are split: such a key gets a part of its
+    own for every ``SALTED_ROWS`` of its rows, and only its lookup row is copied.
     """
     spark = big.sparkSession
     table = fetch_small(small)
     if table is not None:
         return big.join(F.broadcast(local_table(spark, table, small.schema)), key, how)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    counts = big.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
+    # At most rows / HOT_ROWS keys are hot: some ten thousand among 10^10 rows.
+    hot = {row[0]: -(-row["_n"] // SALTED_ROWS) for row in counts.collect() if row[0] is not None}
+    if not hot:
+        return big.join(small, key, how)
+    parts = spark.createDataFrame(list(hot.items()), [key, "_parts"]).withColumn(key, F.col(key).cast(small.schema[key].dataType))
     others = [F.col(name) for name in big.columns]
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_salt", salts)
+    salted = big.join(F.broadcast(parts), key, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*others), F.col("_parts")), F.lit(0)).cast("int")
+    ).drop("_parts")
+    copies = small.join(F.broadcast(parts), key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), (F.coalesce("_parts", F.lit(1)) - 1).cast("int")))
+    ).drop("_parts")
     return salted.join(copies, [key, "_salt"], how).drop("_salt")

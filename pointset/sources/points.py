@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tag_dim, uniform
+from .durable import discard, materialize
 
-# Up to this many rows a top-n per task is cheaper than two more scans of the ids.
+# Keys that may be sorted in one task to find one of them.
 TOP_N_LIMIT = 10_000
 HISTOGRAM_BINS = 1024
 
@@ -73,29 +74,38 @@ def shuffle(df: DataFrame, seed: int, id: str = "id", tag: str = "shuffle") -> D
 
 
 def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle") -> DataFrame:
-    """The first ``n`` rows of ``shuffle``, as a set.
+    """The first ``n`` rows of ``shuffle``, as a set; of rows with one id, any.
 
-    A small ``n`` is a top-n plan.  A large ``n`` would funnel n rows of every
-    task into one; there the n-th smallest key is located first, with two scans
-    of the ids alone, and the subset becomes a plain filter without any shuffle.
+    Rows with keys below ``(n + 8 sqrt n) / total``, about ``n`` of them, are kept in
+    the shared folder; the n-th smallest key is located among these.  Nothing but
+    the rows of its bin is ever sorted.
     """
-    if n <= TOP_N_LIMIT:
-        return df.withColumn("_u", uniform(seed, tag, id)).orderBy("_u", id).limit(n).drop("_u")
-    u = uniform(seed, tag, id)
     total = df.count()
     if n >= total:
         return df
-    keys = df.select(F.col(id).alias("id"), u.alias("u"))
-    # All n smallest keys lie below `top` unless the draw is many sigma off;
-    # the count decides, and doubling `top` mends it.
-    top, low, need, inside = min(1.0, (n + 8 * math.sqrt(n)) / total), 0.0, n, keys
+    top = min(1.0, (n + 8 * math.sqrt(n)) / total)
+    while True:
+        near = materialize(df.withColumn("_u", uniform(seed, tag, id)).where(F.col("_u") < F.lit(top)), "subset")
+        have = near.count()
+        if have >= n or top >= 1.0:
+            break
+        # repeated ids vary more than single ones: take more
+        discard(near)
+        top = min(1.0, 2 * top)
+    if have == n:
+        return near.drop("_u")
+    last, rest = _key_at(near.select(F.col("_u").alias("u"), F.col(id).alias("id")), n, top)
+    key, cut = F.struct(F.col("_u"), F.col(id)), F.struct(F.lit(last.u).alias("_u"), F.lit(last.id).alias(id))
+    return near.where(key < cut).unionAll(near.where(key == cut).limit(rest)).drop("_u")
+
+
+def _key_at(keys: DataFrame, n: int, top: float):
+    """The n-th smallest of ``(u, id)``, and how many rows with this key are wanted."""
+    low, need, inside = 0.0, n, keys
     while True:
         width = (top - low) / HISTOGRAM_BINS
-        bin_no = F.least(F.floor((F.col("u") - low) / width), F.lit(HISTOGRAM_BINS))
+        bin_no = F.least(F.floor((F.col("u") - low) / width), F.lit(HISTOGRAM_BINS - 1))
         counts = inside.groupBy(bin_no.alias("b")).count().orderBy("b").collect()
-        if inside is keys and sum(row["count"] for row in counts if row.b < HISTOGRAM_BINS) < n:
-            top *= 2
-            continue
         for row in counts:
             if need <= row["count"]:
                 break
@@ -104,8 +114,12 @@ def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle
         if row["count"] <= TOP_N_LIMIT or width < 1e-15:
             break
         low, top = low + row.b * width, low + (row.b + 1) * width
-    last = inside.orderBy("u", "id").limit(need).agg(F.max(F.struct("u", "id")).alias("m")).head().m
-    return df.where(F.struct(u.alias("u"), F.col(id).alias("id")) <= F.struct(F.lit(last.u).alias("u"), F.lit(last.id).alias("id")))
+    # Rows of one id share a key: counted, the bin has few keys left.
+    for row in inside.groupBy("u", "id").count().orderBy("u", "id").limit(TOP_N_LIMIT + 1).collect():
+        if need <= row["count"]:
+            return row, need
+        need -= row["count"]
+    raise ValueError("more different ids with one key than a keyed draw can have")
 
 
 def with_partitions(df: DataFrame, n: int | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ SCHEMA = T.StructType(
         T.StructField("init", T.StringType()),
         T.StructField("cache_mode", T.StringType()),
         T.StructField("partitions", T.IntegerType()),
+        T.StructField("n_rows", T.LongType()),
         T.StructField("stage", T.StringType()),
         T.StructField("metric", T.StringType()),
         T.StructField("iter", T.LongType()),
@@ -25,15 +27,17 @@ SCHEMA = T.StructType(
 class RunLog:
     """Collects the scalar measurements of one run on the driver."""
 
-    def __init__(self, run_id: str = "run", init: str = "", cache_mode: str = "", partitions: int = 0):
-        self.head = (str(run_id), init, cache_mode, int(partitions))
+    def __init__(
+        self, run_id: str | None = None, init: str = "", cache_mode: str = "", partitions: int = 0, n_rows: int | None = None
+    ):
+        self.head = (run_id or uuid.uuid4().hex, init, cache_mode, int(partitions), n_rows)
         self.rows: list[tuple] = []
 
     def add(self, stage: str, metric: str, value: float, iter: int = 0) -> None:
         self.rows.append((*self.head, stage, metric, int(iter), float(value)))
 
     def values(self, stage: str, metric: str) -> list[float]:
-        return [row[7] for row in self.rows if row[4] == stage and row[5] == metric]
+        return [row[-1] for row in self.rows if row[-4] == stage and row[-3] == metric]
 
     @contextmanager
     def timed(self, stage: str, metric: str = "tTotal", iter: int = 0):

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
-def make_session(cores: str = "8") -> SparkSession:
+def make_session(cores: str = os.environ.get("TEST_CPUS", "8")) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("pointset")

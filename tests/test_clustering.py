@@ -239,12 +239,108 @@ def test_lone_centroid(spark):
     assert row.nearest is None and row.dist == float("inf")
 
 
-def test_large_candidate_sets(spark, embeddings, monkeypatch):
-    pts = embeddings.select("id", "x")
-    want = {r.cid: (r.c, r.w) for r in ps.oversampled_candidates(pts, 20, 3, max_rounds=2).collect()}
-    monkeypatch.setattr(durable, "SMALL_ROWS", 9)
-    got = {r.cid: (r.c, r.w) for r in ps.oversampled_candidates(pts, 20, 3, max_rounds=2).collect()}
+@pytest.mark.parametrize("limit", [9, 110])
+def test_large_candidate_sets(spark, embeddings, monkeypatch, limit):
+    """From the start, and from a round in between, the rounds go on with tables."""
+    # scaled down, so that the first cost asks for three rounds
+    pts = embeddings.select("id", F.transform("x", lambda v: v * 0.22).alias("x"))
+    log = ps.RunLog()
+    want = {r.cid: (r.c, r.w) for r in ps.oversampled_candidates(pts, 20, 3, log).collect()}
+    assert len(log.values("init", "CostInit")) == 4 and len(want) > 30
+    monkeypatch.setattr(durable, "SMALL_ROWS", limit)
+    again = ps.RunLog()
+    got = {r.cid: (r.c, r.w) for r in ps.oversampled_candidates(pts, 20, 3, again).collect()}
     assert got == want
+    assert np.allclose(again.values("init", "CostInit"), log.values("init", "CostInit"))
+    timed = len(again.values("init", "tSamples"))
+    assert timed == 0 if limit == 9 else 0 < timed < 3
+
+
+@pytest.mark.parametrize("block", [50_000, 7])
+def test_sql_kernel_in_every_block(spark, embeddings, monkeypatch, block):
+    cents = cents_of(spark, [r.x for r in embeddings.orderBy("id").limit(20).collect()])
+    want = {r.id: r.cid for r in ps.assign(embeddings, cents).collect()}
+    monkeypatch.setattr(durable, "SMALL_ROWS", block)
+    frame = ps.assign(embeddings, cents, kernel="sql")
+    assert {r.id: r.cid for r in frame.collect()} == want
+    assert "ArrowEvalPython" not in frame._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        ps.assign(embeddings, cents, kernel="nonsense")
+
+
+@pytest.mark.parametrize(
+    "vectors", [[[1.0, 2.0, 3.0], [4.0]], [[1.0, None], [2.0, 3.0]], [[1.0, float("nan")]], [None, [1.0, 2.0]], [[0.0, 0.0, 9.0]]]
+)
+def test_malformed_vectors_raise(spark, vectors):
+    pts = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "id bigint, x array<double>").coalesce(1)
+    with pytest.raises(Exception, match="vectors"):
+        ps.assign(pts, cents_of(spark, [[0.0, 0.0], [1.0, 1.0]])).collect()
+
+
+def test_seeding_takes_few_jobs(spark, embeddings):
+    pts = embeddings.select("id", "x").coalesce(1).persist()
+    pts.count()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("seeding", "seeding")
+    seeds = ps.seed_plus_plus(pts, 40, seed=5)
+    jobs = len(tracker.getJobIdsForGroup("seeding"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs < 10
+    got = [r.c for r in seeds.orderBy("cid").collect()]
+    # one draw at a time
+    rows = {r.id: np.array(r.x) for r in pts.collect()}
+    d2, chosen = {i: 1.0 for i in rows}, []
+    for j in range(40):
+        e = {r.id: r.e for r in pts.select("id", ps.exponential_race(5, f"pp{j}", "id", "1.0D").alias("e")).collect()}
+        best = min((e[i] / d2[i], i) for i in rows if d2[i] > 0)[1]
+        chosen.append(rows[best])
+        d2 = {i: min(d2[i] if j else np.inf, float(np.sum((rows[i] - rows[best]) ** 2))) for i in rows}
+    assert np.array_equal(np.array(got), np.array(chosen))
+    pts.unpersist()
+
+
+def test_lloyd_stops_when_still_on_both_ways(spark, monkeypatch):
+    x = [[float(i % 3) * 10 + (i % 5) * 0.1] for i in range(60)]
+    pts = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "id bigint, x array<double>")
+    cents = cents_of(spark, [[0.0], [11.0], [19.0]])
+    one, two = ps.RunLog(), ps.RunLog()
+    ps.lloyd(pts, cents, 30, tol=None, log=one)
+    monkeypatch.setattr(durable, "SMALL_ROWS", 2)
+    ps.lloyd(pts, cents, 30, tol=None, log=two)
+    assert len(one.values("lloyd", "CostsKmeans")) == len(two.values("lloyd", "CostsKmeans")) < 30
+
+
+def test_nothing_is_left_behind(spark, embeddings, monkeypatch):
+    import pathlib
+
+    folder = pathlib.Path(durable.shared_folder(spark).split(":", 1)[-1]) / "pointset"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    monkeypatch.setattr(durable, "SMALL_ROWS", 30)
+    small = embeddings.select("id", F.transform("x", lambda v: v * 0.22).alias("x"), "y")
+    with ps.table_scope():
+        ps.cluster(small, k=5, max_iter=2, rescale=False).centroids.collect()
+        ps.dedup(small.select(F.col("id").alias("cid"), F.col("x").alias("c"))).collect()
+        ps.init_parallel(small.select("id", "x"), 5).collect()
+    assert set(folder.glob("*")) == before
+
+
+def test_sweep_runs_keep_their_own_times(spark, embeddings, tmp_path):
+    log = ps.sweep(
+        embeddings, [2], inits=("naive",), caches=("none", "unpersist"), repetitions=2, k=3, max_iter=2, rescale=False
+    )
+    path = str(tmp_path / "log")
+    ps.append_run_log(log, path)
+    back = ps.read_run_logs(spark, path)
+    assert back.select("run_id").distinct().count() == 4 and {r.n_rows for r in back.collect()} == {500}
+    assert ps.stage_times(back).count() == 4
+    assert {(r.cache_mode, r.n_runs) for r in ps.stage_stats(back).collect()} == {("none", 2), ("unpersist", 2)}
+
+
+def test_evaluate_a_finished_clustering(spark, blobs):
+    run = ps.cluster(blobs, init="parallel", k=3, rescale=False)
+    rows = ps.evaluate(run).collect()
+    assert len(rows) == blobs.select("y").distinct().count()
+    assert all(r.radius > 0 and r.other > 0 and r.d2 >= 0 for r in rows)
 
 
 def test_lloyd_with_many_centroids(spark, embeddings, monkeypatch):
@@ -258,8 +354,6 @@ def test_lloyd_with_many_centroids(spark, embeddings, monkeypatch):
 
 def test_many_start_centroids(spark, embeddings, monkeypatch):
     want = as_dict(ps.init_from_set(embeddings, 50, 3))
-    monkeypatch.setattr(seeding, "TOP_N_LIMIT", 10)
-    assert as_dict(ps.init_from_set(embeddings, 50, 3)) == want
     monkeypatch.setattr(durable, "SMALL_ROWS", 20)
     assert as_dict(ps.init_from_set(embeddings, 50, 3)) == want
     assert as_dict(ps.init_from_set(embeddings, 50, 3, ps.RunLog())) == want

@@ -31,8 +31,35 @@ def test_distinct_counts(table):
 
 
 def test_binary_and_text_columns_are_categorical(table):
-    assert ps.drop_categorical(table).columns == ["n", "v", "hole"]
-    assert ps.drop_categorical(table, keep=["y"]).columns == ["n", "v", "y", "hole"]
+    assert ps.drop_categorical(table).columns == ["n", "v", "hole", "day"]
+    assert ps.drop_categorical(table, keep=["y"]).columns == ["n", "v", "y", "hole", "day"]
+
+
+def test_dimensions_are_what_dropping_leaves(table):
+    wide = table.withColumns(
+        {"flag": F.lit(True), "none": F.lit(None).cast("string"), "vec": F.array(F.lit(1.0)), "at": F.lit(None).cast("timestamp")}
+    )
+    left = ps.drop_categorical(wide).columns
+    assert ps.numeric_dim(wide).head().dim == len(left) == 7 and "none" not in left
+
+
+def test_vectors_are_counted(table):
+    wide = table.withColumn("vec", F.array(F.col("n") % 2))
+    assert [r.n_distinct for r in ps.distinct_counts(wide, ["vec"]).collect()] == [2]
+    assert ps.distinct_counts(wide).count() == 7
+
+
+@pytest.mark.parametrize("limit", [50_000, 1])
+def test_points_without_a_label_stay(spark, monkeypatch, limit):
+    monkeypatch.setattr(durable, "SMALL_ROWS", limit)
+    rows = [(0, [1.0], "a"), (1, [3.0], "a"), (2, [5.0], None), (3, [6.0], "b")]
+    pts = spark.createDataFrame(rows, "id bigint, x array<double>, y string")
+    assert sorted((r.id, r.label_id) for r in ps.label_index(pts).collect()) == [(0, 0), (1, 0), (2, None), (3, 1)]
+    assert sorted((r.id, r.d2) for r in ps.expected_distances(pts).collect()) == [(0, 1.0), (1, 1.0), (2, None), (3, 0.0)]
+    assert sorted((r.y, r.radius) for r in ps.rms_radius(pts).collect()) == [("a", 1.0), ("b", 0.0)]
+    cents = spark.createDataFrame([(0, [0.0]), (7, [1.0])], "cid int, c array<double>")
+    known = pts.withColumn("cid", F.when(F.col("id") < 2, F.lit(0)).when(F.col("id") == 3, F.lit(9)))
+    assert sorted((r.id, r.d2) for r in ps.update_distances(known, cents).collect()) == [(0, 1.0), (1, 9.0), (2, None), (3, None)]
 
 
 def _points(spark, vectors):

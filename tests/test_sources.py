@@ -34,6 +34,42 @@ def test_subset_by_threshold_equals_top_n(spark, monkeypatch, n, bins):
     assert {r.id for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("n", [1, 15, 50, 60, 99, 100])
+@pytest.mark.parametrize("limit", [5, 10_000])
+def test_subset_of_repeated_ids_has_n_rows(spark, monkeypatch, n, limit):
+    monkeypatch.setattr(points, "TOP_N_LIMIT", max(limit, 10))
+    df = spark.range(100).select((F.col("id") % 10).alias("id"))
+    got = [r.id for r in ps.subset(df, n, 3).collect()]
+    order = [r.id for r in ps.shuffle(spark.range(10), 3).collect()]
+    assert sorted(got) == sorted((order * 10)[i] for i in [j // 10 for j in range(n)])
+
+
+def test_few_rows_enter_the_sort_of_a_subset(spark, monkeypatch):
+    written = []
+    keep = points.materialize
+    monkeypatch.setattr(points, "materialize", lambda df, name: written.append(keep(df, name)) or written[-1])
+    assert ps.subset(spark.range(200_000), 100, 3).count() == 100
+    assert [t.count() <= 100 + 2 * 8 * 10 for t in written] == [True]
+
+
+def test_wide_rows_are_not_small(spark, monkeypatch):
+    monkeypatch.setattr(durable, "SMALL_BYTES", 100_000)
+    wide = spark.range(40).select(F.array_repeat(F.lit(1.0), 4096).alias("c"))
+    assert durable.fetch_small(wide) is None
+    assert durable.fetch_small(wide.limit(3)).num_rows == 3
+    assert durable.fetch_small(wide.limit(0)).num_rows == 0
+
+
+def test_tables_of_a_scope_are_deleted(spark):
+    import os
+
+    with ps.table_scope():
+        table = durable.materialize(spark.range(5), "t")
+        folder = table.inputFiles()[0].rsplit("/", 1)[0].split(":", 1)[1]
+        assert table.count() == 5 and os.path.exists(folder)
+    assert not os.path.exists(folder)
+
+
 def test_partitions(spark):
     row = ps.partition_count(ps.with_partitions(spark.range(100), 7)).head()
     assert (row.n_partitions, row.n_rows) == (7, 100)
@@ -72,9 +108,11 @@ def test_shared_folder_is_the_one_of_the_session():
         durable.shared_folder(FakeSession(None, "yarn"))
 
 
-@pytest.mark.parametrize("limit", [50_000, 3])
-def test_lookup_join_with_a_hot_key(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit, hot", [(50_000, 10**6), (3, 10**6), (3, 200)])
+def test_lookup_join_with_a_hot_key(spark, monkeypatch, limit, hot):
     monkeypatch.setattr(durable, "SMALL_ROWS", limit)
+    monkeypatch.setattr(durable, "HOT_ROWS", hot)
+    monkeypatch.setattr(durable, "SALTED_ROWS", 100)
     big = spark.range(3000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("int"))
     small = spark.range(40).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
     rows = ps.lookup_join(big, small, "k").collect()
