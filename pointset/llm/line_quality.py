@@ -1,7 +1,7 @@
 """Line-first cleaning: judge every line, drop those that fail, then judge the document.
 
 A line fails if it reads as navigation, as boilerplate, as decoration (symbols or
-shouting) or if it is a longer line that does not end as a sentence does.  A document
+shouting) or if it is a longer line without the end of any sentence.  A document
 is rejected if its lost lines held too many of its words.
 """
 
@@ -34,6 +34,7 @@ BOILERPLATE = (
     "lorem ipsum",
 )
 CLOSING = re.compile("[.!?:;,…\"'”’)\\]]$")
+INNER = re.compile(r"\w[.!?]\s")
 SYMBOL = re.compile("[#*$%&|<>]")
 NAVIGATION = re.compile(r"(?:^|\s)[|>/·•](?:\s|$)")
 BOILER = re.compile("|".join(map(re.escape, BOILERPLATE)))
@@ -53,8 +54,8 @@ def line_fails(line: str, words: int) -> bool:
         upper = sum(map(str.isupper, line))
         if upper * 2 > sum(map(str.isalpha, line)):
             return True
-        if not CLOSING.search(line.rstrip()):
-            return words >= 10
+        if words >= 10 and not CLOSING.search(line.rstrip()) and not INNER.search(line):
+            return True
     return BOILER.search(line.lower()) is not None
 
 

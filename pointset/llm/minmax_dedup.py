@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import free_shuffles, materialize, text_key
-from .words import Block, find_words, grams, lower_ascii, mix, text_blocks, word_hashes
+from .words import Block, find_words, grams, lower_ascii, mix, text_blocks, whole_runs, word_hashes
 
 # 40 bands of 6 values: a pair at a similarity of 0.8 is missed with odds of 5e-6,
 # a pair at 0.1 is met with odds of 4e-5.
 BANDS = 40
 ROWS_PER_BAND = 6
+# Members of a bucket that a task compares with as many queries.
+BUCKET_BLOCK = 2_000
 
 
 def shingle_sets(block: Block, shingle: int):
@@ -244,26 +246,97 @@ def _sizes_fit(percent: int):
     return F.expr(f"100 * least(n_shingles, m) >= {percent} * greatest(n_shingles, m)")
 
 
+def short_sets(batches):
+    """The distinct 24-bit parts of each set's hashes, for comparisons inside buckets."""
+    for batch in batches:
+        out = []
+        for raw in batch.column("shingles"):
+            part = np.unique(np.frombuffer(raw.as_buffer(), np.uint64) >> np.uint64(40)).astype(np.uint32)
+            out.append(part.view(np.uint8).reshape(-1, 4)[:, :3].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "short"])
+
+
+def meet(percent: int):
+    """Pairs of a query and a member of one bucket that may reach the similarity.
+
+    A set's 24-bit parts are fewer than its shingles by those that coincide; so many
+    are added to the intersection, which makes it an upper bound.
+    """
+
+    def group_pairs(group: pa.Table):
+        role = group.column("_role").to_numpy()
+        queries, others = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
+        if not len(queries) or not len(others):
+            return []
+        raw = [np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 3) for s in group.column("short")]
+        flat = np.concatenate(raw).astype(np.uint32)
+        _, code = np.unique(flat[:, 0] | flat[:, 1] << 8 | flat[:, 2] << 16, return_inverse=True)
+        sizes = np.array([len(r) for r in raw])
+        ends = np.cumsum(sizes)
+        mark = np.zeros(int(code.max()) + 1, np.int32)
+        theirs = np.concatenate([code[ends[i] - sizes[i] : ends[i]] for i in others])
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        n, label, name = (group.column(c).to_numpy() for c in ("n_shingles", "label", "name"))
+        top = group.column("is_top").to_numpy(zero_copy_only=False)[others]
+        lost = n - sizes
+        pairs = []
+        for q in queries:
+            fits = (label[others] != label[q]) & (top | (name[others] < name[q]))
+            fits &= 100 * np.minimum(n[others], n[q]) >= percent * np.maximum(n[others], n[q])
+            if not fits.any():
+                continue
+            own = code[ends[q] - sizes[q] : ends[q]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[theirs], starts) + np.minimum(lost[others], lost[q])
+            mark[own] = 0
+            fits &= 100 * both >= percent * (n[others] + n[q] - both)
+            pairs += [(int(others[i]), int(q)) for i in np.flatnonzero(fits)]
+        return pairs
+
+    def run(batches):
+        for table in whole_runs(batches, ["_key", "_i", "_j"]):
+            keys = [table.column(c).to_numpy() for c in ("_key", "_i", "_j")]
+            edges = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+            for a, b in zip([0, *edges], [*edges, table.num_rows]):
+                group = table.slice(a, b - a)
+                pairs = group_pairs(group)
+                if pairs:
+                    node = group.column("node").combine_chunks()
+                    u, v = (pa.array(side, pa.int64()) for side in zip(*pairs))
+                    yield pa.RecordBatch.from_arrays([node.take(u), node.take(v)], ["u", "v"])
+
+    return run
+
+
 def rest_of_buckets(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links between components that meet in a bucket.
 
-    In each bucket the members outside its largest component are compared with all
-    members of other components.
+    In each bucket the members outside its largest component are the queries, compared
+    with all members of other components, inside tasks that hold two blocks of at most
+    about ``BUCKET_BLOCK`` members.  Only pairs that may be links leave a task.
     """
     known = members.join(labels, "node", "left").select(
-        "_key", "node", "n_shingles", F.coalesce("component", "node").alias("component")
+        "_key", "node", "n_shingles", F.xxhash64("node").alias("name"),
+        F.xxhash64(F.coalesce("component", "node")).alias("label"),
     )
-    parts = known.groupBy("_key", "component").agg(F.count("*").alias("n"))
+    parts = known.groupBy("_key", "label").agg(F.count("*").alias("n"))
     largest = parts.groupBy("_key").agg(
-        F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("k")
-    ).where("k > 1").select("_key", F.col("top.component").alias("top"))
-    mixed = materialize(known.join(largest, "_key"), "mixed")
-    outside = mixed.where("component != top").select(
-        "_key", F.col("node").alias("v"), F.col("component").alias("_c"), F.col("n_shingles").alias("m")
+        F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("k"), F.sum("n").alias("m")
+    ).where("k > 1").select("_key", F.col("top.label").alias("_top"), F.ceil(F.col("m") / BUCKET_BLOCK).cast("int").alias("_blocks"))
+    mixed = known.join(largest, "_key").withColumn("is_top", F.col("label") == F.col("_top"))
+    own = F.pmod("name", "_blocks").cast("int")
+    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    # a member goes to the tasks of all blocks of queries, a query to those of all members
+    as_member = F.transform(every, lambda i: F.struct(F.lit(0).alias("_role"), i.alias("_i"), own.alias("_j")))
+    as_query = F.transform(every, lambda j: F.struct(F.lit(1).alias("_role"), own.alias("_i"), j.alias("_j")))
+    places = F.when(F.col("is_top"), as_member).otherwise(F.concat(as_member, as_query))
+    kind = members.schema["node"].dataType.simpleString()
+    short = sets.mapInArrow(short_sets, f"node {kind}, short binary")
+    dealt = (
+        mixed.select("_key", "node", "n_shingles", "name", "label", "is_top", F.explode(places).alias("_p"))
+        .select("_key", "_p.*", "node", "n_shingles", "name", "label", "is_top")
+        .join(short, "node")
     )
-    pairs = mixed.join(outside, "_key").where(
-        (F.col("component") != F.col("_c"))
-        & ((F.col("component") == F.col("top")) | (F.col("node") < F.col("v")))
-        & _sizes_fit(percent)
-    ).select(F.col("node").alias("u"), "v").distinct()
-    return verify(pairs, sets, percent)
+    runs = ["_key", "_i", "_j"]
+    pairs = dealt.repartition(*runs).sortWithinPartitions(*runs, "name").mapInArrow(meet(percent), f"u {kind}, v {kind}")
+    return verify(pairs.distinct(), sets, percent)

@@ -35,6 +35,8 @@ WIDE_EMAIL = re.compile(
     r"[A-Za-z0-9._%+-]{1,64} ?(?:@|\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\[dot\]|\(dot\)| dot ) ?[A-Za-z0-9-]{2,63}){1,4}",
     re.IGNORECASE,
 )
+# What an address without the sign has.
+SPELLED = (" dot ", " DOT ", "[dot]", "(dot)", "[at]", "(at)", "[AT]", "(AT)")
 WIDE_IP = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:(?:\.|\[\.\]| \. )[0-9]{1,4}){3}(?![0-9])")
 WIDE_NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().,/:-]{0,2}[0-9]){5,24}")
 CUES = {
@@ -102,7 +104,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """Spans of high recall, one list for all kinds; they may overlap."""
     out = []
-    if "@" in text or "dot" in text or "DOT" in text:
+    if "@" in text or any(sign in text for sign in SPELLED):
         out += [(m.start(), m.end(), 0) for m in WIDE_EMAIL.finditer(text)]
     out += [(m.start(), m.end(), 1) for m in WIDE_IP.finditer(text)]
     for m in WIDE_NUMBER.finditer(text):
@@ -364,7 +366,7 @@ def find(model: Boosting, limits: list, with_text: bool):
                 pending, rows = [], []
                 for i in range(block.size):
                     raw = block.data[block.offsets[i] : block.offsets[i + 1]].tobytes()
-                    spelled = b"dot" in raw or b"DOT" in raw
+                    spelled = any(sign.encode() in raw for sign in SPELLED)
                     text = raw.decode("utf-8", "replace") if hints[i] or spelled or with_text else ""
                     base = base_spans(text) if hints[i] else []
                     bases.append(base)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import materialize
+from .words import whole_runs
 
 PIVOTS = 128
 # Vectors looked at to choose pivots, and how alike two pivots may be.
@@ -45,17 +46,19 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def choose_pivots(vectors: np.ndarray, most: int) -> np.ndarray:
-    """Pivots in the given order, without those much like an earlier one."""
+    """Pivots in the given order, without those much like an earlier one.
+
+    Random directions make up what is missing: if most vectors are alike, pivots among
+    them would be told apart by noise only.
+    """
     chosen = np.empty((0, vectors.shape[1]))
-    spare = []
     for v in unit(vectors):
         if len(chosen) == most:
             break
-        if len(chosen) and np.max(chosen @ v) > ALIKE:
-            spare.append(v)
-        else:
+        if not len(chosen) or np.max(chosen @ v) <= ALIKE:
             chosen = np.vstack([chosen, v])
-    return chosen if len(chosen) >= NEAREST else np.vstack([chosen, *spare[:most]]) if spare else chosen
+    more = np.random.default_rng(8).normal(size=(most - len(chosen), vectors.shape[1]))
+    return np.vstack([chosen, unit(more)]) if len(more) else chosen
 
 
 def describe(pivots: dict[int, np.ndarray], nearest: int, shared: int):
@@ -114,7 +117,9 @@ def compare(least: float, shared: int):
                 [_changes(table.column("label"))], axis=0)])
         )
         top = matrix(table.column("top")).astype(np.int32)
-        limit = (table.column("_list").to_numpy() >> (20 * (shared - 1))) & ((1 << 20) - 1)
+        # with few pivots a list stands for fewer
+        t = min(shared, top.shape[1])
+        limit = (table.column("_list").to_numpy() >> (20 * (t - 1))) & ((1 << 20) - 1)
         x = unit(matrix(table.column("v")))
         found_u, found_v = [], []
         step = 1
@@ -129,7 +134,7 @@ def compare(least: float, shared: int):
             for i in range(0, len(a), 50_000):
                 p, q = a[i : i + 50_000], b[i : i + 50_000]
                 both = (top[p][:, :, None] == top[q][:, None, :]).any(2) & (top[p] <= limit[p][:, None])
-                first = both.sum(1) == shared
+                first = both.sum(1) == t
                 p, q = p[first], q[first]
                 near = np.einsum("ij,ij->i", x[p], x[q]) >= least
                 found_u.append(p[near])
@@ -150,23 +155,8 @@ def compare(least: float, shared: int):
         )
 
     def run(batches):
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
-            if not table.num_rows:
-                continue
-            # the last list and pair of blocks may go on in the next batch
-            last = tuple(table.column(c)[-1].as_py() for c in ("_dim", "label", "_list", "_i", "_j"))
-            cut = table.num_rows
-            columns = [table.column(c) for c in ("_dim", "label", "_list", "_i", "_j")]
-            while cut and tuple(c[cut - 1].as_py() for c in columns) == last:
-                cut -= 1
-            rest = table.slice(cut)
-            if cut:
-                yield from by_dim(table.slice(0, cut))
-        if rest is not None and rest.num_rows:
-            yield from by_dim(rest)
+        for table in whole_runs(batches, ["_dim", "label", "_list", "_i", "_j"]):
+            yield from by_dim(table)
 
     def by_dim(table: pa.Table):
         dims = table.column("_dim").to_numpy()

@@ -189,3 +189,26 @@ def by_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between consecutive bounds."""
     sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+def whole_runs(batches, names: list[str]) -> Iterator[pa.Table]:
+    """Tables that never end within a run of rows equal in the columns ``names``.
+
+    For rows sorted by these columns; at most one run is held besides a batch.
+    """
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+        if not table.num_rows:
+            continue
+        columns = [table.column(c) for c in names]
+        last = [c[-1].as_py() for c in columns]
+        cut = table.num_rows
+        while cut and [c[cut - 1].as_py() for c in columns] == last:
+            cut -= 1
+        rest = table.slice(cut)
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()
