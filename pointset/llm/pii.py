@@ -286,14 +286,36 @@ def counterexamples(rng, n: int) -> list[tuple[str, int, int, int]]:
     return out
 
 
+def known_label(text: str, span: tuple, base: set) -> bool | None:
+    """Whether a candidate is personal data; ``None``: no rule tells."""
+    a, b, kind = span
+    if span in base:
+        return True
+    if any(k != kind and a < e and s < b for s, e, k in base):
+        return False
+    value = text[a:b]
+    digits = digits_of(value)
+    if kind == 1 and all(c in "0123456789." for c in value):
+        return False
+    if kind == 2 and not luhn(digits):
+        return False
+    if kind == 3 and value.startswith("+") and not 10 <= len(digits) <= 15:
+        return False
+    return None
+
+
 def sample_rows(batches):
     for batch in batches:
         rows = []
         for text, h in zip(batch.column("text").to_pylist(), batch.column("_h").to_pylist()):
             base = set(base_spans(text))
-            for a, b, kind in {*candidates(text), *base}:
+            for span in {*candidates(text), *base}:
+                good = known_label(text, span, base)
+                if good is None:
+                    continue
+                a, b, kind = span
                 near = text[max(0, a - CONTEXT) : b + CONTEXT]
-                rows.append((h, near, min(a, CONTEXT), min(a, CONTEXT) + b - a, kind, (a, b, kind) in base))
+                rows.append((h, near, min(a, CONTEXT), min(a, CONTEXT) + b - a, kind, good))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate(
                 (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
