@@ -85,4 +85,68 @@ QUERIES = {
     "op10_lines": op10_lines,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = "regexp_extract_all(coalesce({text}, ''), '[^\\x20\\x09-\\x0D]+')"
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to, true AS complete
+FROM p LEFT JOIN f USING (payload_digest)"""
+
+_SUBSTRING_SQL = f"""
+WITH w AS (SELECT doc_id, {_WORDS.format(text="text")} AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i+34], ' ')) AS h
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)),
+rep AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps
+         FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win JOIN rep USING (h)) GROUP BY doc_id),
+k AS (SELECT doc_id, ws, coalesce(ps, []) AS ps FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, len(ws) AS n_words, len(ps) AS n_removed,
+       sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(ps, i)), ' ')) AS kept_sha256
+FROM k"""
+
+_REACH = """
+both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT u AS node, u AS other FROM both_ways
+          UNION SELECT r.node, b.v FROM reach r JOIN both_ways b ON b.u = r.other),
+component AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)"""
+
+_MINMAX_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 1 THEN ws ELSE
+        list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+t AS (SELECT doc_id, n, sh FROM s JOIN n USING (doc_id)),
+links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM t a JOIN t b
+          ON a.sh = b.sh AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+{_REACH}
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id,
+       coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN component c ON c.node = w.doc_id"""
+
+_VECTORS_SQL = f"""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b
+          ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.x) = len(b.x)
+          WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+{_REACH},
+counts AS (SELECT u, count(*) AS n FROM both_ways GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN component ON node = vec_id LEFT JOIN counts ON u = vec_id"""
+
+# The others hold models, tokenizers or a keyed order of another engine's hash.
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": _WARC_SQL,
+    "op5_substring": _SUBSTRING_SQL,
+    "op6_minmax": _MINMAX_SQL,
+    "op8_pivots": _VECTORS_SQL,
+}
