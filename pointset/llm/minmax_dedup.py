@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import free_shuffles, materialize, text_key
+from .shared import discard, free_shuffles, materialize, text_key
 from .words import Block, find_words, grams, lower_ascii, mix, text_blocks, whole_runs, word_hashes
 
 # 40 bands of 6 values: a pair at a similarity of 0.8 is missed with odds of 5e-6,
@@ -225,8 +225,13 @@ def near_duplicates(
     free_shuffles(spark)
     found = materialize(verify(stars, sets, percent), "confirmed")
     first = materialize(components(found), "components")
-    found = found.unionAll(rest_of_buckets(members, first, sets, percent))
-    label = components(found).select("node", F.col("component.doc_id").alias("_component"))
+    free_shuffles(spark)
+    every = found.unionAll(rest_of_buckets(members, first, sets, percent))
+    grouped = components(every)
+    for table in (members, stars, sets, found, first):
+        discard(table)
+    free_shuffles(spark)
+    label = grouped.select("node", F.col("component.doc_id").alias("_component"))
     nodes = classes.select("_p1", "_p2", "node").join(label, "node", "left").select(
         "_p1", "_p2", F.coalesce("_component", "node.doc_id").alias("_component")
     )
