@@ -1,7 +1,7 @@
 """Line-first cleaning: judge every line, drop those that fail, then judge the document.
 
-A line fails if it reads as navigation, as boilerplate, as decoration (symbols or
-shouting) or if it is a longer line without the end of any sentence.  A document
+A line fails if it reads as navigation, as boilerplate, as decoration (symbols,
+shouting, stuttering) or if it is a longer line without the end of any sentence.  A document
 is rejected if its lost lines held too many of its words.
 """
 
@@ -51,6 +51,9 @@ def line_fails(line: str, words: int) -> bool:
     if line.count("!") * 3 > words and words >= 3:
         return True
     if words >= 5:
+        split = line.split()
+        if sum(map(str.__eq__, split, split[1:])) * 3 > words:
+            return True
         upper = sum(map(str.isupper, line))
         if upper * 2 > sum(map(str.isalpha, line)):
             return True

@@ -441,9 +441,10 @@ def test_line_verdicts(spark):
         (4, " ".join(f"SHOUT{i}!!" for i in range(60))),
         (5, prose + "\nHome | About | Contact | Help"),
         (6, prose + "\n" + " ".join(f"v{i}" for i in range(30))),
+        (7, " ".join(f"v{i // 4}" for i in range(60)) + "."),
     ]
     found = {r.doc_id: r for r in clean_lines(spark.createDataFrame(made, "doc_id long, text string")).collect()}
-    assert [found[i].kept for i in range(1, 7)] == [True, False, False, False, True, True]
+    assert [found[i].kept for i in range(1, 8)] == [True, False, False, False, True, True, False]
     assert found[5].text == prose and found[6].text == prose
 
 
