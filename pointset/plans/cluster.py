@@ -14,6 +14,7 @@ from ..operators.nearest import assign
 from ..operators.prepare import minmax_rescale, numeric_columns
 from ..operators.profile import true_k
 from ..operators.seeding import init_from_set, init_from_space, init_parallel
+from ..operators.vectors import vector_aggregate
 from ..sources.durable import Cache
 from ..sources.points import to_points, with_partitions
 from ..sources.runlog import RunLog
@@ -51,8 +52,13 @@ def numeric_points(df: DataFrame, id: str | Column, label: str, features: list[s
 
 def prepare(pts: DataFrame, rescale: bool = True) -> tuple[DataFrame, int]:
     """Rescaled points and the number of labels."""
-    labels = true_k(pts).head().k
-    return (minmax_rescale(pts) if rescale else pts), labels
+    if not rescale:
+        return pts, true_k(pts).head().k
+    # one scan for the bounds and the labels
+    dim = dim_of(pts)
+    row = vector_aggregate(pts, [], "x", dim, {"lo": "min", "hi": "max"}, {"k": F.countDistinct("y")}).head()
+    bounds = [(j, row.lo[j], row.hi[j]) for j in range(dim)]
+    return minmax_rescale(pts, pts.sparkSession.createDataFrame(bounds, "pos int, lo double, hi double")), row.k
 
 
 def spread(pts: DataFrame, partitions: int | None, policy: Cache) -> DataFrame:
