@@ -490,3 +490,15 @@ def test_pipeline_stages(spark, docs, rows):
     assert all(abs(copies[s] - targets[s]) < 1 for s in sizes)
     assert sum(r.length for r in after["packed"]) > 0
     assert corpus_pipeline.run(spark, SF_DIR).columns == given.columns
+
+
+def test_queries_against_sql(spark):
+    from tools.check import compare, duck
+
+    import __spark_entry__ as contract
+    from pointset.llm import queries
+
+    con = duck(SF_DIR)
+    assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
+    for name in queries.ORACLE_SQL:
+        assert compare(spark, con, name, SF_DIR) == "", name
