@@ -6,6 +6,7 @@ The kernels never build Python strings: they read the UTF-8 bytes Spark sent.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -24,6 +25,17 @@ def process_cache() -> dict:
     return sys.modules.setdefault("pointset_llm_cache", types.ModuleType("pointset_llm_cache")).__dict__
 
 
+def free_memory() -> None:
+    """Give freed memory back to the system.
+
+    A Python worker serves task after task; what one has freed in pieces would stay
+    with it beside what the next one needs.
+    """
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _constants(seed: int):
     cache = process_cache()
     if ("words", seed) not in cache:
@@ -103,6 +115,7 @@ def text_blocks(texts, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
         last = min(len(texts), max(last, first + 1))
         yield Block(first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
         first = last
+    free_memory()
 
 
 def find_words(block: Block) -> Words:
