@@ -23,7 +23,7 @@ from .tokens import encode_texts, text_groups
 WINDOW = 1024
 OPEN_WINDOWS = 64
 # Partitions whose leftover windows are merged in one task.
-MERGED_PARTS = 64
+MERGED_PARTS = 16
 
 FIELDS = [
     ("start", pa.int64()),
