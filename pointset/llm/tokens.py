@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from .words import free_memory, process_cache
 
 # Characters of the texts that share their pieces.
-GROUP_CHARS = 2 << 20
+GROUP_CHARS = 4 << 20
 # Pieces a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 # Pieces handed to the tokenizer as one text.
 JOINED = 256
 # A space next to another white space character, or at an end, is no place to cut.
@@ -212,4 +212,4 @@ def text_groups(texts: pa.Array, most: int = GROUP_CHARS) -> Iterator[tuple[int,
         last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield first, texts.slice(first, last - first)
         first = last
-        free_memory()
+    free_memory()
