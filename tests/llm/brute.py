@@ -63,6 +63,15 @@ def luhn(digits):
     return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
 
 
+def is_number(text, start, end):
+    """Whole groups of digits with one or two joints between them, after a sign if there is one."""
+    if start and (text[start - 1].isdigit() or text[start].isdigit() and text[start - 1] in "+("):
+        return False
+    if end < len(text) and text[end].isdigit():
+        return False
+    return re.fullmatch(r"[+(]?[0-9]+([ ().,/:-]{1,2}[0-9]+)*", text[start:end]) is not None
+
+
 def base_spans(text):
     text = text or ""
     out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]

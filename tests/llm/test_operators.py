@@ -16,7 +16,7 @@ from pointset.llm.line_quality import clean_lines
 from pointset.llm.minmax_dedup import near_duplicates
 from pointset.llm.mixing import mix_sources
 from pointset.llm.packing import pack
-from pointset.llm.pii import KINDS, Boosting, base_spans, calibrate, find_personal_data
+from pointset.llm.pii import KINDS, Boosting, base_spans, calibrate, candidates, choose, find_personal_data
 from pointset.llm.pivot_index import near_vectors
 from pointset.llm.shared import fresh_path
 from pointset.llm.substring_dedup import remove_repeats, run_lengths
@@ -216,6 +216,46 @@ def test_added_spans(spark):
     assert found[10**7 + 2] == ""
 
 
+NEIGHBOURS = [
+    ("call 555-123-4567, 555-987-6543 today", 3, ["555-123-4567", "555-987-6543"]),
+    ("phone 5551112222 5553334444 ok", 3, ["5551112222", "5553334444"]),
+    ("phone 7 (555) 123-4567 now", 3, ["(555) 123-4567"]),
+    ("card 12 4111 1111 1111 1111 paid", 2, ["4111 1111 1111 1111"]),
+    ("4111.1111.1111.1111 5500.0000.0000.0004", 2, ["4111.1111.1111.1111", "5500.0000.0000.0004"]),
+]
+
+
+def test_neighbouring_numbers_are_proposed():
+    for text, kind, wanted in NEIGHBOURS:
+        assert set(wanted) <= {text[a:b] for a, b, k in candidates(text) if k == kind}
+    # every run of groups, by the plain definition; nothing else
+    text = "12 345 (678) 9012.345-6789, 01 5551112222 44444444444444444444 +1 23"
+    digits = {2: range(12, 20), 3: range(7, 16)}
+    assert {s for s in candidates(text) if s[2] > 1} == {
+        (a, b, k) for a in range(len(text)) for b in range(a, len(text) + 1) for k in digits
+        if brute.is_number(text, a, b) and sum(c.isdigit() for c in text[a:b]) in digits[k]
+    }
+    # as many for each number, however long the list
+    short, long = (len(candidates("555-123-4567, " * n)) for n in (100, 1000))
+    assert 9.5 < long / short < 10.5
+
+
+def test_chosen_spans_do_not_touch():
+    found = [(0, 12, 3), (4, 12, 3), (14, 26, 3), (8, 18, 3)]
+    assert choose(" " * 30, [], found, np.array([2.0, 2.0, 1.0, 0.5]), [0.0] * 4) == [(0, 12, 3), (14, 26, 3)]
+    assert choose(" " * 30, [(0, 3, 0)], found, np.array([2.0, 2.0, 1.0, 0.5]), [0.0] * 4) == [(0, 3, 0), (4, 12, 3), (14, 26, 3)]
+
+
+def test_neighbouring_numbers_are_found(spark):
+    full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(10**7 + i, t, "en", "s", 1) for i, (t, _, _) in enumerate(NEIGHBOURS)]
+    more = full.unionByName(spark.createDataFrame(rows, SHAPE))
+    found = {r.doc_id: r.spans for r in find_personal_data(more).where("doc_id >= 10000000").collect()}
+    for i, (text, kind, wanted) in enumerate(NEIGHBOURS):
+        spans = [f"{KINDS[kind]}:{text.index(w)}:{text.index(w) + len(w)}" for w in wanted]
+        assert found[10**7 + i] == ",".join(spans)
+
+
 def test_boosting_and_calibration():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 4))
