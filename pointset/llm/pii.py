@@ -31,12 +31,13 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Generators.
-WIDE_EMAIL = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64} ?(?:@|\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\[dot\]|\(dot\)| dot ) ?[A-Za-z0-9-]{2,63}){1,4}",
-    re.IGNORECASE,
+# The sign of an address, in any case; without one there is no address.
+AT_SIGN = re.compile(rb"@|\[at\]|\(at\)| at(?= )", re.IGNORECASE)
+WIDE_AT = re.compile(AT_SIGN.pattern.decode(), re.IGNORECASE)
+WIDE_DOMAIN = re.compile(
+    r" {0,2}[A-Za-z0-9-]{1,63}(?: ?(?:\.|\[dot\]|\(dot\)| dot ) ?[A-Za-z0-9-]{2,63}){1,4}", re.IGNORECASE
 )
-# What an address without the sign has.
-SPELLED = (" dot ", " DOT ", "[dot]", "(dot)", "[at]", "(at)", "[AT]", "(AT)")
+MOST_LOCAL = 64
 WIDE_IP = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:(?:\.|\[\.\]| \. )[0-9]{1,4}){3}(?![0-9])")
 GROUP = re.compile("[0-9]+")
 # What may lie between two groups of digits of one number.
@@ -140,11 +141,22 @@ def taken(spans, size: int) -> bytearray:
     return out
 
 
+def address_spans(text: str):
+    """Addresses around every sign: what reads as a name before it and a domain behind it."""
+    for m in WIDE_AT.finditer(text):
+        a = m.start() - text.startswith(" ", m.start() - 1) if m.start() else 0
+        least = max(0, a - MOST_LOCAL)
+        start = a
+        while start > least and text[start - 1] in LOCAL:
+            start -= 1
+        found = WIDE_DOMAIN.match(text, m.end()) if start < a else None
+        if found:
+            yield start, found.end(), 0
+
+
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """Spans of high recall, one list for all kinds; they may overlap."""
-    out = []
-    if "@" in text or any(sign in text for sign in SPELLED):
-        out += [(m.start(), m.end(), 0) for m in WIDE_EMAIL.finditer(text)]
+    out = list(address_spans(text))
     out += [(m.start(), m.end(), 1) for m in WIDE_IP.finditer(text)]
     return out + list(number_spans(text))
 
@@ -282,7 +294,9 @@ def rewritten(text: str, start: int, end: int, kind: int, rng) -> tuple[str, int
     before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
     if kind == 0:
         local, _, domain = span.partition("@")
-        new = (f"{local} [at] {domain}", f"{local} at {domain.replace('.', ' dot ')}", f"{local} @ {domain}")[rng.integers(3)]
+        at, dot = ((" [at] ", "."), (" at ", " dot "), (" @ ", "."), (" at ", "."), ("(at)", "(dot)"), (" [at] ", " dot "))[rng.integers(6)]
+        case = (str, str.upper, str.title)[rng.integers(3)]
+        new = local + case(at) + domain.replace(".", case(dot))
         cue = "mail "
     elif kind == 1:
         new, cue = span.replace(".", "[.]"), "host "
@@ -336,7 +350,11 @@ def counterexamples(rng, n: int) -> list[tuple[str, int, int, int]]:
             (3, f"{a}, {b}, {c}, {d}, {year}"),
             (3, f"{year}, {year + 1}, {year + 2}"),
             (2, f"{year} {year + 1} {year + 2} {year + 3}"),
-        )[i % 13]
+            (0, ("stay at home.Then", "noon at work.We", "was at once.The", "look at this...And")[a % 4]),
+            (0, f"sold at {a}.{10 + b}"),
+            (0, f"open at {a}.30"),
+            (0, ("point at the dot in", "there at dot com", "meet at the dot now")[a % 3]),
+        )[i % 17]
         before, after = ("version ", "order ", "on ", "in ", "total ", "the ")[i % 6], (" was", ".", " of", ",")[d % 4]
         out.append((before + span + after, len(before), len(before) + len(span), kind))
     return out
@@ -402,7 +420,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 9) -> tup
             text, a, b = rewritten(near, start, end, kind, rng)
             examples.append((text, a, b, kind, 1.0))
             examples += [(text, *c, 0.0) for c in misplaced(text, a, b, kind, rng)]
-    examples += [(*e, 0.0) for e in counterexamples(rng, 1300)]
+    examples += [(*e, 0.0) for e in counterexamples(rng, 1700)]
     x = np.array([features(t, a, b, k) for t, a, b, k, _ in examples])
     y = np.array([e[4] for e in examples])
     test = rng.random(len(y)) < 0.3
@@ -483,7 +501,7 @@ def find(model: Boosting, limits: list, with_text: bool):
                 scoring = Scoring(model, limits)
                 for i in range(block.size):
                     raw = block.data[block.offsets[i] : block.offsets[i + 1]].tobytes()
-                    spelled = any(sign.encode() in raw for sign in SPELLED)
+                    spelled = AT_SIGN.search(raw) is not None
                     text = raw.decode("utf-8", "replace") if hints[i] or spelled or with_text else ""
                     base = base_spans(text) if hints[i] else []
                     bases.append(base)

@@ -240,6 +240,32 @@ def test_neighbouring_numbers_are_proposed():
     assert 9.5 < long / short < 10.5
 
 
+SPELLED = [
+    "mail john.smith7 at mail.example.com", "mail john.smith7 [At] mail.example.com", "mail john.smith7 at mail.example Dot com",
+    "mail john.smith7 (aT) mail [Dot] example (DOT) com", "mail john.smith7 AT mail.example.com",
+]
+
+
+def test_spelled_addresses_are_proposed_alone():
+    for text in SPELLED + [t.replace(".smith7", "").replace("mail.", "") for t in SPELLED]:
+        assert candidates(text) == [(5, len(text), 0)] == candidates(text + " | me@")
+    for text in ("john  at  example.com", "john@example.com", "john @ example.com", "a@b@c.com", "x at at y.com"):
+        assert [text[a:b] for a, b, k in candidates(text)] == [{"a@b@c.com": "b@c.com", "x at at y.com": "at at y.com"}.get(text, text)]
+    for text in ("", "at", " at ", "@", "cat example.com", "look at it.", "that.at.com", " at x.com", "a at"):
+        assert candidates(text) == []
+
+
+def test_spelled_addresses_are_found(spark):
+    full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prose = ["we stay at home.Then we go", "it sold at 3.50 then", "we look at it. Then we go"]
+    rows = [(10**7 + i, t, "en", "s", 1) for i, t in enumerate(SPELLED + prose)]
+    more = full.unionByName(spark.createDataFrame(rows, SHAPE))
+    found = {r.doc_id: r.spans for r in find_personal_data(more).where("doc_id >= 10000000").collect()}
+    for i, text in enumerate(SPELLED):
+        assert found[10**7 + i] == f"email:5:{len(text)}"
+    assert [found[10**7 + len(SPELLED) + i] for i in range(len(prose))] == [""] * len(prose)
+
+
 def test_chosen_spans_do_not_touch():
     found = [(0, 12, 3), (4, 12, 3), (14, 26, 3), (8, 18, 3)]
     assert choose(" " * 30, [], found, np.array([2.0, 2.0, 1.0, 0.5]), [0.0] * 4) == [(0, 12, 3), (14, 26, 3)]
