@@ -37,7 +37,7 @@ CLOSING = re.compile("[.!?:;,…\"'”’)\\]]$")
 INNER = re.compile(r"\w[.!?]\s")
 SYMBOL = re.compile("[#*$%&|<>]")
 NAVIGATION = re.compile(r"(?:^|\s)[|>/·•](?:\s|$)")
-BOILER = re.compile("|".join(map(re.escape, BOILERPLATE)))
+BOILER = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, BOILERPLATE))})(?!\w)")
 
 
 def line_fails(line: str, words: int) -> bool:
@@ -59,7 +59,8 @@ def line_fails(line: str, words: int) -> bool:
             return True
         if words >= 10 and not CLOSING.search(line.rstrip()) and not INNER.search(line):
             return True
-    return BOILER.search(line.lower()) is not None
+    # a phrase within prose is no furniture: its words have to be over a fifth of the line's
+    return sum(len(phrase.split()) for phrase in BOILER.findall(line.lower())) * 5 > words
 
 
 def clean_text(text: str) -> tuple[list[str], int, int]:

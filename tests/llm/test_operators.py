@@ -514,6 +514,25 @@ def test_line_verdicts(spark):
     assert found[5].text == prose and found[6].text == prose
 
 
+def test_phrases_within_prose(spark):
+    filler = " ".join(f"w{i * 31}" for i in range(60))
+    prose = "\n".join(" ".join(f"v{i * 31 + j}" for j in range(12)) + "." for i in range(3))
+    clean = [
+        f"{filler}, a design in which you read more and the catalog in print, a dialog in a blog in French.",
+        f"{filler}. They subscribe to the view that one may log in here.",
+        "Our design in oak.",
+        "Her catalog in print.",
+    ]
+    furniture = ["Read more", "Please sign in or log in", "Copyright 2020 Acme. All rights reserved.", "Click here to subscribe to news"]
+    made = [(i, prose + "\n" + line) for i, line in enumerate(clean + furniture)] + [(99, clean[0])]
+    found = {r.doc_id: r for r in clean_lines(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    for i, text in made[: len(clean)]:
+        assert found[i].kept and found[i].n_lost == 0 and found[i].text == text
+    for i, _ in made[len(clean) : -1]:
+        assert found[i].kept and found[i].text == prose
+    assert found[99].kept and found[99].text == clean[0]
+
+
 def test_line_verdicts_against_labels(spark):
     folder = "/root/testdata/sf0.01"
     found = clean_lines(spark.read.parquet(f"{folder}/documents.parquet"), with_text=False)
