@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from .shared import part_offsets, text_key
 from .tokens import encode_texts, text_groups
 
+# Bytes of texts encoded together, and of the pieces remembered: larger than the usual
+# ones, as nothing else is held beside them here.
+GROUP_BYTES = 6 << 20
+REMEMBERED_BYTES = 32 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 1 << 20
 
@@ -27,8 +31,8 @@ def encode_rows(path: str, end: int, spaced: bool):
     def run(batches):
         before = 0
         for batch in batches:
-            for first, texts in text_groups(batch.column("text")):
-                ids, bounds = encode_texts(texts, path, end, spaced)
+            for first, texts in text_groups(batch.column("text"), GROUP_BYTES):
+                ids, bounds = encode_texts(texts, path, end, spaced, REMEMBERED_BYTES)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))
                 sizes = np.diff(bounds)
                 start = before + bounds[:-1]
@@ -80,7 +84,6 @@ def write_tokens(
         .option("parquet.dictionary.page.size", page_bytes)
         .option("parquet.writer.version", "PARQUET_2_0")
         .option("parquet.enable.dictionary", "true")
-        .option("parquet.column.index.access", "true")
         .option("compression", "zstd")
         .parquet(folder)
     )

@@ -19,10 +19,10 @@ import pyarrow.compute as pc
 
 from .words import free_memory, process_cache
 
-# Characters of the texts that share their pieces.
-GROUP_CHARS = 6 << 20
-# Pieces a worker remembers.
-REMEMBERED = 600_000
+# Bytes of the texts that share their pieces, and of the pieces a worker remembers for
+# its next groups; callers with more memory to spare may ask for more.
+GROUP_BYTES = 2 << 20
+REMEMBERED_BYTES = 16 << 20
 # Pieces handed to the tokenizer as one text.
 JOINED = 256
 # A space next to another white space character, or at an end, is no place to cut.
@@ -123,8 +123,14 @@ def encode_pieces(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray
     return flat, sizes
 
 
-def remembered(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids that hold those of the pieces, and where each piece begins and how many it has."""
+def remembered(
+    pieces: pa.Array, path: str, spaced: bool, most: int = REMEMBERED_BYTES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids that hold those of the pieces, and where each piece begins and how many it has.
+
+    What is remembered beyond ``most`` bytes is cut to what several groups held, and
+    forgotten if that takes more still.
+    """
     slot = ("pieces", path, spaced)
     none = np.empty(0, np.int64)
     known, flat, sizes, seen = process_cache().get(slot, (pieces.slice(0, 0), np.empty(0, np.uint32), none, none))
@@ -139,16 +145,20 @@ def remembered(pieces: pa.Array, path: str, spaced: bool) -> tuple[np.ndarray, n
         seen = np.append(seen, np.zeros(len(new), np.int64))
     seen[where] += 1
     begins = np.cumsum(sizes) - sizes
-    if len(known) <= REMEMBERED:
-        process_cache()[slot] = known, flat, sizes, seen
+    kept = known, flat, sizes, seen
+    if sum(part.nbytes for part in kept) > most:
+        often = seen > 1
+        kept = known.filter(pa.array(often)), flat[np.repeat(often, sizes)], sizes[often], seen[often] - 1
+    if sum(part.nbytes for part in kept) <= most:
+        process_cache()[slot] = kept
     else:
-        # keep what several groups held
-        kept = seen > 1
-        process_cache()[slot] = known.filter(pa.array(kept)), flat[np.repeat(kept, sizes)], sizes[kept], seen[kept] - 1
+        process_cache().pop(slot, None)
     return flat, begins[where], sizes[where]
 
 
-def encode_texts(texts: pa.Array, path: str, end: int, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(
+    texts: pa.Array, path: str, end: int, spaced: bool, remember: int = REMEMBERED_BYTES
+) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts one after another, ``end`` after each, and their bounds.
 
     ``spaced``: the space before a word belongs to its piece (byte-level BPE);
@@ -163,7 +173,7 @@ def encode_texts(texts: pa.Array, path: str, end: int, spaced: bool) -> tuple[np
     lists = pc.split_pattern(plain, " ")
     coded = lists.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    flat, sources, sizes = remembered(coded.dictionary, path, spaced)
+    flat, sources, sizes = remembered(coded.dictionary, path, spaced, remember)
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     begins = np.cumsum(counts) - counts
     forms: list[str] = []
@@ -203,13 +213,16 @@ def encode_texts(texts: pa.Array, path: str, end: int, spaced: bool) -> tuple[np
     return flat[at], np.concatenate([[0], ends[stops - 1]]) if n else np.zeros(1, np.int64)
 
 
-def text_groups(texts: pa.Array, most: int = GROUP_CHARS) -> Iterator[tuple[int, pa.Array]]:
-    """Cut a string column into runs of about ``most`` characters: first row and texts."""
+def text_groups(texts: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """Cut a string column into runs of about ``most`` bytes: first row and texts.
+
+    What a group took is given back before the next one begins.
+    """
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     ends, first = np.cumsum(sizes), 0
     while first < len(texts):
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield first, texts.slice(first, last - first)
+        free_memory()
         first = last
-    free_memory()

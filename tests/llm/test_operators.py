@@ -2,16 +2,18 @@
 
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pointset.llm import langid
+from pointset.llm import langid, tokens
 from pointset.llm.line_quality import clean_lines
 from pointset.llm.minmax_dedup import near_duplicates
 from pointset.llm.mixing import mix_sources
@@ -386,6 +388,35 @@ def test_pieces_encode_like_whole_texts(rows):
             assert own == [*plain.encode(text or "", add_special_tokens=False).ids, 7], text
 
 
+def test_remembered_pieces_are_bounded_in_bytes():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    slot = ("pieces", path, False)
+    for most in (1 << 12, 1 << 16):
+        tokens.process_cache().pop(slot, None)
+        for i in range(12):
+            texts = [f"often seen w{i}x{j} " + "z" * 3000 * (j % 2) for j in range(8)]
+            ids, bounds = encode_texts(pa.array(texts), path, 7, False, most)
+            for j, text in enumerate(texts):
+                assert ids[bounds[j] : bounds[j + 1]].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 7]
+            assert sum(part.nbytes for part in tokens.process_cache().get(slot, ())) <= most
+
+
+def test_token_files_are_written_as_asked(spark):
+    folder = fresh_path(spark, "tokens")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.substring(F.md5((F.col("id") * i).cast("string")), 1, 5))).alias("text"))
+    write_tokens(docs.coalesce(1), folder, path, 2, False, row_group_bytes=1 << 16, page_bytes=1 << 12)
+    files = [f for f in Path(folder.removeprefix("file:")).glob("*.parquet")]
+    groups = [pq.ParquetFile(f).metadata.row_group(i) for f in files for i in range(pq.ParquetFile(f).num_row_groups)]
+    assert len(groups) > len(files)
+    for group in groups:
+        for i in range(group.num_columns):
+            column = group.column(i)
+            assert {"RLE_DICTIONARY", "PLAIN_DICTIONARY", "DELTA_BINARY_PACKED"} & set(column.encodings)
+            assert column.has_column_index and column.has_offset_index
+
+
 def test_token_store(spark, docs, rows):
     folder = fresh_path(spark, "tokens")
     path = public_tokenizers.path("word_bpe_49k.json")
