@@ -15,6 +15,7 @@ from .pivot_index import near_vectors
 from .shared import fresh_path, read_table
 from .substring_dedup import remove_repeats
 from .token_store import checksums, read_tokens, write_tokens
+from .turns import damage, repair_conversations
 from .warc import read_warc, write_warc
 
 
@@ -72,6 +73,11 @@ def op10_lines(spark, d):
     return clean_lines(read_table(spark, d, "documents"), with_text=False).drop("text")
 
 
+def op13_turns(spark, d):
+    rows = damage(read_table(spark, d, "conversations"))
+    return repair_conversations(rows, F.col("present"))[0]
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
@@ -83,6 +89,7 @@ QUERIES = {
     "op8_pivots": op8_pivots,
     "op9_packing": op9_packing,
     "op10_lines": op10_lines,
+    "op13_turns": op13_turns,
 }
 
 _WORDS = "regexp_extract_all(coalesce({text}, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -143,10 +150,75 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS comp
        coalesce(component_id, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN component ON node = vec_id LEFT JOIN counts ON u = vec_id"""
 
+# Faults, and the dynamic programme with whole audits and texts instead of ways back.
+_TURNS_SQL = r"""
+WITH RECURSIVE bytes_crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+raw AS (
+  SELECT conv_id AS c, turn AS t, coalesce(role, ' ') AS role, coalesce(text, ' ') AS txt,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+fated AS (
+  SELECT c, t, role, txt, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT))),
+      lambda h, b: xor(h >> 8, tab[(xor(h, b) & 255) + 1]))) % 20 AS fate FROM raw, bytes_crc),
+copies AS (
+  SELECT c, t, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(txt, '.!?', '') ELSE txt END AS txt
+  FROM fated WHERE fate <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY t NULLS FIRST, role, txt, copy) AS n,
+         regexp_replace(txt, '[\x20\x09-\x0D]+$', '') AS bare FROM copies),
+marked AS (
+  SELECT c, t, n, role, txt, left(role, 1) AS ini, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY n) AS prev,
+         CASE WHEN bare = '' THEN 2 WHEN row_number() OVER (PARTITION BY c, role, txt ORDER BY n) > 1 THEN 3
+              WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault FROM placed),
+facts AS (
+  SELECT c, coalesce(max(t) - min(t) + 1 - count(DISTINCT t), 0) AS gaps, count(*) FILTER (fault = 2) AS blank,
+         count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+         count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS rows_left
+  FROM marked GROUP BY c),
+-- places in the pattern: 0 nothing yet, 1 after s, 2 after u, 3 after a
+goes AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) v(q, ini, to_q)),
+named AS (SELECT * FROM (VALUES ('u', 'user'), ('a', 'assistant')) v(ini, name)),
+into_1 AS (SELECT q, to_q, [name || ':'] AS ins FROM goes JOIN named USING (ini)),
+fills AS (
+  SELECT q, q AS at_q, 0 AS k, []::VARCHAR[] AS ins FROM (SELECT unnest(range(4))::INT AS q)
+  UNION ALL SELECT q, to_q, 1, ins FROM into_1
+  UNION ALL SELECT a.q, b.to_q, 2, list_concat(a.ins, b.ins) FROM into_1 a JOIN into_1 b ON b.q = a.to_q),
+best AS (
+  SELECT c, 0::BIGINT AS n, 0::INT AS q, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS kept FROM facts
+  UNION ALL
+  SELECT c, n, q, cost, audit, kept FROM (
+    SELECT *, row_number() OVER (PARTITION BY c, q ORDER BY cost, audit) AS place FROM (
+      SELECT b.c, m.n, f.at_q AS q, b.cost + 5 * f.k + 2 AS cost, b.audit || repeat('I', f.k) || 'D' AS audit, list_concat(b.kept, f.ins) AS kept
+      FROM best b JOIN marked m ON m.c IS NOT DISTINCT FROM b.c AND m.n = b.n + 1 JOIN fills f ON f.q = b.q
+      UNION ALL
+      SELECT b.c, m.n, g.to_q, b.cost + 5 * f.k + 5 * m.fault, b.audit || repeat('I', f.k) || 'K', list_append(list_concat(b.kept, f.ins), m.role || ':' || m.txt)
+      FROM best b JOIN marked m ON m.c IS NOT DISTINCT FROM b.c AND m.n = b.n + 1 AND m.fault < 2
+      JOIN fills f ON f.q = b.q JOIN goes g ON g.q = f.at_q AND g.ini = m.ini
+      UNION ALL
+      SELECT b.c, m.n, g.to_q, b.cost + 5 * f.k + 5 * m.fault + 1, b.audit || repeat('I', f.k) || 'R', list_append(list_concat(b.kept, f.ins), r.name || ':' || m.txt)
+      FROM best b JOIN marked m ON m.c IS NOT DISTINCT FROM b.c AND m.n = b.n + 1 AND m.fault < 2
+      JOIN fills f ON f.q = b.q JOIN goes g ON g.q = f.at_q JOIN named r ON r.ini = g.ini))
+  WHERE place = 1),
+done AS (
+  SELECT b.c, b.cost + 5 * f.k AS cost, b.audit || repeat('I', f.k) AS audit, list_concat(b.kept, f.ins) AS kept
+  FROM best b JOIN facts x ON x.c IS NOT DISTINCT FROM b.c AND x.rows_left = b.n JOIN fills f ON f.q = b.q AND f.at_q IN (0, 3)),
+least AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY cost, audit) AS place FROM done)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN facts x ON x.c IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN least l ON l.c IS NOT DISTINCT FROM i.conv_id AND l.place = 1"""
+
 # The others hold models, tokenizers or a keyed order of another engine's hash.
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": _WARC_SQL,
     "op5_substring": _SUBSTRING_SQL,
     "op6_minmax": _MINMAX_SQL,
     "op8_pivots": _VECTORS_SQL,
+    "op13_turns": _TURNS_SQL,
 }

@@ -182,3 +182,84 @@ def line_metrics(doc, text):
         doc, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(hit),
         len(w) < 20 or 100 * len(hit) > 30 * len(w),
     )
+
+
+SPACES = " \t\n\x0b\x0c\r"
+PATTERN = re.compile("(s?(ua)+)?")
+
+
+def damaged(rows):
+    """rows: (conv_id, turn, role, text)"""
+    out = []
+    for c, t, role, text in rows:
+        fate = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        role = "user" if fate == 4 else role
+        out += [(c, t, role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    return out
+
+
+def repair(rows):
+    """Cheapest edits of ``(role, text, fault)``: every prefix of the pattern with its least edits."""
+    best = {"": (0, "", ())}  # the last two initials, and whether anything came before
+    def extend(seen, initial):
+        if seen == "":
+            return initial if initial in ("s", "u") else None
+        return initial if (seen[-1], initial) in {("s", "u"), ("u", "a"), ("a", "u")} else None
+
+    def offer(into, key, value):
+        if key is not None and (key not in into or value[:2] < into[key][:2]):
+            into[key] = value
+
+    def inserted(states):
+        states = dict(states)
+        for _ in range(3):
+            for key, (cost, audit, kept) in list(states.items()):
+                for name in ("user", "assistant"):
+                    offer(states, extend(key, name[0]), (cost + 5, audit + "I", (*kept, f"{name}:")))
+        return states
+
+    for role, text, fault in rows:
+        after = {}
+        # without the insertions at the end, so that no edits are the beginning of others
+        for start, (cost0, audit0, kept0) in best.items():
+            for key, (cost, audit, kept) in inserted({start: (cost0, audit0, kept0)}).items():
+                offer(after, key, (cost + 2, audit + "D", kept))
+                if fault in ("blank", "duplicate"):
+                    continue
+                extra = 5 if fault == "truncated" else 0
+                offer(after, extend(key, role[:1]), (cost + extra, audit + "K", (*kept, f"{role}:{text}")))
+                for name in ("user", "assistant"):
+                    offer(after, extend(key, name[0]), (cost + extra + 1, audit + "R", (*kept, f"{name}:{text}")))
+        best = after
+    ends = [
+        v for start, value in best.items() for k, v in inserted({start: value}).items()
+        if PATTERN.fullmatch("".join(x[0] for x in v[2])) is not None
+    ]
+    return min(ends)
+
+
+def conversations(rows):
+    """Contract of the repair of (conv_id, turn, role, text)."""
+    groups = {c: [] for c, *_ in rows}
+    for c, t, role, text in damaged(rows):
+        groups[c].append((t is not None, t or 0, role, text))
+    out = []
+    for c, given in groups.items():
+        given.sort()
+        turns = {t for known, t, _, _ in given if known}
+        seen, marked, counts = set(), [], Counter()
+        for _, _, role, text in given:
+            stripped = text.strip(SPACES)
+            fault = "blank" if not stripped else "duplicate" if (role, text) in seen else ""
+            fault = fault or ("" if stripped[-1] in ".!?" else "truncated")
+            seen.add((role, text))
+            counts[fault] += 1
+            marked.append((role, text, fault))
+        pairs = [(a[0][:1], b[0][:1]) for a, b in zip(marked, marked[1:])]
+        illegal = sum(p not in {("s", "u"), ("u", "a"), ("a", "u")} for p in pairs)
+        cost, audit, kept = repair(marked)
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        out.append((c, gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit, sha("\n".join(kept))))
+    return out
