@@ -17,6 +17,7 @@ from .substring_dedup import remove_repeats
 from .token_store import checksums, read_tokens, write_tokens
 from .turns import damage, repair_conversations
 from .warc import read_warc, write_warc
+from .whitening import whiten
 
 
 def op1_warc(spark, d):
@@ -73,6 +74,10 @@ def op10_lines(spark, d):
     return clean_lines(read_table(spark, d, "documents"), with_text=False).drop("text")
 
 
+def op12_whitening(spark, d):
+    return whiten(read_table(spark, d, "embeddings"))
+
+
 def op13_turns(spark, d):
     rows = damage(read_table(spark, d, "conversations"))
     return repair_conversations(rows, F.col("present"))[0]
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_pivots": op8_pivots,
     "op9_packing": op9_packing,
     "op10_lines": op10_lines,
+    "op12_whitening": op12_whitening,
     "op13_turns": op13_turns,
 }
 
