@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import langid
+from .licenses import scan_licenses
 from .line_quality import clean_lines
 from .minmax_dedup import near_duplicates
 from .mixing import mix_sources
@@ -74,6 +75,10 @@ def op10_lines(spark, d):
     return clean_lines(read_table(spark, d, "documents"), with_text=False).drop("text")
 
 
+def op11_licenses(spark, d):
+    return scan_licenses(read_table(spark, d, "documents")).drop("spans")
+
+
 def op12_whitening(spark, d):
     return whiten(read_table(spark, d, "embeddings"))
 
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_pivots": op8_pivots,
     "op9_packing": op9_packing,
     "op10_lines": op10_lines,
+    "op11_licenses": op11_licenses,
     "op12_whitening": op12_whitening,
     "op13_turns": op13_turns,
 }

@@ -263,3 +263,41 @@ def conversations(rows):
         gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
         out.append((c, gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit, sha("\n".join(kept))))
     return out
+
+
+LICENSE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+
+
+def license_words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def license_base(text):
+    """n_words, n_base, first_word, last_word, base_labels"""
+    w, starts, labels = license_words(text), [], set()
+    for phrase, label in LICENSE_PHRASES.items():
+        p = phrase.split()
+        here = [i for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
+        starts += here
+        labels |= {label} if here else set()
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def license_runs(words, templates, least):
+    """Runs of words that stand in a template and go on neither way there: the longest at their last word."""
+    found = {n: set() for n in range(len(templates))}
+    for end in range(1, len(words) + 1):
+        here = {}
+        for n, t in enumerate(templates):
+            for place in range(1, len(t) + 1):
+                size = 0
+                while size < min(end, place) and words[end - 1 - size] == t[place - 1 - size]:
+                    size += 1
+                here[n, place] = size
+        longest = max(here.values(), default=0)
+        for (n, place), size in here.items():
+            goes_on = end < len(words) and place < len(templates[n]) and words[end] == templates[n][place]
+            if size == longest >= least and not goes_on:
+                found[n].add((end - size, place - size, size))
+    return {n: runs for n, runs in found.items() if runs}
