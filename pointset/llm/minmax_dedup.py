@@ -31,6 +31,8 @@ BANDS = 40
 ROWS_PER_BAND = 6
 # Members of a bucket that a task compares with as many queries.
 BUCKET_BLOCK = 2_000
+# Lower bits of a hash that comparisons inside buckets leave out first: 24 are left.
+SHORT_SHIFT = 40
 
 
 def shingle_sets(block: Block, shingle: int):
@@ -172,13 +174,17 @@ def near_duplicates(
 ) -> DataFrame:
     """Near-duplicate classes: ``doc_id, n_shingles, component_id, kept``, a row per input row.
 
+    ``text_key`` and ``component_text_key`` tell different texts under one id apart:
+    the representative of a class has the id and the key of its component.
+
     Words are compared with A-Z in lower case.  Two documents are linked when
     100 * intersection >= ``percent`` * union of their sets of ``shingle``-word runs;
     ``component_id`` is the smallest id reachable by links.  A text with fewer words
     is one shingle.  Null texts and texts without words have an empty set and are
     linked with nothing.  Rows that repeat an id and text are one class; rows with a
-    null id are linked with nothing and have a null component.  An empty table
-    gives no rows; other columns are not read.
+    null id are linked with nothing and have a null component.  A very long text is one
+    set, held whole by the task that reads it.  An empty table gives no rows; other
+    columns are not read.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -224,26 +230,27 @@ def near_duplicates(
     )
     free_shuffles(spark)
     found = materialize(verify(stars, sets, percent), "confirmed")
-    first = materialize(components(found), "components")
     free_shuffles(spark)
-    every = found.unionAll(rest_of_buckets(members, first, sets, percent))
-    grouped = components(every)
-    for table in (members, stars, sets, found, first):
+    grouped = components(found.unionAll(rest_of_buckets(members, found, sets, percent)))
+    for table in (members, stars, sets, found):
         discard(table)
     free_shuffles(spark)
-    label = grouped.select("node", F.col("component.doc_id").alias("_component"))
+    label = grouped.select("node", F.col("component").alias("_least"))
     nodes = classes.select("_p1", "_p2", "node").join(label, "node", "left").select(
-        "_p1", "_p2", F.coalesce("_component", "node.doc_id").alias("_component")
+        "_p1", "_p2", F.coalesce("_least", "node").alias("_least")
     )
     # rows without a set or an id have no class
     out = sketched.join(nodes, ["_p1", "_p2"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    component = F.when(linked, F.col("_component")).otherwise(F.col("doc_id"))
+    component = F.when(linked, F.col("_least.doc_id")).otherwise(F.col("doc_id"))
+    first_text = F.when(linked, F.col("_least._th")).otherwise(F.col("_th"))
     return out.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+        F.col("_th").alias("text_key"),
+        first_text.alias("component_text_key"),
     )
 
 
@@ -256,16 +263,49 @@ def short_sets(batches):
     for batch in batches:
         out = []
         for raw in batch.column("shingles"):
-            part = np.unique(np.frombuffer(raw.as_buffer(), np.uint64) >> np.uint64(40)).astype(np.uint32)
+            part = np.unique(np.frombuffer(raw.as_buffer(), np.uint64) >> np.uint64(SHORT_SHIFT)).astype(np.uint32)
             out.append(part.view(np.uint8).reshape(-1, 4)[:, :3].tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "short"])
-
-
-def meet(percent: int):
-    """Pairs of a query and a member of one bucket that may reach the similarity.
-
-    A set's 24-bit parts are fewer than its shingles by those that coincide; so many
-    are added to the intersection, which makes it an upper bound.
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "set"])
+
+
+def _codes(group: pa.Table, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of a group one after another, as numbers from 0, and their sizes."""
+    if exact:
+        raw = [np.frombuffer(s.as_buffer(), np.uint64) for s in group.column("set")]
+        flat = np.concatenate(raw)
+    else:
+        raw = [np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 3) for s in group.column("set")]
+        wide = np.concatenate(raw).astype(np.uint32)
+        flat = wide[:, 0] | wide[:, 1] << 8 | wide[:, 2] << 16
+    return np.unique(flat, return_inverse=True)[1], np.array([len(r) for r in raw])
+
+
+def _forest(best: dict[tuple, tuple]) -> list[tuple[int, int]]:
+    """The most similar pairs that join components, without those that close a circle."""
+    root: dict = {}
+
+    def find(x):
+        while x in root:
+            x = root[x]
+        return x
+
+    pairs = []
+    for (a, b), (*_, i, q) in sorted(best.items(), key=lambda item: item[1]):
+        a, b = find(a), find(b)
+        if a != b:
+            root[a] = b
+            pairs.append((i, q))
+    return pairs
+
+
+def meet(percent: int, exact: bool):
+    """Pairs of a query and a member that may link the components of a bucket.
+
+    A task returns a spanning forest: of two components the most similar pair, and no
+    pair whose components others join already.  More is not needed unless a pair fails
+    on the full sets.  A set's 24-bit parts are fewer than its shingles by those
+    that coincide; so many are added to the intersection, which makes it an upper bound.
+    ``exact`` sets are the full ones, and the pairs are links.
     """
 
     def group_pairs(group: pa.Table):
@@ -273,10 +313,7 @@ def meet(percent: int):
         queries, others = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
         if not len(queries) or not len(others):
             return []
-        raw = [np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 3) for s in group.column("short")]
-        flat = np.concatenate(raw).astype(np.uint32)
-        _, code = np.unique(flat[:, 0] | flat[:, 1] << 8 | flat[:, 2] << 16, return_inverse=True)
-        sizes = np.array([len(r) for r in raw])
+        code, sizes = _codes(group, exact)
         ends = np.cumsum(sizes)
         mark = np.zeros(int(code.max()) + 1, np.int32)
         theirs = np.concatenate([code[ends[i] - sizes[i] : ends[i]] for i in others])
@@ -284,7 +321,7 @@ def meet(percent: int):
         n, label, name = (group.column(c).to_numpy() for c in ("n_shingles", "label", "name"))
         top = group.column("is_top").to_numpy(zero_copy_only=False)[others]
         lost = n - sizes
-        pairs = []
+        best: dict[tuple, tuple] = {}
         for q in queries:
             fits = (label[others] != label[q]) & (top | (name[others] < name[q]))
             fits &= 100 * np.minimum(n[others], n[q]) >= percent * np.maximum(n[others], n[q])
@@ -294,9 +331,22 @@ def meet(percent: int):
             mark[own] = 1
             both = np.add.reduceat(mark[theirs], starts) + np.minimum(lost[others], lost[q])
             mark[own] = 0
-            fits &= 100 * both >= percent * (n[others] + n[q] - both)
-            pairs += [(int(others[i]), int(q)) for i in np.flatnonzero(fits)]
-        return pairs
+            union = n[others] + n[q] - both
+            fits &= 100 * both >= percent * union
+            at = np.flatnonzero(fits)
+            if not len(at):
+                continue
+            # the most similar of each component, of equal ones the first name
+            near = both[at] / union[at]
+            order = np.lexsort((name[others[at]], -near, label[others[at]]))
+            mine = label[others[at[order]]]
+            for k in order[np.r_[True, mine[1:] != mine[:-1]]]:
+                i = int(others[at[k]])
+                pair = (min(label[i], label[q]), max(label[i], label[q]))
+                offer = (-near[k], name[i], name[q], i, int(q))
+                if pair not in best or offer < best[pair]:
+                    best[pair] = offer
+        return _forest(best)
 
     def run(batches):
         for table in whole_runs(batches, ["_key", "_i", "_j"]):
@@ -308,17 +358,19 @@ def meet(percent: int):
                 if pairs:
                     node = group.column("node").combine_chunks()
                     u, v = (pa.array(side, pa.int64()) for side in zip(*pairs))
-                    yield pa.RecordBatch.from_arrays([node.take(u), node.take(v)], ["u", "v"])
+                    yield pa.RecordBatch.from_arrays(
+                        [node.take(u), node.take(v), group.column("_key").take(u).combine_chunks()], ["u", "v", "_key"]
+                    )
 
     return run
 
 
-def rest_of_buckets(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links between components that meet in a bucket.
+def deal(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, at the places they are compared at.
 
-    In each bucket the members outside its largest component are the queries, compared
-    with all members of other components, inside tasks that hold two blocks of at most
-    about ``BUCKET_BLOCK`` members.  Only pairs that may be links leave a task.
+    The members outside a bucket's largest component are its queries.  Queries and
+    members are cut into blocks apart; a task compares one of each, so a member is
+    copied once for every block of queries: a stray query costs one more row a member.
     """
     known = members.join(labels, "node", "left").select(
         "_key", "node", "n_shingles", F.xxhash64("node").alias("name"),
@@ -327,21 +379,48 @@ def rest_of_buckets(members: DataFrame, labels: DataFrame, sets: DataFrame, perc
     parts = known.groupBy("_key", "label").agg(F.count("*").alias("n"))
     largest = parts.groupBy("_key").agg(
         F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("k"), F.sum("n").alias("m")
-    ).where("k > 1").select("_key", F.col("top.label").alias("_top"), F.ceil(F.col("m") / BUCKET_BLOCK).cast("int").alias("_blocks"))
+    ).where("k > 1").select(
+        "_key", F.col("top.label").alias("_top"),
+        F.ceil(F.col("m") / BUCKET_BLOCK).cast("int").alias("_blocks"),
+        F.ceil((F.col("m") - F.col("top.n")) / BUCKET_BLOCK).cast("int").alias("_query_blocks"),
+    )
     mixed = known.join(largest, "_key").withColumn("is_top", F.col("label") == F.col("_top"))
     own = F.pmod("name", "_blocks").cast("int")
-    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    # a member goes to the tasks of all blocks of queries, a query to those of all members
-    as_member = F.transform(every, lambda i: F.struct(F.lit(0).alias("_role"), i.alias("_i"), own.alias("_j")))
-    as_query = F.transform(every, lambda j: F.struct(F.lit(1).alias("_role"), own.alias("_i"), j.alias("_j")))
+    own_query = F.pmod(F.xxhash64("name"), "_query_blocks").cast("int")
+    of_members, of_queries = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("_blocks", "_query_blocks"))
+    as_member = F.transform(of_queries, lambda i: F.struct(F.lit(0).alias("_role"), i.alias("_i"), own.alias("_j")))
+    as_query = F.transform(of_members, lambda j: F.struct(F.lit(1).alias("_role"), own_query.alias("_i"), j.alias("_j")))
     places = F.when(F.col("is_top"), as_member).otherwise(F.concat(as_member, as_query))
-    kind = members.schema["node"].dataType.simpleString()
-    short = sets.mapInArrow(short_sets, f"node {kind}, short binary")
-    dealt = (
-        mixed.select("_key", "node", "n_shingles", "name", "label", "is_top", F.explode(places).alias("_p"))
-        .select("_key", "_p.*", "node", "n_shingles", "name", "label", "is_top")
-        .join(short, "node")
-    )
+    return mixed.select(
+        "_key", "node", "n_shingles", "name", "label", "is_top", F.explode(places).alias("_p")
+    ).select("_key", "_p.*", "node", "n_shingles", "name", "label", "is_top")
+
+
+def _met(dealt: DataFrame, sets: DataFrame, percent: int, exact: bool) -> DataFrame:
+    kind = sets.schema["node"].dataType.simpleString()
     runs = ["_key", "_i", "_j"]
-    pairs = dealt.repartition(*runs).sortWithinPartitions(*runs, "name").mapInArrow(meet(percent), f"u {kind}, v {kind}")
-    return verify(pairs.distinct(), sets, percent)
+    rows = dealt.join(sets, "node").repartition(*runs).sortWithinPartitions(*runs, "name")
+    return rows.mapInArrow(meet(percent, exact), f"u {kind}, v {kind}, _key long")
+
+
+def rest_of_buckets(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components which meet in a bucket, besides the links ``found``.
+
+    Compared are short sets; the pairs they suggest are confirmed on the full ones.
+    Buckets in which a suggested pair fails are compared once more, on the full sets.
+    """
+    kind = members.schema["node"].dataType.simpleString()
+    first = materialize(components(found), "components")
+    short = sets.mapInArrow(short_sets, f"node {kind}, set binary")
+    pairs = materialize(_met(deal(members, first), short, percent, False), "pairs")
+    links = materialize(verify(pairs.select("u", "v").distinct(), sets, percent), "confirmed")
+    failed = materialize(pairs.join(links, ["u", "v"], "left_anti").select("_key").distinct(), "failed")
+    if not failed.isEmpty():
+        second = materialize(components(found.unionAll(links)), "components")
+        again = deal(members.join(failed, "_key", "left_semi"), second)
+        more = _met(again, sets.withColumnRenamed("shingles", "set"), percent, True)
+        links = materialize(links.unionAll(more.select("u", "v")), "confirmed")
+        discard(second)
+    for table in (first, pairs, failed):
+        discard(table)
+    return links

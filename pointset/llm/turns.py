@@ -303,14 +303,17 @@ def _faults(rows: DataFrame) -> DataFrame:
     last = F.right(F.rtrim(F.col("text"), F.lit(SPACES)), F.lit(1))
     own = F.when(last == "", BLANK).when(last.isin(".", "!", "?"), FINE).otherwise(CUT_OFF)
     sizes = F.concat_ws(":", F.length("_conv").cast("string"), F.length("role").cast("string"), F.lit(""))
-    parts = F.concat(sizes, F.col("_conv"), F.col("role"), F.col("text"))
-    marked = rows.withColumn("_fault", own).withColumn(
-        "_key", F.when(F.col("_here") & (F.col("_fault") != BLANK), F.unhex(F.md5(parts)))
+    # rows that cannot repeat have keys of their own, which spreads them in the join
+    can = F.col("_here") & (F.col("_fault") != BLANK)
+    parts = F.concat(F.lit("-"), F.col("_conv"), F.lit(":"), F.col("_turn").cast("string"))
+    said = F.concat(sizes, F.col("_conv"), F.col("role"), F.col("text"))
+    marked = rows.withColumn("_fault", own).withColumn("_can", can).withColumn(
+        "_key", F.unhex(F.md5(F.when(can, said).otherwise(parts)))
     )
     turn = F.struct("_has_turn", "_turn")
-    said = marked.where("_key IS NOT NULL").groupBy("_key").agg(F.min(turn).alias("_first"), F.max(turn).alias("_last"))
+    said = marked.where("_can").groupBy("_key").agg(F.min(turn).alias("_first"), F.max(turn).alias("_last"))
     again = said.where("_first < _last").select("_key", "_first")
-    late = F.coalesce(F.col("_first") < turn, F.lit(False))
+    late = F.col("_can") & F.coalesce(F.col("_first") < turn, F.lit(False))
     return marked.join(again, "_key", "left").withColumn("_fault", F.when(late, REPEATED).otherwise(F.col("_fault")))
 
 

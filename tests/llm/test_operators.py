@@ -159,12 +159,31 @@ def test_mixing(docs, rows):
         copies[r.doc_id, r.copy] += 1
     assert all(abs(taken[s] - targets[s]) < 1 for s in sizes)
     assert sum(copies.values()) == 2 * len(rows)
-    # in order of finish time, and whole until the cut
-    assert [r.finish for r in found] == sorted(r.finish for r in found)
+    # whole until the cut, nothing after it, one copy of a source cut in between
+    found.sort(key=lambda r: r.finish)
+    for source in sizes:
+        own = [r.taken / r.size for r in found if r.source == source and r.size]
+        assert own == sorted(own, reverse=True) and sum(0 < share < 1 for share in own) <= 1
     again = mix_sources(docs.repartition(5)).select("doc_id", "_th", "copy", "taken")
     assert Counter(tuple(r) for r in again.collect()) == Counter((r.doc_id, r._th, r.copy, r.taken) for r in found)
 
 
+def test_the_cut_is_read_off_the_sorted_schedule(docs, monkeypatch):
+    from pointset.llm import mixing
+
+    seen = {}
+    monkeypatch.setattr(mixing, "cut_time", lambda schedule, budget: seen.update(s=schedule, b=budget))
+    mix_sources(docs, share=1.9)
+    monkeypatch.undo()
+    cut = mixing.cut_time(seen["s"], seen["b"])
+    served = seen["s"].agg(F.sum(F.greatest(F.lit(0.0), F.least(F.col("size").cast("double"), cut * F.col("weight") - F.col("_start")))))
+    assert abs(served.head()[0] - seen["b"]) < 1e-3
+    # in any other order it is another one
+    assert seen["s"].where(f"_last AND finish < {cut}").count() > 0
+    other = seen["s"].withColumn("finish", 1e9 - F.col("finish")).withColumn("_part", -F.col("_part"))
+    assert mixing.cut_time(other, seen["b"]) != cut
+
+
 def test_mixing_all_run_dry(spark, docs, rows):
     found = mix_sources(docs, share=9.0).collect()
     assert all(r.taken == r.size for r in found)
@@ -374,6 +393,70 @@ def test_near_duplicates_hot_group(spark, monkeypatch, block):
     assert got(found, "doc_id", "n_shingles", "component_id", "kept") == Counter(brute.near(made, 2))
 
 
+def test_short_sets_may_mislead(spark, monkeypatch):
+    """With 8 bits of a hash nearly all pairs of a bucket are suggested."""
+    from pointset.llm import minmax_dedup
+
+    monkeypatch.setattr(minmax_dedup, "SHORT_SHIFT", 56)
+    rng = np.random.default_rng(9)
+    made = []
+    for g in range(12):
+        base = [f"g{g}v{v}" for v in rng.integers(0, 5000, 120)]
+        for i in range(12):
+            w = list(base)
+            for at in rng.integers(0, len(w), int(rng.integers(0, 16))):
+                w[at] = f"z{rng.integers(0, 9999)}"
+            made.append((100 * i + g, " ".join(w)))
+    found = near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), shingle=2)
+    assert got(found, "doc_id", "n_shingles", "component_id", "kept") == Counter(brute.near(made, 2))
+
+
+NODE = "struct<doc_id:long,_th:long>"
+
+
+def bucket(spark, sizes):
+    """One bucket whose components have the given sizes; all sets are nearly equal."""
+    rows, at = [], 0
+    for n in sizes:
+        rows += [((i, i), 20, 5, (at, at)) for i in range(at, at + n)]
+        at += n
+    members = spark.createDataFrame(rows, f"node {NODE}, n_shingles long, _key long, component {NODE}")
+    return members.select("node", "n_shingles", "_key"), members.select("node", "component")
+
+
+def test_a_stray_member_is_no_second_copy_of_its_bucket(spark, monkeypatch):
+    from pointset.llm import minmax_dedup
+
+    monkeypatch.setattr(minmax_dedup, "BUCKET_BLOCK", 100)
+    members, labels = bucket(spark, [6000, 1])
+    assert minmax_dedup.deal(members, labels).count() <= 2 * 6001
+    assert minmax_dedup.deal(*bucket(spark, [6000])).count() == 0
+
+
+def test_components_that_meet_return_few_pairs(spark):
+    from pointset.llm import minmax_dedup
+
+    members, labels = bucket(spark, [1000, 1000, 7])
+    nodes = members.select("node").collect()
+    sets = [(r.node, np.arange(20, dtype=np.uint64).tobytes()) for r in nodes]
+    sets = spark.createDataFrame(sets, f"node {NODE}, shingles binary")
+    pairs = minmax_dedup._met(minmax_dedup.deal(members, labels), sets.withColumnRenamed("shingles", "set"), 80, True)
+    links = [(r.u.doc_id, r.v.doc_id) for r in pairs.collect()]
+    # two blocks of members: a forest of three components from each
+    assert 2 <= len(links) <= 4
+    low = lambda i: 0 if i < 1000 else 1 if i < 2000 else 2
+    assert len({(min(low(u), low(v)), max(low(u), low(v))) for u, v in links} & {(0, 1), (0, 2), (1, 2)}) == 2
+
+
+def test_one_document_of_a_group_stays_with_repeated_ids(spark):
+    words = [f"v{i}" for i in range(200)]
+    near = [*words[:-1], "other"]
+    rows = [(3, " ".join(words)), (3, " ".join(near)), (7, " ".join(near)), (7, "something else altogether is said here"), (8, " ".join(words))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SHAPE)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted((r.doc_id, len(r.text.split())) for r in kept.collect()) == [(3, 200), (7, 6)]
+
+
 # token ids
 
 
