@@ -27,6 +27,7 @@ from .profile import (
     table_shape,
     true_k,
     type_profile,
+    value_types,
 )
 from .seeding import (
     candidate_weights,
@@ -87,4 +88,5 @@ __all__ = [
     "type_profile",
     "update_centroids",
     "update_distances",
+    "value_types",
 ]

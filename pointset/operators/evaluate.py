@@ -21,9 +21,10 @@ def expected_centroids(pts: DataFrame, label: str = "y") -> DataFrame:
     return dense_index(means, label, "cid").select(F.col("cid").cast("int").alias("cid"), label, "c", "n")
 
 
-def expected_distances(pts: DataFrame, label: str = "y") -> DataFrame:
+def expected_distances(pts: DataFrame, label: str = "y", expected: DataFrame | None = None) -> DataFrame:
     """Squared distance of every point to the mean of its own label; null without one."""
-    return update_distances(pts.drop("cid"), expected_centroids(pts, label), key=label)
+    means = expected_centroids(pts, label) if expected is None else expected
+    return update_distances(pts.drop("cid"), means, key=label)
 
 
 def match_centroids(expected: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -39,9 +40,9 @@ def match_mse(expected: DataFrame, predicted: DataFrame) -> DataFrame:
     return match_centroids(expected, predicted).agg(F.avg("d2").alias("mse"))
 
 
-def rms_radius(pts: DataFrame, label: str = "y") -> DataFrame:
+def rms_radius(pts: DataFrame, label: str = "y", expected: DataFrame | None = None) -> DataFrame:
     """Root mean square distance of the points of a label to their mean."""
-    distances = expected_distances(pts.where(F.col(label).isNotNull()), label)
+    distances = expected_distances(pts.where(F.col(label).isNotNull()), label, expected)
     return distances.groupBy(label).agg(F.sqrt(F.avg("d2")).alias("radius"))
 
 

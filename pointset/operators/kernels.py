@@ -22,6 +22,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MATRIX_CELLS = 2_000_000
 
 MATCH = "struct<cid:int,d2:double>"
+# A match and the number of distances measured for it.
+COUNTED = "struct<cid:int,d2:double,n:int>"
+# A match and a lower bound of the distance to every other centroid.
+BOUNDED = "struct<cid:int,d2:double,other:double>"
+# Share of the distances of a batch up to which the ones that may matter are measured
+# one by one; beyond it one matrix product is faster.
+PICKED = 0.5
+# Distances that differ by less than this, relatively, may be equal but for rounding.
+SLACK = 1e-9
 
 
 def matrix(vectors) -> np.ndarray:
@@ -156,6 +165,178 @@ def lower_column(x: Column, cid: Column, d2: Column, ids: np.ndarray, c: np.ndar
     return _match_udf(run)(x, cid, d2)
 
 
+def nearer(
+    x: np.ndarray, old: np.ndarray, known: np.ndarray, gaps: np.ndarray | None, c: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nearest row of ``c`` for points with a centre ``old`` at squared distance ``known``.
+
+    ``gaps`` holds the squared distances of all centres to the rows of ``c``.  A row at
+    least twice as far from the centre as the point cannot be nearer to the point than
+    the centre is, and is not measured: the position is -1 if there is no other.  Also
+    returns how many distances were measured for each point.
+    """
+    n, k = len(x), len(c)
+    where, best, counts = np.full(n, -1), np.full(n, np.inf), np.full(n, k)
+    if gaps is None:
+        return *nearest(x, c), counts
+    step = max(1, MATRIX_CELLS // k)
+    for a in range(0, n, step):
+        part = slice(a, a + step)
+        may = gaps[old[part]] <= (4.0 * (1.0 + SLACK)) * known[part, None]
+        counts[part] = may.sum(axis=1)
+        if counts[part].sum() > PICKED * may.size:
+            rows = a + np.flatnonzero(counts[part])
+            where[rows], best[rows] = nearest(x[rows], c)
+            counts[rows] = k
+            continue
+        rows, cols = np.nonzero(may)
+        if len(rows):
+            d = pair_distances(x[part], c, rows, cols)
+            order = np.lexsort((cols, d, rows))
+            first = order[np.r_[True, rows[order][1:] != rows[order][:-1]]]
+            where[a + rows[first]], best[a + rows[first]] = cols[first], d[first]
+    return where, best, counts
+
+
+def first_counted_column(x: Column, ids: np.ndarray, c: np.ndarray) -> Column:
+    """Like ``nearest_column``, with the number of distances measured."""
+
+    def run(vectors: pa.Array) -> pa.Array:
+        pts = matrix(vectors)
+        if not len(pts):
+            return _counted(np.empty(0), np.empty(0), np.empty(0))
+        where, d2 = nearest(pts, c)
+        return _counted(ids[where], d2, np.full(len(pts), len(c)))
+
+    return F.arrow_udf(run, COUNTED).asNondeterministic()(x)
+
+
+def lower_counted_column(
+    x: Column, cid: Column, d2: Column, ids: np.ndarray, c: np.ndarray, rank: np.ndarray, gaps: np.ndarray | None
+) -> Column:
+    """The better of the known match and the nearest row of ``c``, by ``nearer``.
+
+    ``gaps`` holds the squared distances of all known centres to the rows of ``c``.  At
+    equal distance the id with the lower ``rank`` wins.
+    """
+
+    def run(vectors: pa.Array, old_ids: pa.Array, old_d2: pa.Array) -> pa.Array:
+        pts = matrix(vectors)
+        if not len(pts):
+            return _counted(np.empty(0), np.empty(0), np.empty(0))
+        old, known = old_ids.to_numpy(zero_copy_only=False), old_d2.to_numpy(zero_copy_only=False)
+        where, found, counts = nearer(pts, old, known, gaps, c)
+        new = ids[where]
+        before = (where >= 0) & (rank[new] < rank[old])
+        better = (found < known) | ((found == known) & before)
+        return _counted(np.where(better, new, old), np.where(better, found, known), counts)
+
+    return F.arrow_udf(run, COUNTED).asNondeterministic()(x, cid, d2)
+
+
+def _counted(ids: np.ndarray, d2: np.ndarray, counts: np.ndarray) -> pa.StructArray:
+    arrays = [pa.array(ids.astype(np.int32)), pa.array(d2), pa.array(counts.astype(np.int32))]
+    return pa.StructArray.from_arrays(arrays, names=["cid", "d2", "n"])
+
+
+def two_nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nearest row of ``c``, the squared distance to it, and a lower bound of the distance
+    to every other row."""
+    where, d2 = nearest(x, c)
+    other = np.full(len(x), np.inf)
+    if len(c) > 1:
+        norms = np.sum(c * c, axis=1)
+        unit = np.finfo(float).eps * 4 * (x.shape[1] + 8)
+        step = max(1, MATRIX_CELLS // len(c))
+        for a in range(0, len(x), step):
+            part, own = x[a : a + step], where[a : a + step]
+            score = norms - 2.0 * (part @ c.T)
+            score[np.arange(len(part)), own] = np.inf
+            sizes = np.sum(part * part, axis=1)
+            reach = np.sqrt(sizes) + np.sqrt(norms.max())
+            second = score.min(axis=1) + sizes - unit * reach * reach
+            other[a : a + step] = np.sqrt(np.maximum(second, 0.0))
+    return where, d2, other
+
+
+def bounded_column(x: Column, ids: np.ndarray, c: np.ndarray) -> Column:
+    """Struct column of the nearest centroid and the bound of ``two_nearest``."""
+
+    def run(vectors: pa.Array) -> pa.Array:
+        pts = matrix(vectors)
+        where, d2, other = two_nearest(pts, c) if len(pts) else (np.empty(0, int), np.empty(0), np.empty(0))
+        arrays = [pa.array(ids[where].astype(np.int32)), pa.array(d2), pa.array(other)]
+        return pa.StructArray.from_arrays(arrays, names=["cid", "d2", "other"])
+
+    return F.arrow_udf(run, BOUNDED).asNondeterministic()(x)
+
+
+def shifted_sums(ids: np.ndarray, c: np.ndarray, fall: float, chunk: int) -> Callable:
+    """For ``mapInArrow`` over loose points: what leaves and joins each cluster.
+
+    Columns ``x, cid, other``: ``cid`` is the cluster of the generation, ``other`` its
+    lower bound there, which has fallen by at most ``fall`` since.  A point still nearer
+    to its own centroid stays, at the cost of one distance; the others are measured
+    against all.  A task leaves a row per cluster that changed (and chunk), and one with
+    id -1 that holds the number of points seen and of those measured against all.
+    """
+    k, dim = c.shape
+    n_chunks = max(1, -(-dim // chunk))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots: dict[int, int] = {}
+        count, total = [], []
+        seen = full = 0
+
+        def add(names: np.ndarray, x: np.ndarray, sign: int) -> None:
+            for name in np.unique(names):
+                rows = names == name
+                slot = slots.setdefault(int(name), len(slots))
+                if slot == len(count):
+                    count.append(0)
+                    total.append(np.zeros(n_chunks * chunk))
+                count[slot] += sign * int(rows.sum())
+                total[slot][:dim] += sign * x[rows].sum(axis=0)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column("x"))
+            old = batch.column("cid").to_numpy(zero_copy_only=False).astype(np.int64)
+            bound = batch.column("other").to_numpy(zero_copy_only=False) - fall
+            at = np.searchsorted(ids, old)
+            live = (at < k) & (ids[np.minimum(at, k - 1)] == old)
+            own = np.full(len(x), np.inf)
+            some = np.flatnonzero(live)
+            own[some] = np.sqrt(pair_distances(x, c, some, at[some]))
+            loose = np.flatnonzero(own * (1.0 + SLACK) >= bound)
+            seen, full = seen + len(x), full + len(loose)
+            if not len(loose):
+                continue
+            new = ids[nearest(x[loose], c)[0]]
+            changed = np.flatnonzero(new != old[loose])
+            add(old[loose][changed], x[loose][changed], -1)
+            add(new[changed], x[loose][changed], 1)
+        names = [-1, *slots]
+        sums = np.vstack([np.zeros(n_chunks * chunk), *total])
+        for i in range(n_chunks):
+            part = np.ascontiguousarray(sums[:, i * chunk : (i + 1) * chunk])
+            offsets = np.arange(0, part.size + 1, chunk, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(names, pa.int32()),
+                    pa.array(np.full(len(names), i, dtype=np.int32)),
+                    pa.array([seen, *count], pa.int64()),
+                    pa.array([float(full), *[0.0] * len(count)]),
+                    pa.array(np.zeros(len(names))),
+                    pa.ListArray.from_arrays(offsets, pa.array(part.ravel())),
+                ],
+                names=["cid", "chunk", "n", "w", "sd2", "s"],
+            )
+
+    return run
+
+
 def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) -> Callable:
     """For ``mapInArrow``: assign each batch and keep only sums per centroid.
 
@@ -204,45 +385,4 @@ def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) ->
     return run
 
 
-def first_arrivals(draw: int, most: int) -> Callable:
-    """For ``mapInArrow``: the ``most`` earliest arrivals of a task in each race.
-
-    Column ``e`` holds the exponential numbers of the races, the first being ``draw``.
-    """
-
-    def earliest(table: pa.Table, races: int) -> list[np.ndarray]:
-        odds = table.column("w").to_numpy() * table.column("d2").to_numpy()
-        t = matrix(table.column("e")) / odds[:, None]
-        kept = []
-        for j in range(races):
-            own = t[:, j]
-            if len(own) > most:
-                # with all that tie for the last place
-                kept.append(np.flatnonzero(own <= np.partition(own, most - 1)[most - 1]))
-            else:
-                kept.append(np.arange(len(own)))
-        return kept
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[pa.Table] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            races = len(batch.column("e")[0])
-            best = best or [table.slice(0, 0)] * races
-            for j, rows in enumerate(earliest(table, races)):
-                both = pa.concat_tables([best[j], table.take(pa.array(rows))])
-                best[j] = both.take(pa.array(earliest(both, races)[j]))
-        for j, table in enumerate(best or []):
-            e = matrix(table.column("e"))[:, j]
-            t = e / (table.column("w").to_numpy() * table.column("d2").to_numpy())
-            for part in table.drop_columns(["e"]).append_column("e", pa.array(e)).append_column(
-                "draw", pa.array(np.full(len(e), draw + j, np.int32))
-            ).append_column("t", pa.array(t)).combine_chunks().to_batches():
-                yield part
-
-    return run
-
-
 PARTIAL_SUMS = "cid int, chunk int, n bigint, w double, sd2 double, s array<double>"

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.runlog import RUN
+
 STAGES = ["pre", "init", "lloyd"]
 TIMES = ["pre", "init_time", "lloyd"]
-# A run, and the setting it was made in.
-RUN = ["run_id", "init", "cache_mode", "partitions", "n_rows"]
 
 
 def _totals(log: DataFrame) -> DataFrame:

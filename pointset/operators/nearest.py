@@ -6,7 +6,6 @@ A centroid table has the columns ``cid INT`` and ``c ARRAY<DOUBLE>``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +50,7 @@ def local_centroids(cents: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     return ids[order], kernels.matrix(table.column("c"))[order]
 
 
-def centroid_blocks(cents: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def centroid_blocks(cents: DataFrame, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The centroids as blocks that each fit a task: one block if they are few."""
     small = local_centroids(cents)
     if small is not None:
@@ -60,11 +59,12 @@ def centroid_blocks(cents: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]
     table = materialize(cents.select("cid", "c"), "centroids")
     facts = table.agg(F.count("*").alias("n"), F.sum(F.size("c") * 8 + 16).alias("bytes")).head()
     n_blocks = 2 * max(-(-facts.n // durable.SMALL_ROWS), -(-facts.bytes // durable.SMALL_BYTES))
-    slot = F.pmod(F.xxhash64("cid"), F.lit(n_blocks))
+    # a block that is still too large is dealt out by another hash
+    slot = F.pmod(F.xxhash64("cid", F.lit(depth)), F.lit(n_blocks))
     for i in range(n_blocks):
         block = table.where(slot == i)
         if not block.isEmpty():
-            yield from centroid_blocks(block)
+            yield from centroid_blocks(block, depth + 1)
     discard(table)
 
 
@@ -172,6 +172,3 @@ def as_points(cents: DataFrame) -> DataFrame:
     rest = [c for c in cents.columns if c not in ("cid", "c")]
     return cents.select(F.col("cid").alias("id"), F.col("c").alias("x"), *rest)
 
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

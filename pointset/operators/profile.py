@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.durable import discard, materialize, measured
+
 VECTOR = "vector"
 TEXT = "text"
 
@@ -107,6 +109,63 @@ def label_counts(df: DataFrame, label: str = "y", order: str | None = None) -> D
 
 
 def numeric_dim(df: DataFrame) -> DataFrame:
-    """How many attributes ``drop_categorical`` leaves; the table itself is not read."""
-    left = sum(type_class(f.dataType) != TEXT for f in df.schema.fields)
-    return df.sparkSession.range(1).select(F.lit(left).cast("bigint").alias("dim"))
+    """What ``drop_categorical`` leaves: ``dim`` attributes, ``n_filled`` of which hold a
+    value in some of the ``n_rows`` rows."""
+    kept = [f.name for f in df.schema.fields if type_class(f.dataType) != TEXT]
+    filled = [F.coalesce(F.max(F.col(f"`{c}`").isNotNull().cast("bigint")), F.lit(0)) for c in kept]
+    return df.agg(
+        F.lit(len(kept)).cast("bigint").alias("dim"),
+        reduce(Column.__add__, filled, F.lit(0)).cast("bigint").alias("n_filled"),
+        F.count("*").alias("n_rows"),
+    )
+
+
+# Types found in values, as classes; containers go by name.
+VALUE_CLASSES = [
+    ("BOOLEAN", "boolean"), ("BIGINT", "integer"), ("DECIMAL", "float"), ("DOUBLE", "float"), ("FLOAT", "float"),
+    ("STRING", TEXT), ("DATE", "time"), ("TIMESTAMP", "time"), ("OBJECT", "object"), ("ARRAY", "array"), ("VOID", "null"),
+]
+
+
+def value_types(df: DataFrame, column: str) -> DataFrame:
+    """The types found in the values of a JSON text or VARIANT column, at every path.
+
+    A row per path: ``path, types, n_values, n_nulls``.  ``$`` is the value itself,
+    ``.name`` a member and ``[*]`` the elements of an array.  ``types`` joins the classes
+    seen, null included; a text that is no JSON counts as ``malformed`` at ``$``, a null
+    in the column as null.  ``n_values`` counts the values that are not null.
+
+    Every level of nesting is one pass over the containers of the level before, which
+    are written to the shared folder; the sets of types are merged inside the tasks.
+    """
+    source = df.select(F.col(column).alias("raw"))
+    parsed = F.col("raw") if isinstance(source.schema["raw"].dataType, T.VariantType) else F.try_parse_json("raw")
+    broken = F.col("raw").isNotNull() & parsed.isNull()
+    level = source.select(F.lit("$").alias("path"), parsed.alias("v"), broken.alias("broken"))
+    counts, owned = [], None
+    while True:
+        kind = F.schema_of_variant("v")
+        named = F.when(F.col("broken"), "malformed").when(F.col("v").isNull(), "null")
+        for sign, name in VALUE_CLASSES:
+            named = named.when(kind.startswith(sign), name)
+        typed = level.withColumn("type", named.otherwise(F.lower(kind)))
+        counts.append(materialize(typed.groupBy("path", "type").agg(F.count("*").alias("n")), "types"))
+        inner, seen = measured(
+            typed.where(F.col("type").isin("object", "array")).select("path", "type", "v"), "containers", n=F.count("*")
+        )
+        if owned is not None:
+            discard(owned)
+        owned = inner
+        if not seen["n"]:
+            break
+        below = inner.withColumnRenamed("v", "of").withColumnRenamed("type", "in")
+        members = below.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("of").outer()))
+        path = F.when(F.col("in") == "array", F.concat("path", F.lit("[*]"))).otherwise(F.concat("path", F.lit("."), F.col("key")))
+        level = members.select(path.alias("path"), F.col("value").alias("v"), F.lit(False).alias("broken"))
+    discard(owned)
+    every = reduce(DataFrame.unionByName, counts)
+    return every.groupBy("path").agg(
+        F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"),
+        F.sum(F.when(F.col("type") != "null", F.col("n")).otherwise(0)).alias("n_values"),
+        F.sum(F.when(F.col("type") == "null", F.col("n")).otherwise(0)).alias("n_nulls"),
+    )

@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exponential_race, tag_dim, uniform
 from ..functions.random import uniform_sql
-from ..sources.durable import Cache, discard, is_small, materialize
-from ..sources.points import subset
+from ..sources import durable
+from ..sources.durable import Cache, discard, is_small, materialize, measured
+from ..sources.points import TAKEN_ROWS, subset
 from ..sources.runlog import RunLog
 from . import kernels
 from .iterations import lloyd
@@ -22,17 +23,29 @@ from .state import NearestState
 RECLUSTER_ITERATIONS = 100
 # A round also fetches the candidates it would need if the cost fell this much.
 COST_DROP = 4.0
-# Draws of the weighted seeding looked at in one pass, and arrivals fetched for each.
+# Draws of the weighted seeding looked at in one pass, and arrivals expected for each.
 DRAWS = 16
 FETCHED = 64
+# Standard deviations by which more keys than wanted are looked at.
+KEYS_SPARE = 8.0
 # Rows on which the hits of a round come to the driver.
 HIT_ROWS = 1024
 
 
-def init_from_set(pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None = None) -> DataFrame:
-    """``k`` points drawn uniformly without replacement."""
+def init_from_set(
+    pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None = None, total: int | None = None
+) -> DataFrame:
+    """``k`` points drawn uniformly without replacement.
+
+    Up to ``TAKEN_ROWS`` points are the smallest keys of every task, merged: one job.
+    With the number of points in ``total``, no task offers keys that are all but sure
+    not to be among the smallest, so the merge sees about ``k`` rows whatever the
+    number of tasks.
+    """
     timer = log or RunLog()
     with timer.timed("init"):
+        if k <= min(TAKEN_ROWS, durable.SMALL_ROWS):
+            return _smallest_keys(pts, k, seed, total)
         drawn = subset(pts.select("id", "x"), k, seed, tag="init")
         order = drawn.select(F.struct(uniform(seed, "init").alias("u"), "id").alias("o"), F.col("x").alias("c"))
         cents = dense_index(order, "o", "cid").select(F.col("cid").cast("int").alias("cid"), "c")
@@ -40,6 +53,19 @@ def init_from_set(pts: DataFrame, k: int, seed: int = 12345, log: RunLog | None
         return centroid_table(pts.sparkSession, *small) if small else cents
 
 
+def _smallest_keys(pts: DataFrame, k: int, seed: int, total: int | None) -> DataFrame:
+    keyed = pts.select("id", "x", uniform(seed, "init").alias("u"))
+    near = keyed
+    if total and (k + KEYS_SPARE * math.sqrt(k)) < total:
+        near = keyed.where(F.col("u") < F.lit((k + KEYS_SPARE * math.sqrt(k)) / total))
+    got = near.orderBy("u", "id").limit(k).select("x").toArrow()
+    if near is not keyed and got.num_rows < k:
+        got = keyed.orderBy("u", "id").limit(k).select("x").toArrow()
+    if not got.num_rows:
+        raise ValueError("cannot pick centroids from an empty table")
+    return centroid_table(pts.sparkSession, range(got.num_rows), kernels.matrix(got.column("x")))
+
+
 def init_from_space(spark: SparkSession, k: int, dim: int, seed: int = 12345) -> DataFrame:
     """``k`` points drawn uniformly from the unit cube of ``dim`` dimensions."""
     draw = F.expr(f"transform(sequence(0, {dim - 1}), j -> {uniform_sql(seed, 'space', f'id * {dim} + j')})")
@@ -84,10 +110,14 @@ def seed_plus_plus(
 
     A draw is won by the earliest arrival of a race whose odds fall with the distance
     to the nearest centroid.  Distances only fall, so arrivals only get later: a pass
-    over the points fetches the earliest few of each of the next ``DRAWS`` draws, and
+    over the points fetches all early arrivals of each of the next ``DRAWS`` draws, and
     a draw is settled from these for as long as its winner, measured against the new
     centroids too, arrives before all that were not fetched.  Only then are the points
     read again.  Draws stop early when all points coincide with a centroid.
+
+    How early is told by the sum of the odds: about ``FETCHED`` of any number of points
+    arrive before ``FETCHED`` divided by it.  So many rows come to the driver, from all
+    tasks together (ids are taken to be distinct).
     """
     spark, mass = pts.sparkSession, F.col(weight) if weight else F.lit(1.0)
     policy = Cache(cache)
@@ -95,21 +125,28 @@ def seed_plus_plus(
     state = NearestState(base, policy)
     frame = base.withColumn("d2", F.lit(1.0))
     chosen: list[np.ndarray] = []
+    odds, stuck = None, True
     while len(chosen) < k:
         # without a centroid there are no distances yet: the first draw stands alone
         wanted = range(len(chosen), min(k, len(chosen) + DRAWS) if chosen else 1)
-        races = _earliest(frame, seed, wanted)
+        if stuck:
+            races, horizon, odds = _first_arrivals(frame, seed, wanted)
+        else:
+            horizon = dict.fromkeys(wanted, (FETCHED / odds, None))
+            races, odds = _early_arrivals(frame, seed, wanted, FETCHED / odds)
         state.settled()
         new: list[np.ndarray] = []
         for draw in wanted:
-            winner = _winner(races.get(draw, []), new)
+            winner = _winner(races.get(draw, []), horizon.get(draw), new)
             if winner is None:
                 break
             new.append(winner)
-        if not new:
+        if not odds or (stuck and not new):
             break
+        # the odds of the first draw are weights, which tell nothing about distances
+        stuck = not new or not chosen
         chosen += new
-        if len(chosen) < k:
+        if len(chosen) < k and new:
             frame = state.add(np.array(new))
     state.close()
     policy.release_once(pts, base)
@@ -118,37 +155,58 @@ def seed_plus_plus(
     return centroid_table(spark, range(len(chosen)), np.array(chosen))
 
 
-def _earliest(frame: DataFrame, seed: int, draws: range) -> dict[int, list]:
-    """The earliest ``FETCHED`` arrivals of each draw; every task offers no more."""
-    times = F.array(*[exponential_race(seed, f"pp{j}", "id", "1.0D") for j in draws])
-    live = frame.where("w * d2 > 0").select("id", "x", "w", "d2", times.alias("e"))
-    kind = frame.schema["id"].dataType.simpleString()
-    offered = live.mapInArrow(
-        kernels.first_arrivals(draws.start, FETCHED),
-        f"id {kind}, x array<double>, w double, d2 double, e double, draw int, t double",
-    )
-    place = F.row_number().over(Window.partitionBy("draw").orderBy("t", "id"))
+def _arrival(seed: int, draw: int):
+    return exponential_race(seed, f"pp{draw}", "id", "1.0D")
+
+
+def _first_arrivals(frame: DataFrame, seed: int, draws: range) -> tuple[dict, dict, float]:
+    """The earliest arrival of each draw, the time up to which arrivals are known, and the
+    sum of the odds.  A minimum is merged before it leaves a task."""
+    live = frame.where("w * d2 > 0").select("id", "x", "w", "d2", *[_arrival(seed, j).alias(f"e{j}") for j in draws])
+    odds = F.col("w") * F.col("d2")
+    least = [
+        F.min(F.struct((F.col(f"e{j}") / odds).alias("t"), "id", F.col(f"e{j}").alias("e"), "w", "d2", "x")).alias(f"r{j}")
+        for j in draws
+    ]
+    row = live.agg(F.sum(odds).alias("odds"), *least).head()
+    first = {j: row[f"r{j}"] for j in draws if row[f"r{j}"] is not None}
+    return {j: [r] for j, r in first.items()}, {j: (r.t, r.id) for j, r in first.items()}, row.odds or 0.0
+
+
+def _early_arrivals(frame: DataFrame, seed: int, draws: range, until: float) -> tuple[dict, float]:
+    """All arrivals up to a time, by draw, and the sum of the odds, from one pass."""
+    seen = Observation()
+    odds = F.col("w") * F.col("d2")
+    live = frame.where("w * d2 > 0").observe(seen, F.sum(odds).alias("odds"))
+    names = [f"e{j}" for j in draws]
+    timed = live.select("id", "x", "w", "d2", *[_arrival(seed, j).alias(name) for j, name in zip(draws, names)])
+    first = F.least(*names) if len(names) > 1 else F.col(names[0])
     races: dict[int, list] = {}
-    rows = offered.withColumn("place", place).where(F.col("place") <= FETCHED).collect()
-    for row in sorted(rows, key=lambda row: (row.draw, row.place)):
-        races.setdefault(row.draw, []).append(row)
-    return races
+    for row in timed.where(first / odds <= F.lit(until)).collect():
+        for j, name in zip(draws, names):
+            if row[name] / (row.w * row.d2) <= until:
+                races.setdefault(j, []).append(Row(id=row.id, x=row.x, w=row.w, d2=row.d2, e=row[name]))
+    return races, seen.get.get("odds") or 0.0
+
 
+def _winner(race: list, horizon: tuple | None, new: list[np.ndarray]) -> np.ndarray | None:
+    """The winner of a draw given the centroids since the pass; ``None``: not settled.
 
-def _winner(race: list, new: list[np.ndarray]) -> np.ndarray | None:
-    """The winner of a draw given the centroids since the pass; ``None``: not settled."""
+    All arrivals up to ``horizon``, a time and the last id at it (``None``: all), are in
+    the race.
+    """
     best = None
     for row in race:
         d2 = min([row.d2, *[float(np.sum((np.array(row.x) - c) ** 2)) for c in new]])
         if row.w * d2 > 0:
             arrival = (row.e / (row.w * d2), row.id)
             best = min(best, (arrival, row.x)) if best and best[0] != arrival else (arrival, row.x)
-    if best is None or len(race) == FETCHED and best[0] > (race[-1].t, race[-1].id):
+    if best is None or best[0][0] > horizon[0] or horizon[1] is not None and best[0] > horizon:
         return None
     return np.array(best[1], dtype=float)
 
 
-def recluster(candidates: DataFrame, k: int, seed: int = 12345) -> DataFrame:
+def recluster(candidates: DataFrame, k: int, seed: int = 12345, cache: str = "none") -> DataFrame:
     """Reduce weighted candidates ``(cid, c, w)`` to at most ``k`` centroids."""
     n = candidates.count()
     if n <= k:
@@ -156,10 +214,11 @@ def recluster(candidates: DataFrame, k: int, seed: int = 12345) -> DataFrame:
     pts = candidates.select(F.col("cid").alias("id"), F.col("c").alias("x"), "w")
     if is_small(n, 0):
         pts = pts.coalesce(max(1, n // 10_000))
-    pts = pts.persist()
+    policy = Cache(cache)
+    pts = policy.hold(pts)
     start = seed_plus_plus(pts, k, "w", seed)
     final = lloyd(pts, start, RECLUSTER_ITERATIONS, tol=None, weight="w")
-    pts.unpersist()
+    policy.release(pts)
     return final
 
 
@@ -170,21 +229,23 @@ def init_parallel(
     seed: int = 12345,
     log: RunLog | None = None,
     cache: str = "none",
+    total: int | None = None,
 ) -> DataFrame:
     """Scalable k-means seeding by oversampling (k-means||).
 
     One pass over the points per round: the pass that lowers the distances for
     the latest candidates returns the new cost and, at the same time, every
     point that the next round could draw unless the cost falls by more than
-    ``COST_DROP``; if it does, the draw is repeated with the right cost.
+    ``COST_DROP``; if it does, the draw is repeated with the right cost.  ``total``, the
+    number of points, speeds up the first draw.
     """
     l = float(2 * k if l is None else l)
     timer = log or RunLog()
     with timer.timed("init"):
-        candidates = oversampled_candidates(pts, l, seed, timer, cache)
+        candidates = oversampled_candidates(pts, l, seed, timer, cache, total)
         if candidates is None:
-            return init_from_set(pts, 1, seed)
-        return recluster(candidates, k, seed)
+            return init_from_set(pts, 1, seed, total=total)
+        return recluster(candidates, k, seed, cache)
 
 
 def _fits(n: float, dim: int) -> bool:
@@ -198,6 +259,7 @@ def oversampled_candidates(
     seed: int,
     log: RunLog | None = None,
     cache: str = "none",
+    total: int | None = None,
 ) -> DataFrame | None:
     """Weighted distinct candidates ``(cid, c, w)``; ``None`` if the first cost is 0.
 
@@ -208,12 +270,12 @@ def oversampled_candidates(
     spark = pts.sparkSession
     policy = Cache(cache)
     base = policy.hold_once(pts, pts.select("id", "x"))
-    first = local_centroids(init_from_set(base, 1, seed))[1]
+    first = local_centroids(init_from_set(base, 1, seed, total=total))[1]
     dim = first.shape[1]
     state = NearestState(base, policy)
     frame = state.add(first)
-    psi, drawn = _cost_and_draw(frame, None, l, seed, 0)
-    log.add("init", "CostInit", psi, 0)
+    psi, drawn, facts = _cost_and_draw(frame, None, l, seed, 0)
+    _log_pass(log, psi, facts, 0)
     if psi == 0:
         policy.release_once(pts, base)
         return None
@@ -223,7 +285,7 @@ def oversampled_candidates(
             cents = centroid_table(spark, range(len(state.centres)), state.centres)
             table = materialize(frame.select("id", "x", "cid", "d2"), "state")
             state.close()
-            weighted = _candidates_as_tables(base, cents, table, psi, l, seed, log, range(r, n_rounds))
+            weighted = _candidates_as_tables(base, cents, table, psi, l, seed, log, range(r, n_rounds), facts)
             policy.release_once(pts, base)
             return weighted
         with log.timed("init", "tSamples", r):
@@ -233,9 +295,9 @@ def oversampled_candidates(
             if len(drawn):
                 frame = state.add(drawn)
             if len(drawn) or r + 1 < n_rounds:
-                psi, drawn = _cost_and_draw(frame, psi, l, seed, r + 1)
+                psi, drawn, facts = _cost_and_draw(frame, psi, l, seed, r + 1)
                 state.settled()
-        log.add("init", "CostInit", psi, r + 1)
+        _log_pass(log, psi, facts, r + 1)
         if psi == 0:
             break
     # `rank` numbers the distinct candidates in vector order, so equal ones merge.
@@ -255,22 +317,35 @@ def _hit(l: float, psi: float, seed: int, r: int):
     return F.when(hit, F.struct("id", u.alias("u"), "d2", "x"))
 
 
+# What a pass of k-means|| is asked besides its cost: points read and distances measured.
+FACTS = {"nRows": "count(*)", "nDistances": "sum(measured)"}
+
+
+def _log_pass(log: RunLog, psi: float, facts: dict, r: int) -> None:
+    log.add("init", "CostInit", psi, r)
+    for metric, value in facts.items():
+        log.add("init", metric, value, r)
+
+
 def _cost_and_draw(frame: DataFrame, before: float | None, l: float, seed: int, r: int):
-    """Cost of the generation and, if it fell moderately, the next candidates.
+    """Cost of the generation, the next candidates if it fell moderately, and ``FACTS``.
 
     The hits come in up to ``HIT_ROWS`` rows: no task gathers all of them.
     """
+    asked = [F.sum("d2").alias("psi"), *[F.expr(value).alias(name) for name, value in FACTS.items()]]
     if before is None:
-        return _checked(frame.agg(F.sum("d2").alias("psi")).head().psi), None
+        row = frame.agg(*asked).head()
+        return _checked(row.psi), None, {name: row[name] for name in FACTS}
     floor = before / COST_DROP
     slot = F.pmod(F.spark_partition_id(), F.lit(HIT_ROWS)).alias("slot")
-    parts = frame.groupBy(slot).agg(F.sum("d2").alias("psi"), F.collect_list(_hit(l, floor, seed, r)).alias("hits"))
+    parts = frame.groupBy(slot).agg(*asked, F.collect_list(_hit(l, floor, seed, r)).alias("hits"))
     rows = sorted(parts.collect(), key=lambda row: row.slot)
     psi = _checked(math.fsum(row.psi for row in rows) if rows else None)
+    facts = {name: sum(row[name] for row in rows) for name in FACTS}
     if psi < floor:
-        return psi, None
+        return psi, None, facts
     kept = sorted((h for row in rows for h in row.hits if h.u < l * h.d2 / psi), key=lambda h: h.id)
-    return psi, np.array([h.x for h in kept], dtype=float)
+    return psi, np.array([h.x for h in kept], dtype=float), facts
 
 
 def _draw(frame: DataFrame, l: float, psi: float, seed: int, r: int) -> np.ndarray:
@@ -285,27 +360,31 @@ def _checked(psi) -> float:
 
 
 def _candidates_as_tables(
-    base: DataFrame, cents: DataFrame, frame: DataFrame, psi: float, l: float, seed: int, log: RunLog, left: range
+    base: DataFrame, cents: DataFrame, frame: DataFrame, psi: float, l: float, seed: int, log: RunLog, left: range, facts: dict
 ) -> DataFrame:
     """The rounds ``left`` for candidate sets too large for the driver.
 
     Candidates and assigned points live in tables of the shared folder; the
-    candidates are compared in blocks.
+    candidates are compared in blocks.  The log gets what the other way logs: numbers
+    come from the tasks that write the tables.
     """
     written = []
     for r in left:
-        drawn = materialize(oversample(frame, l, psi, seed, r).select("id", "x"), "drawn")
-        if not drawn.isEmpty():
-            previous, known = frame, frame.select("id", "x", F.col("d2").alias("d2_before"))
-            cents = materialize(extend(cents, drawn), "candidates")
-            written.append(cents)
-            fresh = dense_index(drawn.select("id", F.col("x").alias("c")), "id", "cid").select("cid", "c")
-            lowered = assign(known, fresh).withColumn("d2", F.least("d2", "d2_before")).drop("d2_before")
-            frame = materialize(lowered, "state")
-            discard(previous)
-            psi = _checked(cost(frame).head().cost)
+        with log.timed("init", "tSamples", r):
+            drawn, found = measured(oversample(frame, l, psi, seed, r).select("id", "x"), "drawn", n=F.count("*"))
+        with log.timed("init", "tCentroids", r):
+            if found["n"]:
+                previous, known = frame, frame.select("id", "x", F.col("d2").alias("d2_before"))
+                cents = materialize(extend(cents, drawn), "candidates")
+                written.append(cents)
+                fresh = dense_index(drawn.select("id", F.col("x").alias("c")), "id", "cid").select("cid", "c")
+                lowered = assign(known, fresh).withColumn("d2", F.least("d2", "d2_before")).drop("d2_before")
+                frame, seen = measured(lowered, "state", psi=F.sum("d2"), nRows=F.count("*"))
+                discard(previous)
+                psi = _checked(seen["psi"])
+                facts = {"nRows": seen["nRows"], "nDistances": seen["nRows"] * found["n"]}
         discard(drawn)
-        log.add("init", "CostInit", psi, r + 1)
+        _log_pass(log, psi, facts, r + 1)
         if psi == 0:
             break
     discard(frame)

@@ -13,23 +13,31 @@ from . import kernels
 # kept as a generation.  Below this, comparing again costs less per point than
 # storing and reading the point once more.
 FOLD_CELLS = 16_384
+# Distances between centres that may be shipped to the tasks; beyond, all are compared.
+GAP_CELLS = 4_000_000
 # Generations chained before one is written out and the lineage cut.
 CHECKPOINT_EVERY = 4
 
 
+def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All squared distances, row by row of ``b``: a table of old and new centres."""
+    return np.stack([np.sum((a - row) ** 2, axis=1) for row in b], axis=1)
+
+
 class NearestState:
     """Keeps ``cid`` (order of arrival) and ``d2`` up to date as centres are added.
 
     A pass compares the points of the latest generation with the centres that
-    came after it.  The first generation is the base table itself.  Without
-    caching it stays the only one and nothing is chained.
+    came after it, but for those too far from a point's centre to be nearer to the
+    point.  The first generation is the base table itself.  Without caching it stays
+    the only one and nothing is chained.  ``measured`` counts the distances.
     """
 
-    def __init__(self, pts: DataFrame, cache: Cache, fold_cells: int = FOLD_CELLS, checkpoint_every: int = CHECKPOINT_EVERY):
+    def __init__(self, pts: DataFrame, cache: Cache, fold_cells: int | None = None, checkpoint_every: int | None = None):
         self.base = pts
         self.cache = cache
-        self.fold_cells = fold_cells
-        self.checkpoint_every = checkpoint_every
+        self.fold_cells = FOLD_CELLS if fold_cells is None else fold_cells
+        self.checkpoint_every = CHECKPOINT_EVERY if checkpoint_every is None else checkpoint_every
         self.centres: np.ndarray | None = None
         self.rank: np.ndarray | None = None
         self.df: DataFrame | None = None
@@ -51,23 +59,27 @@ class NearestState:
         ids = ids[np.argsort(self.rank[ids], kind="stable")]
         x, block = F.col("x"), self.centres[ids]
         if self._generation is None:
-            source, found = self.base, kernels.nearest_column(x, ids, block)
+            source, found = self.base, kernels.first_counted_column(x, ids, block)
         else:
             source = self._generation
-            found = kernels.lower_column(x, F.col("cid"), F.col("d2"), ids, block, self.rank)
+            few = self._folded * len(block) <= GAP_CELLS
+            gaps = squared_distances(self.centres[: self._folded], block) if few else None
+            found = kernels.lower_counted_column(x, F.col("cid"), F.col("d2"), ids, block, self.rank, gaps)
         columns = self.base.columns
         matched = source.select(*columns, found.alias("_m"))
-        self.df = matched.select(*columns, F.col("_m.cid").alias("cid"), F.col("_m.d2").alias("d2"))
+        self.df = matched.select(
+            *columns, F.col("_m.cid").alias("cid"), F.col("_m.d2").alias("d2"), F.col("_m.n").alias("measured")
+        )
         return self.df
 
     def _fold(self, known: int) -> None:
         """Make the current state the generation that later passes start from."""
         self._chained += 1
         if self._chained % self.checkpoint_every == 0:
-            self._generation = materialize(self.df, "state")
+            self._generation = materialize(self.df.drop("measured"), "state")
             self._written.append(self._generation)
         else:
-            self._generation = self.cache.hold(self.df)
+            self._generation = self.cache.hold(self.df.drop("measured"))
             self._held.append(self._generation)
         self._folded = known
 

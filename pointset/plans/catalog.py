@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import sq_dist, uniform
-from ..operators.logstats import RUN
 from ..sources import (
     RunLog,
     append_run_log,
     assemble,
+    compact_run_log,
     load_points,
     lookup_join,
     partition_count,
@@ -23,6 +23,7 @@ from ..sources import (
     with_partitions,
 )
 from ..sources.durable import fresh_path
+from ..sources.runlog import RUN
 from .cluster import cluster, evaluate, numeric_points, sweep
 
 SEED = 7
@@ -139,6 +140,29 @@ def q_type_profile(spark, d):
     return op.type_profile(mixed(spark, d))
 
 
+def q_value_types(spark, d):
+    """Types at every path of the events' properties."""
+    return op.value_types(_table(spark, d, "events"), "props")
+
+
+def nested_events(events: DataFrame) -> DataFrame:
+    """Events as JSON texts whose members differ in type from row to row; some are broken."""
+    kind = F.col("event_id") % 6
+    value = F.rint(F.col("value") * 100).cast("bigint").cast("string")
+    text = (
+        F.when(kind == 0, F.concat(F.lit('{"p": '), "props", F.lit(', "v": '), value, F.lit("}")))
+        .when(kind == 1, F.concat(F.lit('{"p": null, "v": "'), "event_type", F.lit('"}')))
+        .when(kind == 2, F.concat(F.lit('{"v": ['), value, F.lit(', null, {"t": "'), "event_type", F.lit('"}, [true, 0.5]]}')))
+        .when(kind == 3, F.concat(F.lit("["), "props", F.lit(", []]")))
+        .when(kind == 4, F.lit("{broken"))
+    )
+    return events.select(text.alias("doc"))
+
+
+def q_value_types_nested(spark, d):
+    return op.value_types(nested_events(_table(spark, d, "events")), "doc")
+
+
 def q_distinct_counts(spark, d):
     return op.distinct_counts(_table(spark, d, "lineitem"))
 
@@ -342,6 +366,53 @@ def q_run_log_roundtrip(spark, d):
     return read_run_logs(spark, path)
 
 
+def q_run_log_merge(spark, d):
+    """A log in which some runs were written again, once with other values and once more."""
+    path = fresh_path(spark, "runlog")
+    log = event_log(spark, d)
+    append_run_log(log, path)
+    again = log.where(F.col("init") == "naive").where(F.col("iter") % 2 == 0).withColumn("value", F.col("value") + 1)
+    append_run_log(again, path)
+    append_run_log(again, path)
+    compact_run_log(spark, path)
+    return read_run_logs(spark, path)
+
+
+def q_sweep_resumed(spark, d):
+    """Runs and iterations of a sweep that was stopped twice and went on."""
+    path = fresh_path(spark, "runlog")
+    pts = embeddings(spark, d)
+    options = {"inits": ("naive",), "caches": ("none", "unpersist"), "k": K, "seed": SEED, "rescale": False}
+    for most in (1, 1, None, None):
+        log = sweep(pts, [2, 4], path=path, name="resumed", most_runs=most, **options)
+    costs = log.where(F.col("metric") == "CostsKmeans")
+    return costs.groupBy("run_id", "cache_mode", "partitions", "iter").agg(F.count("*").alias("n"), _r(F.max("value"), "cost"))
+
+
+def q_partition_layout(spark, d):
+    """Three points in eight partitions, and all points in eight."""
+    pts = embeddings(spark, d)
+    few = partition_count(with_partitions(pts.where("id < 3"), 8)).withColumn("points", F.lit("few"))
+    every = partition_count(with_partitions(pts, 8)).withColumn("points", F.lit("all"))
+    both = few.unionByName(every)
+    return both.select("points", "n_partitions", "n_rows", (F.col("n_filled") <= F.col("n_rows")).alias("filled_by_rows"))
+
+
+def q_lloyd_bounds_20_iter(spark, d):
+    pts = embeddings(spark, d)
+    return _vectors(op.lloyd(pts, start(pts), 20, tol=None, bounds=True), "c", "cid", "n")
+
+
+def q_cluster_bounds_lineitem(spark, d):
+    run = cluster(lineitem(spark, d), init="naive", seed=SEED, cache="unpersist", bounds=True)
+    return _summary(run.assigned())
+
+
+def q_candidates_generations(spark, d):
+    """Candidates of k-means|| with kept distances, by which far ones are passed over."""
+    return _vectors(op.oversampled_candidates(embeddings(spark, d), 2 * K, SEED, cache="unpersist"), "c", "cid", "w")
+
+
 def q_sweep(spark, d):
     """Costs of every combination; they do not depend on the partition count."""
     log = sweep(embeddings(spark, d), [2, 8], k=K, seed=SEED, rescale=False)
@@ -373,7 +444,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assemble": q_assemble,
     "shuffle": q_shuffle,
     "shuffle_subset": lambda s, d: subset(lineitem(s, d), SUBSET_ROWS, SEED).select("id", "y"),
-    "partition_count": lambda s, d: partition_count(with_partitions(lineitem(s, d), 8)),
+    "partition_count": lambda s, d: partition_count(with_partitions(lineitem(s, d), 8)).select("n_partitions", "n_rows"),
     "cache_modes": q_cache_modes,
     "run_log_roundtrip": q_run_log_roundtrip,
     # profiling
@@ -473,6 +544,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cache_comparison": lambda s, d: op.cache_comparison(event_log(s, d)).select(
         "cache_mode", "n_rows", _r("mean_total", "mean_total"), "n_runs"
     ),
+    "lloyd_bounds_20_iter": q_lloyd_bounds_20_iter,
+    "cluster_bounds_lineitem": q_cluster_bounds_lineitem,
+    "candidates_generations": q_candidates_generations,
+    "run_log_merge": q_run_log_merge,
+    "sweep_resumed": q_sweep_resumed,
+    "partition_layout": q_partition_layout,
+    "value_types": q_value_types,
+    "value_types_nested": q_value_types_nested,
     "sweep": q_sweep,
     "sweep_runs": q_sweep_runs,
 }

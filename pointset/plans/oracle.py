@@ -276,6 +276,34 @@ def _types(column: str) -> str:
       FROM (SELECT *, 1.0::DOUBLE AS konst FROM lineitem))"""
 
 
+NESTED_EVENTS = """
+    SELECT CASE event_id % 6
+             WHEN 0 THEN '{"p": ' || props || ', "v": ' || CAST(round_even(value * 100, 0) AS BIGINT) || '}'
+             WHEN 1 THEN '{"p": null, "v": "' || event_type || '"}'
+             WHEN 2 THEN '{"v": [' || CAST(round_even(value * 100, 0) AS BIGINT) || ', null, {"t": "' || event_type || '"}, [true, 0.5]]}'
+             WHEN 3 THEN '[' || props || ', []]'
+             WHEN 4 THEN '{broken' END AS doc
+    FROM events"""
+
+
+def _value_types(docs: str) -> str:
+    return f"""
+    WITH RECURSIVE docs AS ({docs}),
+    nodes AS (
+      SELECT '$' AS path, CASE WHEN json_valid(doc) THEN doc::JSON END AS v, doc IS NOT NULL AND NOT json_valid(doc) AS broken FROM docs
+      UNION ALL
+      SELECT CASE json_type(n.v) WHEN 'ARRAY' THEN n.path || '[*]' ELSE n.path || '.' || e.key END, e.value, false
+      FROM nodes n, json_each(n.v) e WHERE json_type(n.v) IN ('ARRAY', 'OBJECT')),
+    typed AS (
+      SELECT path, CASE WHEN broken THEN 'malformed' WHEN v IS NULL THEN 'null' ELSE
+        CASE json_type(v) WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'UBIGINT' THEN 'integer'
+          WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'float' WHEN 'VARCHAR' THEN 'text' WHEN 'OBJECT' THEN 'object'
+          ELSE 'array' END END AS type FROM nodes)
+    SELECT path, string_agg(DISTINCT type, ',' ORDER BY type) AS types, count(*) FILTER (type <> 'null') AS n_values,
+           count(*) FILTER (type = 'null') AS n_nulls
+    FROM typed GROUP BY path"""
+
+
 def _distinct(column: str) -> str:
     return f"SELECT '{column}' AS attribute, count(DISTINCT {column}) AS n_distinct FROM lineitem"
 
@@ -362,6 +390,23 @@ def _build() -> dict[str, str]:
                unnest(['pre', 'init', 'lloyd']) AS stage, n_runs
         FROM (VALUES ('none', 2::BIGINT), ('persist', 3::BIGINT)) AS t(cache_mode, n_runs)"""
     sql["run_log_roundtrip"] = EVENT_LOG
+    versioned = "run_id, init, cache_mode, partitions, n_rows, stage"
+    again = f"SELECT * REPLACE (value + 1 AS value) FROM ({EVENT_LOG}) WHERE init = 'naive' AND iter % 2 = 0"
+    sql["run_log_merge"] = (
+        f"WITH old AS ({EVENT_LOG}), again AS ({again}) SELECT * FROM again UNION ALL "
+        f"SELECT * FROM old ANTI JOIN (SELECT DISTINCT {versioned} FROM again) USING ({versioned})"
+    )
+    s = Script()
+    pts = s.embeddings()
+    costs = run_costs(s, pts, s.from_set(pts, K))
+    runs = "SELECT unnest(['none', 'unpersist']) AS cache_mode"
+    sql["sweep_resumed"] = s.select(
+        f"SELECT 'resumed-naive-' || cache_mode || '-' || partitions || '-0' AS run_id, cache_mode, partitions, iter, 1::BIGINT AS n, "
+        f"cost FROM {costs}, ({runs}), (SELECT unnest([2::INT, 4::INT]) AS partitions)"
+    )
+    sql["partition_layout"] = """
+        SELECT 'few' AS points, 8::BIGINT AS n_partitions, count(*) AS n_rows, true AS filled_by_rows FROM embeddings
+        WHERE vec_id < 3 UNION ALL SELECT 'all', 8::BIGINT, count(*), true FROM embeddings"""
 
     sql["shape"] = "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS INT) AS dim FROM embeddings"
     sql["table_shape"] = f"SELECT count(*) AS n_rows, CAST({len(LINE_COLUMNS)} AS INT) AS dim FROM lineitem"
@@ -371,7 +416,14 @@ def _build() -> dict[str, str]:
     sql["true_k"] = "SELECT count(DISTINCT p_brand) AS k FROM part"
     sql["label_counts"] = "SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand"
     every_type = _union(_types(c) for c in LINE_COLUMNS)
-    sql["numeric_dim"] = f"SELECT count(*) AS dim FROM ({every_type}) WHERE NOT list_contains(string_split(types, ','), 'text')"
+    numeric = f"SELECT count(*) AS dim FROM ({every_type}) WHERE NOT list_contains(string_split(types, ','), 'text')"
+    held = "SELECT count(*) FROM ({}) WHERE kind <> 'null' AND attribute IN (SELECT attribute FROM ({}) WHERE types <> 'text')"
+    seen = _union(f"SELECT DISTINCT '{c}' AS attribute, CASE WHEN {c} IS NULL THEN 'null' ELSE 'held' END AS kind FROM lineitem" for c in LINE_COLUMNS)
+    sql["numeric_dim"] = (
+        f"SELECT dim, ({held.format(seen, every_type)}) AS n_filled, (SELECT count(*) FROM lineitem) AS n_rows FROM ({numeric})"
+    )
+    sql["value_types"] = _value_types("SELECT props AS doc FROM events")
+    sql["value_types_nested"] = _value_types(NESTED_EVENTS)
 
     columns = ", ".join(LINEITEM_FEATURES)
     day = "strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate"
@@ -491,6 +543,9 @@ def _build() -> dict[str, str]:
         f"SELECT CAST(iter AS BIGINT) AS iter, {r6('cost', 'cost')} FROM ({every}) WHERE cost IS NOT NULL"
     )
 
+    sql["lloyd_bounds_20_iter"] = sql["lloyd_20_iter"]
+    sql["candidates_generations"] = sql["candidates"]
+
     def run(s: Script, pts: str, cents: str) -> str:
         return s.summary(pts, s.lloyd(pts, cents, MAX_LLOYD, 0.001)[0])
 
@@ -506,6 +561,7 @@ def _build() -> dict[str, str]:
     s = Script()
     pts = s.scaled_lineitem()
     sql["cluster_naive_lineitem"] = run(s, pts, s.from_set(pts, 3))
+    sql["cluster_bounds_lineitem"] = sql["cluster_naive_lineitem"]
     s = Script()
     pts = s.scaled_lineitem()
     sql["cluster_parallel_lineitem"] = run(s, pts, s.init_parallel(pts, 3))

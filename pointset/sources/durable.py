@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -44,19 +44,55 @@ def shared_folder(spark: SparkSession) -> str:
 _local_folders: dict[str, str] = {}
 
 
+class Lifetime:
+    """Owns frames kept on the executors and tables written to the shared folder.
+
+    What is kept or written while a lifetime is active belongs to it and goes when it
+    is closed.  A lifetime made while another is active ends with that one at the latest.
+    """
+
+    def __init__(self):
+        self._owned: list = []
+        outer = getattr(_scopes, "lifetime", None)
+        if outer is not None:
+            outer.own(self.close)
+
+    def own(self, release) -> None:
+        self._owned.append(release)
+
+    def close(self) -> None:
+        while self._owned:
+            self._owned.pop()()
+
+    @contextmanager
+    def active(self):
+        outer = getattr(_scopes, "lifetime", None)
+        _scopes.lifetime = self
+        try:
+            yield self
+        finally:
+            _scopes.lifetime = outer
+
+
+def owned(release) -> None:
+    """Hand a release over to the active lifetime, if there is one."""
+    lifetime = getattr(_scopes, "lifetime", None)
+    if lifetime is not None:
+        lifetime.own(release)
+
+
 @contextmanager
 def table_scope():
-    """Delete, at the end, every intermediate table written inside.
+    """Release, at the end, every intermediate table written and frame kept inside.
 
     What was computed inside has to be consumed (or written elsewhere) by then.
     """
-    outer, _scopes.tables = getattr(_scopes, "tables", None), []
+    lifetime = Lifetime()
     try:
-        yield
+        with lifetime.active():
+            yield
     finally:
-        for spark, path in _scopes.tables:
-            _delete(spark, path)
-        _scopes.tables = outer
+        lifetime.close()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -66,8 +102,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark).rstrip('/')}/pointset/{name}-{uuid.uuid4().hex}"
-    if getattr(_scopes, "tables", None) is not None:
-        _scopes.tables.append((spark, path))
+    owned(lambda: _delete(spark, path))
     return path
 
 
@@ -83,6 +118,22 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` and what the write itself measured: aggregates by name.
+
+    The numbers come from the tasks that write, so they cost no job of their own.
+    """
+    seen = Observation()
+    table = materialize(df.observe(seen, *[value.alias(key) for key, value in metrics.items()]), name)
+    found = seen.get
+    return table, {key: found.get(key) for key in metrics}
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a superseded ``materialize`` result."""
     spark = df.sparkSession
@@ -97,7 +148,8 @@ class Cache:
 
     ``none`` recomputes them and needs no storage.  ``unpersist`` keeps the latest
     generation: about one copy of ids and vectors on the executors, and at times one
-    in the shared folder.  ``persist`` keeps every generation.
+    in the shared folder.  ``persist`` keeps every generation, until the lifetime it was
+    kept in is closed.
     """
 
     def __init__(self, mode: str = "none"):
@@ -110,7 +162,11 @@ class Cache:
         return self.mode != "none"
 
     def hold(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keeps else df
+        if not self.keeps:
+            return df
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        owned(kept.unpersist)
+        return kept
 
     def release(self, df: DataFrame) -> None:
         if self.mode == "unpersist":

@@ -7,13 +7,21 @@ once assigned, ``cid INT`` and ``d2 DOUBLE``.
 from __future__ import annotations
 
 import math
+import sys
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import tag_dim, uniform
-from .durable import discard, materialize
+from .durable import discard, measured
 
+# Functions that run in tasks travel whole, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Rows that may be taken as the smallest of every task in one pass.
+TAKEN_ROWS = 1024
 # Keys that may be sorted in one task to find one of them.
 TOP_N_LIMIT = 10_000
 HISTOGRAM_BINS = 1024
@@ -76,17 +84,21 @@ def shuffle(df: DataFrame, seed: int, id: str = "id", tag: str = "shuffle") -> D
 def subset(df: DataFrame, n: int, seed: int, id: str = "id", tag: str = "shuffle") -> DataFrame:
     """The first ``n`` rows of ``shuffle``, as a set; of rows with one id, any.
 
-    Rows with keys below ``(n + 8 sqrt n) / total``, about ``n`` of them, are kept in
-    the shared folder; the n-th smallest key is located among these.  Nothing but
-    the rows of its bin is ever sorted.
+    Up to ``TAKEN_ROWS`` rows are the smallest keys of every task, merged: one pass.
+    For more, rows with keys below ``(n + 8 sqrt n) / total``, about ``n`` of them, are
+    kept in the shared folder; the n-th smallest key is located among these.  Nothing
+    but the rows of its bin is ever sorted.
     """
+    keyed = df.withColumn("_u", uniform(seed, tag, id))
+    if n <= TAKEN_ROWS:
+        return keyed.orderBy("_u", id).limit(n).drop("_u")
     total = df.count()
     if n >= total:
         return df
     top = min(1.0, (n + 8 * math.sqrt(n)) / total)
     while True:
-        near = materialize(df.withColumn("_u", uniform(seed, tag, id)).where(F.col("_u") < F.lit(top)), "subset")
-        have = near.count()
+        near, seen = measured(keyed.where(F.col("_u") < F.lit(top)), "subset", rows=F.count("*"))
+        have = seen["rows"] or 0
         if have >= n or top >= 1.0:
             break
         # repeated ids vary more than single ones: take more
@@ -127,8 +139,38 @@ def with_partitions(df: DataFrame, n: int | None = None) -> DataFrame:
     return df.repartition(n or df.sparkSession.sparkContext.defaultParallelism)
 
 
+def partition_layout(df: DataFrame) -> DataFrame:
+    """A row per partition, empty ones included: ``partition, n_rows, share, skew``.
+
+    ``skew`` is the number of rows over the mean of all partitions.  Every task counts
+    its own rows, so a partition without rows is seen as well.
+    """
+    narrow = df.select(F.lit(True).alias("one"))
+    counted = narrow.mapInArrow(_count_rows, "partition int, n_rows long")
+    whole = Window.partitionBy()
+    total, mean = F.sum("n_rows").over(whole), F.avg("n_rows").over(whole)
+    # one row per partition: the window over all of them is small
+    return counted.select(
+        "partition",
+        "n_rows",
+        F.when(total > 0, F.col("n_rows") / total).alias("share"),
+        F.when(mean > 0, F.col("n_rows") / mean).alias("skew"),
+    )
+
+
+def _count_rows(batches):
+    context = TaskContext.get()
+    rows = sum(batch.num_rows for batch in batches)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([context.partitionId()], pa.int32()), pa.array([rows], pa.int64())], ["partition", "n_rows"]
+    )
+
+
 def partition_count(df: DataFrame) -> DataFrame:
-    """Number of non-empty partitions and of rows."""
-    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(
-        F.count("*").alias("n_partitions"), F.sum("count").alias("n_rows")
+    """Number of partitions, empty ones included, of those with rows, and of rows; the largest skew."""
+    return partition_layout(df).agg(
+        F.count("*").alias("n_partitions"),
+        F.count_if(F.col("n_rows") > 0).alias("n_filled"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.max("skew").alias("skew"),
     )

@@ -40,7 +40,38 @@ def test_dimensions_are_what_dropping_leaves(table):
         {"flag": F.lit(True), "none": F.lit(None).cast("string"), "vec": F.array(F.lit(1.0)), "at": F.lit(None).cast("timestamp")}
     )
     left = ps.drop_categorical(wide).columns
-    assert ps.numeric_dim(wide).head().dim == len(left) == 7 and "none" not in left
+    row = ps.numeric_dim(wide).head()
+    assert row.dim == len(left) == 7 and "none" not in left
+    assert row.n_rows == wide.count() and row.n_filled == sum(wide.where(F.col(c).isNotNull()).count() > 0 for c in left) == 5
+    assert tuple(ps.numeric_dim(wide.where("false")).head()) == (7, 0, 0)
+    assert tuple(ps.numeric_dim(wide.select("y")).head()) == (0, 0, wide.count())
+
+
+def test_types_found_in_values(spark):
+    docs = [
+        None, "", "{", '{"a": 1, "b": [1, "x", null, {"c": true}]}', '{"a": 2.5, "b": {"c": null}}', "[]", "7", '"t"', "null",
+        '{"a": {"a": {"a": {"a": [[[]]]}}}}', '{"a.b": 1e300}',
+    ]
+    table = spark.createDataFrame([(d,) for d in docs], "doc string")
+    want = {
+        "$": ("array,integer,malformed,null,object,text", 9, 2),
+        "$.a": ("float,integer,object", 3, 0),
+        "$.b": ("array,object", 2, 0),
+        "$.b[*]": ("integer,null,object,text", 3, 1),
+        "$.b[*].c": ("boolean", 1, 0),
+        "$.b.c": ("null", 0, 1),
+        "$.a.a": ("object", 1, 0),
+        "$.a.a.a": ("object", 1, 0),
+        "$.a.a.a.a": ("array", 1, 0),
+        "$.a.a.a.a[*]": ("array", 1, 0),
+        "$.a.a.a.a[*][*]": ("array", 1, 0),
+        "$.a.b": ("float", 1, 0),
+    }
+    assert {r.path: (r.types, r.n_values, r.n_nulls) for r in ps.value_types(table, "doc").collect()} == want
+    variants = table.select(F.try_parse_json("doc").alias("v"))
+    found = {r.path: r.types for r in ps.value_types(variants, "v").collect()}
+    assert found == {p: t.replace("malformed,", "") for p, (t, _, _) in want.items()}
+    assert ps.value_types(table.where("false"), "doc").count() == 0
 
 
 def test_vectors_are_counted(table):
