@@ -414,13 +414,15 @@ def rest_of_buckets(members: DataFrame, found: DataFrame, sets: DataFrame, perce
     short = sets.mapInArrow(short_sets, f"node {kind}, set binary")
     pairs = materialize(_met(deal(members, first), short, percent, False), "pairs")
     links = materialize(verify(pairs.select("u", "v").distinct(), sets, percent), "confirmed")
-    failed = materialize(pairs.join(links, ["u", "v"], "left_anti").select("_key").distinct(), "failed")
+    failed = pairs.join(links, ["u", "v"], "left_anti").select("_key").distinct()
     if not failed.isEmpty():
         second = materialize(components(found.unionAll(links)), "components")
+        failed = materialize(failed, "failed")
         again = deal(members.join(failed, "_key", "left_semi"), second)
         more = _met(again, sets.withColumnRenamed("shingles", "set"), percent, True)
         links = materialize(links.unionAll(more.select("u", "v")), "confirmed")
         discard(second)
-    for table in (first, pairs, failed):
+        discard(failed)
+    for table in (first, pairs):
         discard(table)
     return links
