@@ -1,9 +1,12 @@
 """Near-duplicate embeddings by a pivot-permutation index.
 
-A vector is described by its nearest reference points (pivots).  Inverted lists are
-kept per set of ``SHARED`` pivots: two vectors meet in a list if they share that many
-of their nearest pivots.  A pair is verified in one list only, that of the smallest
-pivots it shares, by cosine in double precision.
+A vector is described by its nearest reference points (pivots), nearest first.
+Inverted lists are kept per set of ``SHARED`` pivots: two vectors meet in a list if they
+share that many of their nearest pivots.  Of a pair that meets, shared pivots stand at
+nearly the same places of both orders; pairs that have them far apart are dropped.  The
+others are verified by cosine in double precision, in one list only, that of the
+smallest pivots they share.  The number of pivots grows with that of the vectors, which
+keeps the lists short.
 
 Equal vectors are one class and are indexed once.  A long list is cut into blocks, and
 a task compares two blocks.  Tasks return sums of links and a spanning forest of the
@@ -24,6 +27,14 @@ from .shared import materialize
 from .words import whole_runs
 
 PIVOTS = 128
+# Vectors of one length up to which so many pivots are enough; beyond, their number grows
+# with the cube root, as lists are told apart by three of them.
+ENOUGH_FOR, MOST_PIVOTS = 100_000, 4_096
+# Places by which shared pivots may differ in the two orders, on average: of pairs at the
+# threshold one in a thousand differs by more.
+DISPLACED = 3.0
+# Lengths of vectors whose pivots are chosen among them; those of others are random.
+SAMPLED_LENGTHS = 16
 # Vectors looked at to choose pivots, and how alike two pivots may be.
 PIVOT_SAMPLE = 2_000
 ALIKE = 0.8
@@ -52,7 +63,7 @@ def choose_pivots(vectors: np.ndarray, most: int) -> np.ndarray:
     them would be told apart by noise only.
     """
     chosen = np.empty((0, vectors.shape[1]))
-    for v in unit(vectors):
+    for v in unit(vectors) if len(vectors) else vectors:
         if len(chosen) == most:
             break
         if not len(chosen) or np.max(chosen @ v) <= ALIKE:
@@ -61,8 +72,22 @@ def choose_pivots(vectors: np.ndarray, most: int) -> np.ndarray:
     return np.vstack([chosen, unit(more)]) if len(more) else chosen
 
 
-def describe(pivots: dict[int, np.ndarray], nearest: int, shared: int):
-    """Nearest pivots of every vector, and the lists it belongs to."""
+def pivots_for(n: int, least: int) -> int:
+    return max(least, min(MOST_PIVOTS, int(least * (n / ENOUGH_FOR) ** (1 / 3))))
+
+
+def describe(pivots: dict[int, np.ndarray], most: int, nearest: int, shared: int):
+    """Nearest pivots of every vector, in order, and the lists it belongs to."""
+
+    drawn: dict[int, np.ndarray] = {}
+
+    def pivots_of(dim: int) -> np.ndarray:
+        if dim in pivots:
+            return pivots[dim]
+        if dim not in drawn:
+            drawn.clear()
+            drawn[dim] = choose_pivots(np.empty((0, dim)), most)
+        return drawn[dim]
 
     def run(batches):
         for batch in batches:
@@ -74,13 +99,13 @@ def describe(pivots: dict[int, np.ndarray], nearest: int, shared: int):
                 dim = int(sizes[order[at]])
                 stop = int(np.searchsorted(sizes[order], dim, side="right"))
                 part = rows.slice(at, stop - at)
-                own = pivots[dim]
+                own = pivots_of(dim)
                 k = min(nearest, len(own))
                 close = unit(matrix(part.column("v"))) @ own.T
-                top = np.sort(np.argsort(-close, axis=1, kind="stable")[:, :k], axis=1)
-                t = min(shared, k)
+                top = np.argsort(-close, axis=1, kind="stable")[:, :k]
+                t, named = min(shared, k), np.sort(top, axis=1)
                 codes = np.stack(
-                    [sum(top[:, c].astype(np.int64) << (20 * i) for i, c in enumerate(cs)) for cs in combinations(range(k), t)], 1
+                    [sum(named[:, c].astype(np.int64) << (20 * i) for i, c in enumerate(cs)) for cs in combinations(range(k), t)], 1
                 )
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(list(top.astype(np.int32))), pa.array(list(codes))],
@@ -119,6 +144,7 @@ def compare(least: float, shared: int):
         top = matrix(table.column("top")).astype(np.int32)
         # with few pivots a list stands for fewer
         t = min(shared, top.shape[1])
+        apart_by = np.abs(np.arange(top.shape[1])[:, None] - np.arange(top.shape[1]))
         limit = (table.column("_list").to_numpy() >> (20 * (t - 1))) & ((1 << 20) - 1)
         x = unit(matrix(table.column("v")))
         found_u, found_v = [], []
@@ -133,8 +159,10 @@ def compare(least: float, shared: int):
                 a, b = a[apart], b[apart]
             for i in range(0, len(a), 50_000):
                 p, q = a[i : i + 50_000], b[i : i + 50_000]
-                both = (top[p][:, :, None] == top[q][:, None, :]).any(2) & (top[p] <= limit[p][:, None])
-                first = both.sum(1) == t
+                met = top[p][:, :, None] == top[q][:, None, :]
+                inside = met.any(2)
+                first = (inside & (top[p] <= limit[p][:, None])).sum(1) == t
+                first &= (met * apart_by).sum((1, 2)) <= DISPLACED * inside.sum(1)
                 p, q = p[first], q[first]
                 near = np.einsum("ij,ij->i", x[p], x[q]) >= least
                 found_u.append(p[near])
@@ -187,7 +215,11 @@ def near_vectors(
     ``component_id`` is the smallest id reachable.  Rows without a label, and vectors
     that are null, empty, zero or hold null or non-finite components, are linked with
     nothing; vectors of different length are not compared.  Rows that repeat an id are
-    rows of their own, linked when their vectors are.  An empty table gives no rows.
+    rows of their own, linked when their vectors are.  An empty table gives no rows;
+    other columns are not read.
+
+    Pivots are chosen among ``PIVOT_SAMPLE`` vectors of each of the ``SAMPLED_LENGTHS``
+    most frequent lengths; vectors of any other length have random pivots.
     """
     kind = table.schema["vec_id"].dataType.simpleString()
     label_kind = table.schema["label"].dataType.simpleString()
@@ -202,20 +234,24 @@ def near_vectors(
     clean = F.when(F.coalesce(good, F.lit(False)), F.transform(v, lambda e: e + F.lit(0.0)))
     rows = table.select("vec_id", "label", clean.alias("v"))
     usable = rows.where("v IS NOT NULL AND vec_id IS NOT NULL")
+    # 128 bits stand for a vector wherever rows are matched
+    prints = {"_h1": F.xxhash64("v"), "_h2": F.xxhash64(F.lit(8), "v")}
     classes = materialize(
         usable.groupBy("label", "v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n")).select(
             F.struct("vec_id", F.xxhash64("label", "v").alias("h")).alias("id"), "label", "v", "n", F.size("v").alias("_dim")
-        ),
+        ).withColumns(prints),
         "classes",
     )
     id_kind = f"struct<vec_id:{kind},h:bigint>"
-    references = {}
-    for (dim,) in classes.select("_dim").distinct().limit(100).collect():
-        sample = classes.where(F.col("_dim") == dim).orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("v").toArrow()
-        references[dim] = choose_pivots(matrix(sample.column("v").combine_chunks()), pivots)
+    references, most = {}, pivots
+    lengths = classes.groupBy("_dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_dim").limit(SAMPLED_LENGTHS).collect()
+    for dim, n in lengths:
+        most = max(most, pivots_for(n, pivots))
+        sample = classes.where(F.col("_dim") == dim).orderBy(F.xxhash64("id"), "id").limit(max(PIVOT_SAMPLE, 2 * most))
+        references[dim] = choose_pivots(matrix(sample.select("v").toArrow().column("v").combine_chunks()), pivots_for(n, pivots))
     described = materialize(
-        classes.mapInArrow(
-            describe(references, nearest, shared),
+        classes.drop(*prints).mapInArrow(
+            describe(references, most, nearest, shared),
             f"id {id_kind}, label {label_kind}, v array<double>, n long, _dim int, top array<int>, codes array<long>",
         ),
         "described",
@@ -243,17 +279,18 @@ def near_vectors(
     links = found.groupBy("u").agg(F.sum("links").alias("_links"))
     label = components(found.where("u != v").select("u", "v"))
     by_class = (
-        classes.select("id", "label", "v", "n")
+        classes.select("id", "label", *prints, "n")
         .join(links, F.col("id") == F.col("u"), "left")
         .join(label.withColumnRenamed("node", "_node"), F.col("id") == F.col("_node"), "left")
         .select(
-            "label", "v",
+            "label", *prints,
             (F.coalesce("_links", F.lit(0)) + F.col("n") - 1).alias("_n_links"),
             F.coalesce("component.vec_id", "id.vec_id").alias("_component"),
         )
     )
-    out = rows.join(by_class, ["label", "v"], "left")
-    linked = F.col("v").isNotNull() & F.col("vec_id").isNotNull()
+    narrow = rows.select("vec_id", "label", F.col("v").isNotNull().alias("_good"), *[value.alias(name) for name, value in prints.items()])
+    out = narrow.join(by_class, ["label", *prints], "left")
+    linked = F.col("_good") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     component = F.when(linked, F.col("_component")).otherwise(F.col("vec_id"))
     return out.select(
         "vec_id",

@@ -554,6 +554,36 @@ def test_vectors_in_blocks(spark, monkeypatch):
     assert 0.9 * expected <= found <= expected
 
 
+def test_vectors_of_many_lengths(spark):
+    """Far more lengths than pivots are sampled for."""
+    rng = np.random.default_rng(8)
+    made = []
+    for i in range(110):
+        v = rng.normal(size=i + 1)
+        made += [(2 * i, v.tolist(), 1), (2 * i + 1, (v * 3 + rng.normal(size=i + 1) * 1e-3).tolist(), 1)]
+    table = spark.createDataFrame(made, "vec_id long, embedding array<double>, label int")
+    columns = ["vec_id", "n_links", "component_id", "kept"]
+    assert got(near_vectors(table), *columns) == Counter(brute.vectors(made))
+
+
+def test_lists_stay_short_as_the_table_grows(spark, monkeypatch):
+    from pointset.llm import pivot_index
+
+    monkeypatch.setattr(pivot_index, "ENOUGH_FOR", 500)
+    rng = np.random.default_rng(7)
+
+    def longest(n):
+        found = pivot_index.pivots_for(n, 32)
+        v = pa.array(list(rng.normal(size=(n, 24))), pa.list_(pa.float64()))
+        batch = pa.RecordBatch.from_arrays([v, pa.array(np.full(n, 24, np.int32))], ["v", "_dim"])
+        made = next(pivot_index.describe({24: pivot_index.choose_pivots(np.empty((0, 24)), found)}, found, 6, 3)([batch]))
+        codes = np.concatenate(made.column("codes").to_pylist())
+        return np.unique(codes, return_counts=True)[1].mean()
+
+    # twenty times the vectors; with as many pivots lists would be twenty times as long
+    assert longest(20_000) < 4 * longest(1_000)
+
+
 def test_vector_recall(spark):
     """Against brute force at random cosines around the threshold."""
     rng = np.random.default_rng(6)
