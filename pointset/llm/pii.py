@@ -14,6 +14,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
+from collections.abc import Iterator
+from heapq import nsmallest
+from itertools import chain, islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +60,8 @@ CONTEXT = 24
 # Bounds of the training sample.
 SAMPLE_DOCS = 6_000
 MOST_CANDIDATES = 20_000
+# Candidates of one document to learn from.
+MOST_OF_A_TEXT = 500
 # Of the candidates that cut or exceed a known span, one in so many is learnt from.
 ASIDE = 4
 # Rewritten spans to learn from, if so many can be made.
@@ -115,13 +122,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def number_spans(text: str):
     """Every run of neighbouring groups with the digits of a card or a phone number.
 
-    A run has at most 19 groups, so the work is linear in the text.
+    A run has at most 19 groups, so the work is linear in the text, and no more groups
+    are held at a time.
     """
-    groups = [(m.start(), m.end()) for m in GROUP.finditer(text)]
-    for i, (start, end) in enumerate(groups):
+    coming = ((m.start(), m.end()) for m in GROUP.finditer(text))
+    groups = deque(islice(coming, CARD_DIGITS[1]))
+    while groups:
+        start, end = groups[0]
         first = start - text.startswith(("+", "("), start - 1) if start else 0
         n = 0
-        for a, b in groups[i : i + CARD_DIGITS[1]]:
+        for a, b in groups:
             if a > start and not JOINT.fullmatch(text, end, a):
                 break
             n, end = n + b - a, b
@@ -131,6 +141,8 @@ def number_spans(text: str):
                 yield first, b, 2
             if PHONE_DIGITS[0] <= n <= PHONE_DIGITS[1]:
                 yield first, b, 3
+        groups.popleft()
+        groups.extend(islice(coming, 1))
 
 
 def taken(spans, size: int) -> bytearray:
@@ -154,11 +166,11 @@ def address_spans(text: str):
             yield start, found.end(), 0
 
 
-def candidates(text: str) -> list[tuple[int, int, int]]:
-    """Spans of high recall, one list for all kinds; they may overlap."""
-    out = list(address_spans(text))
-    out += [(m.start(), m.end(), 1) for m in WIDE_IP.finditer(text)]
-    return out + list(number_spans(text))
+def candidates(text: str) -> Iterator[tuple[int, int, int]]:
+    """Spans of high recall, one after another for all kinds; they may overlap."""
+    yield from address_spans(text)
+    yield from ((m.start(), m.end(), 1) for m in WIDE_IP.finditer(text))
+    yield from number_spans(text)
 
 
 def features(text: str, start: int, end: int, kind: int) -> list[float]:
@@ -387,13 +399,19 @@ def sample_rows(batches):
         for text, h in zip(batch.column("text").to_pylist(), batch.column("_h").to_pylist()):
             base = set(base_spans(text))
             inside = taken(base, len(text))
-            for span in {*candidates(text), *base}:
-                good = known_label(text, span, base, inside)
-                a, b, kind = span
-                if good is None or not good and inside.find(1, a, b) >= 0 and (h + 7 * a + 3 * b + kind) % ASIDE:
-                    continue
+
+            def labelled():
+                for span in chain(base, (c for c in candidates(text) if c not in base)):
+                    good = known_label(text, span, base, inside)
+                    a, b, kind = span
+                    place = h + 7 * a + 3 * b + kind
+                    if good is not None and (good or inside.find(1, a, b) < 0 or place % ASIDE == 0):
+                        yield not good, place * 0x9E3779B97F4A7C15 % (1 << 64), span
+
+            # known spans first, then any
+            for other, _, (a, b, kind) in nsmallest(MOST_OF_A_TEXT, labelled()):
                 near = text[max(0, a - CONTEXT) : b + CONTEXT]
-                rows.append((h, near, min(a, CONTEXT), min(a, CONTEXT) + b - a, kind, good))
+                rows.append((h, near, min(a, CONTEXT), min(a, CONTEXT) + b - a, kind, not other))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate(
                 (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
@@ -401,8 +419,19 @@ def sample_rows(batches):
         )
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 9) -> tuple[Boosting, list[float]]:
-    """Trees and thresholds from about ``sample_docs`` documents, chosen by a keyed hash."""
+class Trained(NamedTuple):
+    """Trees, a threshold per kind, and the share of held-out spans of a kind that reach it."""
+
+    model: Boosting
+    limits: list[float]
+    recall: dict[str, float]
+
+
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 9) -> Trained:
+    """Trees and thresholds from about ``sample_docs`` documents, chosen by a keyed hash.
+
+    Whole documents are held out for the thresholds, with all that was made of their spans.
+    """
     total = max(1, docs.count())
     h = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
     odds = min(1.0, sample_docs / total)
@@ -412,24 +441,31 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 9) -> tup
     found = chosen.mapInArrow(sample_rows, "h long, near string, start long, end long, kind long, good boolean")
     rows = found.orderBy("h", "start", "end", "kind", "near").limit(MOST_CANDIDATES).collect()
     rng = np.random.default_rng(seed)
-    examples = [(r.near, r.start, r.end, r.kind, float(r.good)) for r in rows]
-    known = [e[:4] for e in examples if e[4]]
+    examples = [(r.near, r.start, r.end, r.kind, float(r.good), r.h) for r in rows]
+    known = [(*e[:4], e[5]) for e in examples if e[4]]
     # few known spans are written in more ways each
-    for near, start, end, kind in known:
+    for near, start, end, kind, doc in known:
         for _ in range(max(1, min(16, REWRITTEN // len(known)))):
             text, a, b = rewritten(near, start, end, kind, rng)
-            examples.append((text, a, b, kind, 1.0))
-            examples += [(text, *c, 0.0) for c in misplaced(text, a, b, kind, rng)]
-    examples += [(*e, 0.0) for e in counterexamples(rng, 1700)]
-    x = np.array([features(t, a, b, k) for t, a, b, k, _ in examples])
+            examples.append((text, a, b, kind, 1.0, doc))
+            examples += [(text, *c, 0.0, doc) for c in misplaced(text, a, b, kind, rng)]
+    examples += [(*e, 0.0, f"made {i}") for i, e in enumerate(counterexamples(rng, 1700))]
+    x = np.array([features(t, a, b, k) for t, a, b, k, *_ in examples])
     y = np.array([e[4] for e in examples])
-    test = rng.random(len(y)) < 0.3
+    places: dict = {}
+    doc = np.array([places.setdefault(e[5], len(places)) for e in examples])
+    test = (rng.random(len(places)) < 0.3)[doc]
     if len(set(y[~test])) < 2 or not test.any():
-        return Boosting(0).fit(x, y), [float("inf")] * len(KINDS)
+        return Trained(Boosting(0).fit(x, y), [float("inf")] * len(KINDS), {})
     model = Boosting().fit(x[~test], y[~test])
     score = model.score(x)
-    limits = [calibrate(score[test & (x[:, 0] == k)], y[test & (x[:, 0] == k)]) for k in range(len(KINDS))]
-    return model, limits
+    limits, recall = [], {}
+    for k, name in enumerate(KINDS):
+        own = test & (x[:, 0] == k)
+        limits.append(calibrate(score[own], y[own]))
+        if (own & (y > 0)).any():
+            recall[name] = float(np.mean(score[own & (y > 0)] >= limits[k]))
+    return Trained(model, limits, recall)
 
 
 def choose(text: str, base: list, found: list, score: np.ndarray, limits: list) -> list:
@@ -541,10 +577,13 @@ def find_personal_data(docs: DataFrame, *keep: str, with_text: bool = True) -> D
     Returns ``doc_id``, the columns named in ``keep``, ``n_email, n_ip, n_card,
     n_phone`` and ``base_sha256`` of the base spans, all ``spans`` as
     ``kind:start:end`` (code points, end exclusive) and ``redacted`` (null for null
-    texts, or without ``with_text``).  Null and empty texts have no spans.  Repeated
-    rows are treated alike; an empty table gives no rows.
+    texts, or without ``with_text``).  Null and empty texts have no spans; very long ones
+    are searched whole, candidate by candidate.  Repeated rows are treated alike; an
+    empty table gives no rows; columns not named are not read.  A name before the sign
+    of an address is proposed with up to 64 characters, a domain with up to five labels
+    (base addresses have no such bound).
     """
-    model, limits = train(docs)
+    model, limits, _ = train(docs)
     rows = docs.select("doc_id", *keep, "text")
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     counts = ", ".join(f"n_{k} long" for k in KINDS)

@@ -13,6 +13,7 @@ files.  An archive holds a bounded number of records of bounded size.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 
@@ -184,8 +185,17 @@ def archive_bytes(raw: bytes) -> bytes:
     return b"".join(parts)
 
 
+# What a number in a header may be; anything else is malformed.
+NUMBER = re.compile("[0-9]{1,18}")
+# Segment number of a record with a malformed header: no record has such a segment.
+MALFORMED = -1
+
+
 def parse_archive(data: bytes):
-    """Header fields (names in lower case) and block of each record."""
+    """Header fields (names in lower case) and block of each record.
+
+    A record whose length is malformed ends where the next one begins.
+    """
     at = 0
     while True:
         at = data.find(b"WARC/", at)
@@ -198,7 +208,12 @@ def parse_archive(data: bytes):
         for line in data[at:stop].split(CRLF)[1:]:
             name, _, value = line.partition(b":")
             head[name.strip().lower().decode()] = value.strip().decode("utf-8", "replace")
-        size = int(head.get("content-length", 0))
+        stated = head.get("content-length", "0")
+        if NUMBER.fullmatch(stated):
+            size = int(stated)
+        else:
+            after = data.find(END.encode() + b"WARC/", stop + 4)
+            size = (after if after >= 0 else len(data)) - stop - 4
         yield head, data[stop + 4 : stop + 4 + size]
         at = stop + 4 + size
 
@@ -208,11 +223,24 @@ def read_records(segmented: bool, id_type):
 
     def number(head, name):
         value = head.get(name)
-        return None if value is None else int(value)
+        return int(value) if value is not None and NUMBER.fullmatch(value) else None
 
     def identity(head, name):
-        value = head.get(name)
-        return value if value is None or pa.types.is_string(id_type) else int(value)
+        if pa.types.is_string(id_type):
+            return head.get(name)
+        value = head.get(name, "")
+        sign = -1 if value.startswith("-") else 1
+        return sign * int(value.removeprefix("-")) if NUMBER.fullmatch(value.removeprefix("-")) else None
+
+    def malformed(head):
+        """Whether a number or an id is given that is none."""
+        if not NUMBER.fullmatch(head.get("content-length", "0")):
+            return True
+        ids = ("warc-x-page-id", "warc-x-refers-to-page-id")
+        numbers = ("warc-x-payload-length", "warc-segment-number", "warc-segment-total-length")
+        return any(n in head and identity(head, n) is None for n in ids) or any(
+            n in head and number(head, n) is None for n in numbers
+        )
 
     def run(batches):
         for batch in batches:
@@ -232,7 +260,7 @@ def read_records(segmented: bool, id_type):
                             number(head, "warc-x-payload-length"),
                             identity(head, "warc-x-refers-to-page-id"),
                             head.get("warc-segment-origin-id", name),
-                            number(head, "warc-segment-number") or 1,
+                            MALFORMED if malformed(head) else number(head, "warc-segment-number") or 1,
                             number(head, "warc-segment-total-length"),
                             block,
                         )
@@ -302,8 +330,10 @@ def read_warc(spark: SparkSession, folder: str, id_type: str = "bigint", with_pa
     """Reassembled records: ids, type, url, payload, its size and digest, ``complete``.
 
     ``complete`` is false, and payload, size and digest are null, if a segment is
-    missing, the total length differs or the framing is broken; it is false, too, if
-    the payload does not have the stated digest.  A segment found twice counts once.
+    missing, the total length differs, a number in a header is malformed or the framing
+    is broken; it is false, too, if the payload does not have the stated digest.  A
+    segment found twice counts once.  An archive is held whole by the task that reads
+    it: foreign ones have to fit into memory.
     """
     files = spark.read.format("binaryFile").load(folder).select("content")
     arrow = pa.string() if id_type == "string" else pa.int64()
