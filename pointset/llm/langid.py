@@ -18,10 +18,12 @@ from .words import by_text, text_blocks
 WINDOW = 256
 FILTERS = 16
 WIDTHS = (2, 3, 4)
-# Bounds of the training sample.
+# Bounds of the training sample: documents of a language, windows of a document, the
+# languages that are learnt (the most frequent), and windows of all of them together.
 DOCS_PER_LANGUAGE = 1_500
 WINDOWS_PER_DOC = 3
 MOST_LANGUAGES = 500
+MOST_WINDOWS = 60_000
 STEPS = 1_200
 BATCH = 64
 UNKNOWN = "und"
@@ -158,8 +160,8 @@ class Network:
 
 
 def held_out():
-    """Documents that are never learnt from."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    """Documents that are never learnt from; one without an id is none of them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def sample_windows(window: int, per_doc: int):
@@ -188,14 +190,14 @@ def sample_windows(window: int, per_doc: int):
 def train_network(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, steps: int = STEPS) -> Network | None:
     """Fit on a bounded sample of labelled texts; ``None`` without any.
 
-    About ``per_language`` documents of each language, chosen by a keyed hash.
+    About ``per_language`` documents of each of the ``MOST_LANGUAGES`` most frequent
+    languages, chosen by a keyed hash; fewer if ``MOST_WINDOWS`` do not hold so many.
     """
-    usable = docs.where(F.col("lang").isNotNull() & F.coalesce(~held_out(), F.lit(True)))
-    found = usable.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    usable = docs.where(F.col("lang").isNotNull() & ~held_out())
+    found = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not found:
         return None
+    per_language = max(1, min(per_language, MOST_WINDOWS // (WINDOWS_PER_DOC * len(found))))
     h = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
     odds = F.lit(0.0)
     for row in found:
@@ -204,7 +206,7 @@ def train_network(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, steps:
         F.pmod(F.shiftright("_h", 8), F.lit(1 << 40)) / float(1 << 40) < odds
     )
     windows = chosen.mapInArrow(sample_windows(WINDOW, WINDOWS_PER_DOC), "lang string, h long, k long, raw binary")
-    rows = windows.orderBy("h", "k", "lang", "raw").limit(3 * WINDOWS_PER_DOC * per_language * len(found)).toArrow()
+    rows = windows.orderBy("h", "k", "lang", "raw").limit(MOST_WINDOWS).toArrow()
     if not rows.num_rows:
         return None
     languages = sorted(set(rows.column("lang").to_pylist()))
@@ -256,7 +258,8 @@ def identify(docs: DataFrame, network: Network | None, *keep: str) -> DataFrame:
 
     Null texts, and texts without a letter, are ``und`` with score 0, as is every text
     without a trained network.  Only ``text`` enters a prediction.  Repeated rows get
-    equal predictions; an empty table gives no rows.
+    equal predictions, very long texts that of all their windows; an empty table gives
+    no rows; columns not named are not read.
     """
     rows = docs.select("doc_id", *keep, F.col("text").alias("_read"))
     if network is None:

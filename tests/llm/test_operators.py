@@ -367,6 +367,33 @@ def test_boosting_and_calibration():
 # language
 
 
+def test_network_equals_a_plain_convolution():
+    """Tables over pairs of bytes against filters moved byte by byte."""
+    network = langid.Network(["a", "b", "c"], seed=4)
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, langid.CLASSES, (9, 40)).astype(np.uint8)
+    found = network.log_probabilities(x, network.lookups(), rows=4)
+    for row, logs in zip(x, found):
+        pooled = []
+        for table in network.tables:
+            sums = [sum(table[j, row[at + j]].astype(float) for j in range(len(table))) for at in range(40 - len(table) + 1)]
+            pooled += np.maximum(np.max(sums, axis=0), 0).tolist()
+        logits = np.array(pooled) @ network.dense + network.bias
+        assert np.allclose(logs, logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max(), atol=1e-4)
+
+
+def test_many_languages_are_learnt_within_bounds(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    monkeypatch.setattr(langid, "MOST_WINDOWS", 30)
+    made = [(i, chr(97 + i % 6) * (20 + i), f"l{i % 6}") for i in range(1200 // 6 * 6) for _ in range(1)]
+    made += [(5000 + i, "bb bb", "l1") for i in range(50)] + [(6000 + i, "cc c", "l2") for i in range(40)]
+    made += [(7000 + i, "ddd", "l3") for i in range(30)] + [(None, "bbbb", "l1")]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    network = langid.train_network(docs, steps=5)
+    assert set(network.languages) <= {"l1", "l2", "l3"}
+    assert [r.h for r in docs.where("doc_id IS NULL").select(langid.held_out().alias("h")).collect()] == [False]
+
+
 def test_language_held_out(spark, docs):
     full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     network = langid.train_network(full)
