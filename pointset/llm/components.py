@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import discard, materialize
+from .shared import discard, materialize, narrow
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -32,11 +32,11 @@ def components(links: DataFrame) -> DataFrame:
     (merged before the shuffle) and joins, whose hot nodes Spark splits.
     """
     ordered = links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    links = materialize(ordered.distinct(), "links")
+    links = materialize(narrow(ordered.distinct()), "links")
     state = _fingerprint(links)
     while True:
-        grown = materialize(_star(links, large=True), "large")
-        shrunk = materialize(_star(grown, large=False), "small")
+        grown = materialize(narrow(_star(links, large=True)), "large")
+        shrunk = materialize(narrow(_star(grown, large=False)), "small")
         discard(grown)
         discard(links)
         links, before = shrunk, state

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, free_shuffles, materialize, text_key
+from .shared import discard, free_shuffles, materialize, narrow, text_key
 from .words import Block, find_words, grams, lower_ascii, mix, text_blocks, whole_runs, word_hashes
 
 # 40 bands of 6 values: a pair at a similarity of 0.8 is missed with odds of 5e-6,
@@ -217,8 +217,10 @@ def near_duplicates(
     free_shuffles(spark)
     sizes = classes.select(F.col("node").alias("pivot"), F.col("n_shingles").alias("m"))
     stars = materialize(
-        members.where("node != pivot").select("node", "pivot", "n_shingles").distinct().join(sizes, "pivot")
-        .where(_sizes_fit(percent)).select(F.col("pivot").alias("u"), F.col("node").alias("v")),
+        narrow(
+            members.where("node != pivot").select("node", "pivot", "n_shingles").distinct().join(sizes, "pivot")
+            .where(_sizes_fit(percent)).select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+        ),
         "stars",
     )
     wanted = members.select("node.*").distinct()
@@ -410,7 +412,7 @@ def rest_of_buckets(members: DataFrame, found: DataFrame, sets: DataFrame, perce
     Buckets in which a suggested pair fails are compared once more, on the full sets.
     """
     kind = members.schema["node"].dataType.simpleString()
-    first = materialize(components(found), "components")
+    first = materialize(narrow(components(found)), "components")
     short = sets.mapInArrow(short_sets, f"node {kind}, set binary")
     pairs = materialize(_met(deal(members, first), short, percent, False), "pairs")
     links = materialize(verify(pairs.select("u", "v").distinct(), sets, percent), "confirmed")

@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 
 from ..sources.durable import discard, fresh_path, materialize
 
-__all__ = ["discard", "fresh_path", "free_shuffles", "materialize", "part_offsets", "read_table", "text_key"]
+__all__ = ["discard", "fresh_path", "free_shuffles", "materialize", "narrow", "part_offsets", "read_table", "text_key"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def narrow(df: DataFrame) -> DataFrame:
+    """A table of few bytes a row in at most two partitions a core, without a shuffle.
+
+    As written after a shuffle it would be as many files as the shuffle has partitions,
+    most of them tiny.
+    """
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of plans nothing refers to any more.
 
