@@ -127,8 +127,8 @@ def seed_plus_plus(
     chosen: list[np.ndarray] = []
     odds, stuck = None, True
     while len(chosen) < k:
-        # without a centroid there are no distances yet: the first draw stands alone
-        wanted = range(len(chosen), min(k, len(chosen) + DRAWS) if chosen else 1)
+        # until the sum of the odds is known a draw stands alone
+        wanted = range(len(chosen), len(chosen) + 1 if stuck else min(k, len(chosen) + DRAWS))
         if stuck:
             races, horizon, odds = _first_arrivals(frame, seed, wanted)
         else:
@@ -162,8 +162,8 @@ def _arrival(seed: int, draw: int):
 def _first_arrivals(frame: DataFrame, seed: int, draws: range) -> tuple[dict, dict, float]:
     """The earliest arrival of each draw, the time up to which arrivals are known, and the
     sum of the odds.  A minimum is merged before it leaves a task."""
-    live = frame.where("w * d2 > 0").select("id", "x", "w", "d2", *[_arrival(seed, j).alias(f"e{j}") for j in draws])
     odds = F.col("w") * F.col("d2")
+    live = frame.where("w * d2 > 0").select("id", "x", "w", "d2", *[_arrival(seed, j).alias(f"e{j}") for j in draws])
     least = [
         F.min(F.struct((F.col(f"e{j}") / odds).alias("t"), "id", F.col(f"e{j}").alias("e"), "w", "d2", "x")).alias(f"r{j}")
         for j in draws
