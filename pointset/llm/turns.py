@@ -238,6 +238,7 @@ class Conversation:
 
 FACTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "repaired_sha256"]
 STREAMED = ["_conv", "block", "left_at", "entered_at", "audit", *FACTS, "place", "role", "text", "edit"]
+AUDIT, TEXT = STREAMED.index("audit"), STREAMED.index("text")
 STREAMED_TYPES = (
     "_conv string, block long, left_at int, entered_at int, audit string, gaps long, blank long, duplicate long, "
     "truncated long, illegal long, cost long, repaired_sha256 string, place long, role string, text string, edit string"
@@ -254,14 +255,21 @@ def stream(keep_rows: bool, block_rows: int, block_chars: int):
         return table
 
     def run(batches):
-        programme, current, out = Programme(), None, []
-        before = None
+        programme, current, before = Programme(), None, None
+        out, held = [], 0
+
+        def take(rows) -> None:
+            nonlocal held
+            for row in rows:
+                out.append(row)
+                held += len(row[AUDIT] or "") + len(row[TEXT] or "")
+
         for batch in batches:
             names, turns, known, roles, texts, faults, present = (batch[c].tolist() for c in batch.columns)
             for name, turn, has_turn, role, text, fault, here in zip(names, turns, known, roles, texts, faults, present):
                 if current is None or name != current.name:
                     if current is not None:
-                        out.extend(current.close())
+                        take(current.close())
                     current, before = Conversation(name, programme, keep_rows, block_rows, block_chars), None
                 if here:
                     same = (has_turn, turn, role, text)
@@ -269,12 +277,12 @@ def stream(keep_rows: bool, block_rows: int, block_chars: int):
                     if same == before and fault != BLANK:
                         fault = REPEATED
                     before = same
-                    out.extend(current.add(turn if has_turn else None, role, text, fault))
-                if len(out) > 10_000:
+                    take(current.add(turn if has_turn else None, role, text, fault))
+                if len(out) > 10_000 or held > block_chars:
                     yield frame(out)
-                    out = []
+                    out, held = [], 0
         if current is not None:
-            out.extend(current.close())
+            take(current.close())
         if out:
             yield frame(out)
 
