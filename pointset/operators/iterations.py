@@ -96,6 +96,7 @@ def lloyd(
     log: RunLog | None = None,
     cache: str = "none",
     bounds: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Lloyd iterations from ``cents``; returns ``(cid, c, n)``.
 
@@ -110,6 +111,8 @@ def lloyd(
     points that centroids may have moved past are looked at again, and sums change by
     those that go over to another cluster.  Weighted points do without.
 
+    ``tasks`` is the number of partitions at most, if it is known and cannot be asked for.
+
     The log gets the cost, the time, the rows and the distances measured of every
     iteration, from the job that does it.
     """
@@ -125,7 +128,8 @@ def lloyd(
         elif small is None:
             result = _lloyd_as_tables(base, cents, max_iter, tol, weight, log)
         else:
-            tasks = base.rdd.getNumPartitions() if policy.keeps or is_kept(pts) else None
+            if tasks is None and (policy.keeps or is_kept(pts)):
+                tasks = base.rdd.getNumPartitions()
             result = _lloyd_small(base, *small, max_iter, tol, weight, log, tasks)
     policy.release_once(pts, base)
     return result

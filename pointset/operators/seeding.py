@@ -212,12 +212,13 @@ def recluster(candidates: DataFrame, k: int, seed: int = 12345, cache: str = "no
     if n <= k:
         return candidates.select("cid", "c")
     pts = candidates.select(F.col("cid").alias("id"), F.col("c").alias("x"), "w")
-    if is_small(n, 0):
-        pts = pts.coalesce(max(1, n // 10_000))
+    tasks = max(1, n // 10_000) if is_small(n, 0) else None
+    if tasks:
+        pts = pts.coalesce(tasks)
     policy = Cache(cache)
     pts = policy.hold(pts)
     start = seed_plus_plus(pts, k, "w", seed)
-    final = lloyd(pts, start, RECLUSTER_ITERATIONS, tol=None, weight="w")
+    final = lloyd(pts, start, RECLUSTER_ITERATIONS, tol=None, weight="w", tasks=tasks)
     policy.release(pts)
     return final
 
