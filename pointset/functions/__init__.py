@@ -1,8 +1,11 @@
-from .random import exponential_race, uniform
+from .random import bound_digits, digits_of, draw_start, exponential_race, uniform
 from .vector import dim_of, sq_dist, tag_dim, vector_literal
 
 __all__ = [
+    "bound_digits",
+    "digits_of",
     "dim_of",
+    "draw_start",
     "exponential_race",
     "sq_dist",
     "tag_dim",

@@ -18,9 +18,16 @@ HEX_DIGITS = 13
 SCALE = "4503599627370496D"
 
 
+def _digits(seed: int, tag: str, key: str) -> str:
+    return _digits_of(f"'{int(seed)}|{tag}|'", key)
+
+
+def _digits_of(start: str, key: str) -> str:
+    return f"substring(md5(cast(concat({start}, cast({key} as string)) as binary)), 1, {HEX_DIGITS})"
+
+
 def _bits(seed: int, tag: str, key: str) -> str:
-    text = f"concat('{int(seed)}|{tag}|', cast({key} as string))"
-    return f"cast(conv(substring(md5(cast({text} as binary)), 1, {HEX_DIGITS}), 16, 10) as bigint)"
+    return f"cast(conv({_digits(seed, tag, key)}, 16, 10) as bigint)"
 
 
 def uniform_sql(seed: int, tag: str, key: str) -> str:
@@ -32,6 +39,24 @@ def uniform(seed: int, tag: str, key: str = "id") -> Column:
     return F.expr(uniform_sql(seed, tag, key))
 
 
+def bound_digits(bound: str) -> Column:
+    """A bound as digits: those of a key are less just if its uniform number is."""
+    steps = f"lpad(lower(hex(cast(ceil(({bound}) * {SCALE}) as bigint))), {HEX_DIGITS}, '0')"
+    return F.expr(f"CASE WHEN ({bound}) >= 1 THEN 'g' WHEN ({bound}) > 0 THEN {steps} ELSE '' END")
+
+
+def digits_of(start: str, key: str = "id") -> Column:
+    """The digits behind a uniform number, as text: comparing them needs no conversion.
+
+    ``start`` is a column with the seed and the tag, as in ``draw_start``.
+    """
+    return F.expr(_digits_of(start, key))
+
+
+def draw_start(seed: int, tag: str) -> str:
+    return f"{int(seed)}|{tag}|"
+
+
 def exponential_race(seed: int, tag: str, key: str, weight: str) -> Column:
     """Arrival time of the row; the earliest arrival wins with odds ``weight``.
 

@@ -14,6 +14,7 @@ from ..sources.durable import Cache, discard, is_kept, materialize, measured
 from ..sources.runlog import RunLog
 from . import kernels
 from .nearest import assign, centroid_table, local_centroids, update_centroids
+from .state import in_blocks, keep_points
 from .vectors import vector_aggregate
 
 # Elements per partial-sum row, so that any dimensionality gives the same plan.
@@ -34,7 +35,8 @@ def partial_table(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str |
     """
     mass = [F.col(weight).cast("double").alias("w")] if weight else []
     run = kernels.partial_sums(ids, c, chunk_of(c), weight is not None)
-    return pts.select("x", *mass).mapInArrow(run, kernels.PARTIAL_SUMS)
+    columns = ["n", "x"] if in_blocks(pts) else ["x", *mass]
+    return pts.select(*columns).mapInArrow(run, kernels.PARTIAL_SUMS)
 
 
 def step_sums(pts: DataFrame, ids: np.ndarray, c: np.ndarray, weight: str | None = None) -> DataFrame:
@@ -97,6 +99,7 @@ def lloyd(
     cache: str = "none",
     bounds: bool = False,
     tasks: int | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Lloyd iterations from ``cents``; returns ``(cid, c, n)``.
 
@@ -111,7 +114,8 @@ def lloyd(
     points that centroids may have moved past are looked at again, and sums change by
     those that go over to another cluster.  Weighted points do without.
 
-    ``tasks`` is the number of partitions at most, if it is known and cannot be asked for.
+    ``tasks`` is the number of partitions at most, if it is known and cannot be asked for;
+    ``vectors`` are those of the points if they are kept already (``keep_points``).
 
     The log gets the cost, the time, the rows and the distances measured of every
     iteration, from the job that does it.
@@ -120,9 +124,12 @@ def lloyd(
         raise ValueError("bounds are kept for points without weights only")
     log = log or RunLog()
     policy = Cache(cache)
-    base = policy.hold_once(pts, pts.select("x", *([weight] if weight else [])))
     with log.timed("lloyd"):
         small = local_centroids(cents)
+        if small is None or weight or bounds:
+            base = policy.hold_once(pts, pts.select("x", *([weight] if weight else [])))
+        else:
+            base = keep_points(pts, policy) if vectors is None else vectors
         if small is not None and bounds:
             result = _lloyd_by_bounds(base, *small, max_iter, tol, log, policy)
         elif small is None:
@@ -131,7 +138,8 @@ def lloyd(
             if tasks is None and (policy.keeps or is_kept(pts)):
                 tasks = base.rdd.getNumPartitions()
             result = _lloyd_small(base, *small, max_iter, tol, weight, log, tasks)
-    policy.release_once(pts, base)
+    if base is not vectors:
+        policy.release_once(pts, base)
     return result
 
 

@@ -20,6 +20,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Cells of a distance matrix held at once (doubles).
 MATRIX_CELLS = 2_000_000
+# Cells of a matrix of scores, which is gone over several times: it stays in the cache.
+SCORE_CELLS = 131_072
+# Centroids of which vectors are summed by one matrix product instead of in order.
+FEW = 32
+# Values of a block of points (doubles): a batch of 10,000 blocks has 40 MB.
+BLOCK_CELLS = 512
+# Many points to a row: the bytes of their matrix, and how many they are.
+BLOCKS = "n int, x binary"
 
 MATCH = "struct<cid:int,d2:double>"
 # A match and the number of distances measured for it.
@@ -49,6 +57,69 @@ def matrix(vectors) -> np.ndarray:
     return flat.reshape(n, len(flat) // n) if n else np.empty((0, 0))
 
 
+def packed() -> Callable:
+    """For ``mapInArrow``: points, many to a row, as the bytes of their matrix.
+
+    The blocks of a batch lie one after the other and are one matrix to a kernel,
+    without a copy; points of a row each are converted one by one in every pass.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch.column("x"))
+            if len(x):
+                yield _blocks(block_sizes(batch, x), x=x)
+
+    return run
+
+
+def _blocks(sizes: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """Arrays with a row per point as the bytes of blocks of these sizes."""
+    ends = np.r_[0, np.cumsum(sizes)]
+    arrays = [pa.array(sizes.astype(np.int32))]
+    for values in columns.values():
+        width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+        parts = [pa.py_buffer((ends * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values).tobytes())]
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(sizes), [None, *parts]))
+    return pa.RecordBatch.from_arrays(arrays, names=["n", *columns])
+
+
+def in_blocks(batch: pa.RecordBatch) -> bool:
+    return pa.types.is_binary(batch.schema.field("x").type)
+
+
+def block_sizes(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
+    """Points of every block, or of those that points ``x`` of a row each are to be put in."""
+    if in_blocks(batch):
+        return batch.column("n").to_numpy()
+    step = max(1, BLOCK_CELLS // max(1, x.shape[1]))
+    return np.minimum(step, len(x) - np.arange(0, len(x), step))
+
+
+def unblocked(batch: pa.RecordBatch, name: str, dtype=np.float64) -> np.ndarray:
+    """The values of all blocks of a batch, in one array."""
+    column = batch.column(name)
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+    data = column.buffers()[2]
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(data, dtype, (ends[-1] - ends[0]) // size, ends[0]) if data and ends[-1] > ends[0] else np.empty(0, dtype)
+
+
+def points(batch: pa.RecordBatch) -> np.ndarray:
+    """The points of a batch as a matrix, whether they have a row each or come in blocks."""
+    if not in_blocks(batch):
+        return matrix(batch.column("x"))
+    if not batch.num_rows:
+        return np.empty((0, 0))
+    column, sizes = batch.column("x"), batch.column("n").to_numpy()
+    lengths = np.diff(np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4))
+    n = int(sizes.sum())
+    dim = int(lengths[0]) // 8 // int(sizes[0])
+    if np.any(lengths != sizes * dim * 8):
+        raise ValueError("vectors must have one length")
+    return unblocked(batch, "x").reshape(n, dim)
+
+
 def pair_distances(x: np.ndarray, c: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     out = np.empty(len(rows))
     step = max(1, MATRIX_CELLS // max(1, x.shape[1]))
@@ -73,28 +144,35 @@ def nearest(x: np.ndarray, c: np.ndarray, skip: np.ndarray | None = None) -> tup
     norms = np.sum(c * c, axis=1)
     reach = np.sqrt(norms.max())
     unit = np.finfo(float).eps * 4 * (x.shape[1] + 8)
-    step = max(1, MATRIX_CELLS // k)
+    step = max(1, SCORE_CELLS // max(k, x.shape[1]))
     for a in range(0, n, step):
         part = x[a : a + step]
-        score = norms - 2.0 * (part @ c.T)
+        # a row per centroid: going over them is fast whatever their number
+        score = norms[:, None] - 2.0 * (c @ part.T)
         if skip is not None:
             own = skip[a : a + step]
             hit = np.flatnonzero(own >= 0)
-            score[hit, own[hit]] = np.inf
-        pos = np.argmin(score, axis=1)
-        size = np.sqrt(np.sum(part * part, axis=1)) + reach
-        close = score <= (score[np.arange(len(part)), pos] + unit * size * size)[:, None]
+            score[own[hit], hit] = np.inf
+        size = np.sqrt(np.einsum("ij,ij->i", part, part)) + reach
+        close = score <= score.min(axis=0) + unit * size * size
         if skip is not None:
             close &= np.isfinite(score)
-        unsure = np.flatnonzero(np.count_nonzero(close, axis=1) > 1)
-        if len(unsure):
-            r, q = np.nonzero(close[unsure])
-            d = pair_distances(part, c, unsure[r], q)
-            order = np.lexsort((q, d, r))
-            first = order[np.r_[True, r[order][1:] != r[order][:-1]]]
-            pos[unsure] = q[first]
+        found, rows = np.nonzero(close)
+        # of several the lowest is written last, and measured below
+        pos = np.zeros(len(part), dtype=np.int64)
+        pos[rows[::-1]] = found[::-1]
+        if len(rows) > len(part) or skip is not None:
+            unsure = np.flatnonzero(np.count_nonzero(close, axis=0) > 1)
+            if len(unsure):
+                r, q = np.nonzero(close[:, unsure].T)
+                d = pair_distances(part, c, unsure[r], q)
+                order = np.lexsort((q, d, r))
+                first = order[np.r_[True, r[order][1:] != r[order][:-1]]]
+                pos[unsure] = q[first]
         where[a : a + step] = pos
-    best[:] = pair_distances(x, c, np.arange(n), where)
+        gap = part - c[pos]
+        gap *= gap
+        best[a : a + step] = np.sum(gap, axis=1)
     if skip is not None:
         best[where == skip] = np.inf
     return where, best
@@ -239,6 +317,71 @@ def _counted(ids: np.ndarray, d2: np.ndarray, counts: np.ndarray) -> pa.StructAr
     return pa.StructArray.from_arrays(arrays, names=["cid", "d2", "n"])
 
 
+def _matched(batch: pa.RecordBatch, x: np.ndarray, ids, c, rank, gaps) -> tuple[np.ndarray, ...]:
+    """Centre, squared distance and distances measured, given the ones the blocks have."""
+    if "cid" not in batch.schema.names:
+        where, d2 = nearest(x, c)
+        return ids[where], d2, np.full(len(x), len(c))
+    old, known = unblocked(batch, "cid", np.int32), unblocked(batch, "d2")
+    where, found, counts = nearer(x, old, known, gaps, c)
+    new = ids[where]
+    better = (found < known) | ((found == known) & (where >= 0) & (rank[new] < rank[old]))
+    return np.where(better, new, old), np.where(better, found, known), counts
+
+
+def matched_blocks(ids: np.ndarray, c: np.ndarray, rank: np.ndarray, gaps: np.ndarray | None) -> Callable:
+    """For ``mapInArrow`` over points or blocks: blocks with centres and squared distances.
+
+    Blocks that have them get the better of these and the nearest row of ``c``, as in
+    ``lower_counted_column``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = points(batch)
+            if len(x):
+                cid, d2, _ = _matched(batch, x, ids, c, rank, gaps)
+                yield _blocks(block_sizes(batch, x), x=x, cid=cid.astype(np.int32), d2=d2)
+
+    return run
+
+
+def matched_sums(
+    ids: np.ndarray, c: np.ndarray, rank: np.ndarray, gaps: np.ndarray | None, sizes: bool = False
+) -> Callable:
+    """For ``mapInArrow`` over points or blocks: what ``matched_blocks`` would hold, added up.
+
+    A task leaves one row, or one per centre with ``sizes``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, d2, measured = (np.zeros(len(rank) if sizes else 1) for _ in range(3))
+        for batch in batches:
+            x = points(batch)
+            if not len(x):
+                continue
+            cid, found, counts = _matched(batch, x, ids, c, rank, gaps)
+            at = cid if sizes else np.zeros(len(x), dtype=np.int64)
+            for total, weights in ((n, None), (d2, found), (measured, counts)):
+                total += np.bincount(at, weights=weights, minlength=len(total))
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(used.astype(np.int32)),
+                pa.array(n[used].astype(np.int64)),
+                pa.array(d2[used]),
+                pa.array(measured[used].astype(np.int64)),
+            ],
+            names=["cid", "n", "d2", "measured"],
+        )
+
+    return run
+
+
+MATCHED_BLOCKS = BLOCKS + ", cid binary, d2 binary"
+MATCHED_SUMS = "cid int, n bigint, d2 double, measured bigint"
+
+
 def two_nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Nearest row of ``c``, the squared distance to it, and a lower bound of the distance
     to every other row."""
@@ -247,14 +390,14 @@ def two_nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     if len(c) > 1:
         norms = np.sum(c * c, axis=1)
         unit = np.finfo(float).eps * 4 * (x.shape[1] + 8)
-        step = max(1, MATRIX_CELLS // len(c))
+        step = max(1, SCORE_CELLS // max(c.shape))
         for a in range(0, len(x), step):
             part, own = x[a : a + step], where[a : a + step]
-            score = norms - 2.0 * (part @ c.T)
-            score[np.arange(len(part)), own] = np.inf
-            sizes = np.sum(part * part, axis=1)
+            score = norms[:, None] - 2.0 * (c @ part.T)
+            score[own, np.arange(len(part))] = np.inf
+            sizes = np.einsum("ij,ij->i", part, part)
             reach = np.sqrt(sizes) + np.sqrt(norms.max())
-            second = score.min(axis=1) + sizes - unit * reach * reach
+            second = score.min(axis=0) + sizes - unit * reach * reach
             other[a : a + step] = np.sqrt(np.maximum(second, 0.0))
     return where, d2, other
 
@@ -338,7 +481,7 @@ def shifted_sums(ids: np.ndarray, c: np.ndarray, fall: float, chunk: int) -> Cal
 
 
 def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) -> Callable:
-    """For ``mapInArrow``: assign each batch and keep only sums per centroid.
+    """For ``mapInArrow`` over points or blocks: assign each and keep only sums per centroid.
 
     A task emits at most one row per centroid and chunk of ``chunk`` elements,
     however many points it reads.
@@ -350,7 +493,7 @@ def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) ->
         count, mass, cost = np.zeros(k, dtype=np.int64), np.zeros(k), np.zeros(k)
         total = np.zeros((k, n_chunks * chunk))
         for batch in batches:
-            x = matrix(batch.column("x"))
+            x = points(batch)
             w = batch.column("w").to_numpy(zero_copy_only=False) if weighted else None
             if weighted:
                 x, w = x[w > 0], w[w > 0]
@@ -360,10 +503,15 @@ def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) ->
             count += np.bincount(where, minlength=k)
             mass += np.bincount(where, weights=w, minlength=k)
             cost += np.bincount(where, weights=d2, minlength=k)
+            mine = x if w is None else x * w[:, None]
+            if k <= FEW:
+                step = max(1, SCORE_CELLS // max(k, dim))
+                for a in range(0, len(x), step):
+                    total[:, :dim] += (where[a : a + step] == np.arange(k)[:, None]).astype(float) @ mine[a : a + step]
+                continue
             order = np.argsort(where, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(where[order]) > 0])
-            mine = x[order] if w is None else x[order] * w[order, None]
-            total[where[order][starts], :dim] += np.add.reduceat(mine, starts, axis=0)
+            total[where[order][starts], :dim] += np.add.reduceat(mine[order], starts, axis=0)
         used = np.flatnonzero(count)
         if not len(used):
             return

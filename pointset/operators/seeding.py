@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import exponential_race, tag_dim, uniform
+from ..functions import bound_digits, digits_of, draw_start, exponential_race, tag_dim, uniform
 from ..functions.random import uniform_sql
 from ..sources import durable
 from ..sources.durable import Cache, discard, is_small, materialize, measured
@@ -18,18 +18,20 @@ from . import kernels
 from .iterations import lloyd
 from .nearest import assign, centroid_table, cluster_sizes, cost, local_centroids
 from .prepare import dense_index
-from .state import NearestState
+from .state import BlockState, NearestState, keep_points
 
 RECLUSTER_ITERATIONS = 100
-# A round also fetches the candidates it would need if the cost fell this much.
+# A round also fetches the candidates it would need if the cost fell this much, and, for
+# up to AHEAD rounds, more as often as there are rounds to come.
 COST_DROP = 4.0
+AHEAD = 3
 # Draws of the weighted seeding looked at in one pass, and arrivals expected for each.
 DRAWS = 16
 FETCHED = 64
 # Standard deviations by which more keys than wanted are looked at.
 KEYS_SPARE = 8.0
-# Rows on which the hits of a round come to the driver.
-HIT_ROWS = 1024
+# Early hits that are fetched for more than one round at once.
+HIT_ROWS = 16_384
 
 
 def init_from_set(
@@ -57,7 +59,9 @@ def _smallest_keys(pts: DataFrame, k: int, seed: int, total: int | None) -> Data
     keyed = pts.select("id", "x", uniform(seed, "init").alias("u"))
     near = keyed
     if total and (k + KEYS_SPARE * math.sqrt(k)) < total:
-        near = keyed.where(F.col("u") < F.lit((k + KEYS_SPARE * math.sqrt(k)) / total))
+        top = (k + KEYS_SPARE * math.sqrt(k)) / total
+        few = pts.where(digits_of(f"'{draw_start(seed, 'init')}'") < bound_digits(f"{top!r}D"))
+        near = few.select("id", "x", uniform(seed, "init").alias("u")).where(F.col("u") < F.lit(top))
     got = near.orderBy("u", "id").limit(k).select("x").toArrow()
     if near is not keyed and got.num_rows < k:
         got = keyed.orderBy("u", "id").limit(k).select("x").toArrow()
@@ -231,19 +235,21 @@ def init_parallel(
     log: RunLog | None = None,
     cache: str = "none",
     total: int | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Scalable k-means seeding by oversampling (k-means||).
 
-    One pass over the points per round: the pass that lowers the distances for
-    the latest candidates returns the new cost and, at the same time, every
-    point that the next round could draw unless the cost falls by more than
-    ``COST_DROP``; if it does, the draw is repeated with the right cost.  ``total``, the
-    number of points, speeds up the first draw.
+    One pass over the vectors per round tells the new cost.  Draws are keyed by round and
+    id, and odds only rise as the cost falls: a pass over the points with their ids
+    fetches every point that the rounds to come could draw unless the cost falls by more
+    than was allowed for; if it does, the next rounds are fetched again.  ``total``, the
+    number of points, speeds up the first draw; ``vectors`` are those of the points, kept
+    already.
     """
     l = float(2 * k if l is None else l)
     timer = log or RunLog()
     with timer.timed("init"):
-        candidates = oversampled_candidates(pts, l, seed, timer, cache, total)
+        candidates = oversampled_candidates(pts, l, seed, timer, cache, total, vectors)
         if candidates is None:
             return init_from_set(pts, 1, seed, total=total)
         return recluster(candidates, k, seed, cache)
@@ -261,6 +267,7 @@ def oversampled_candidates(
     log: RunLog | None = None,
     cache: str = "none",
     total: int | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame | None:
     """Weighted distinct candidates ``(cid, c, w)``; ``None`` if the first cost is 0.
 
@@ -270,41 +277,44 @@ def oversampled_candidates(
     log = log or RunLog()
     spark = pts.sparkSession
     policy = Cache(cache)
-    base = policy.hold_once(pts, pts.select("id", "x"))
-    first = local_centroids(init_from_set(base, 1, seed, total=total))[1]
+    rows = pts.select("id", "x")
+    base = keep_points(pts, policy) if vectors is None else vectors
+    first = local_centroids(init_from_set(rows, 1, seed, total=total))[1]
     dim = first.shape[1]
-    state = NearestState(base, policy)
-    frame = state.add(first)
-    psi, drawn, facts = _cost_and_draw(frame, None, l, seed, 0)
+    state = BlockState(base, policy)
+    state.add(first)
+    psi, facts = _cost(state)
     _log_pass(log, psi, facts, 0)
     if psi == 0:
-        policy.release_once(pts, base)
+        _release(pts, vectors, base, policy)
         return None
     n_rounds = rounds(psi)
+    early = None
     for r in range(n_rounds):
-        if not _fits(len(state.centres) + COST_DROP * l + (0 if drawn is None else len(drawn)), dim):
+        if not _fits(len(state.centres) + COST_DROP * l, dim):
             cents = centroid_table(spark, range(len(state.centres)), state.centres)
-            table = materialize(frame.select("id", "x", "cid", "d2"), "state")
+            table = materialize(_nearest_known(rows, state), "state")
             state.close()
-            weighted = _candidates_as_tables(base, cents, table, psi, l, seed, log, range(r, n_rounds), facts)
-            policy.release_once(pts, base)
+            weighted = _candidates_as_tables(rows, cents, table, psi, l, seed, log, range(r, n_rounds), facts)
+            _release(pts, vectors, base, policy)
             return weighted
         with log.timed("init", "tSamples", r):
-            if drawn is None:
-                drawn = _draw(frame, l, psi, seed, r)
+            if early is None or not early.hold(psi, r):
+                early = EarlyHits(rows, state, psi, l, seed, range(r, n_rounds))
+            drawn = early.drawn(psi, r)
         with log.timed("init", "tCentroids", r):
             if len(drawn):
-                frame = state.add(drawn)
-            if len(drawn) or r + 1 < n_rounds:
-                psi, drawn, facts = _cost_and_draw(frame, psi, l, seed, r + 1)
+                state.add(drawn)
+                early.lower(drawn)
+                psi, facts = _cost(state)
                 state.settled()
         _log_pass(log, psi, facts, r + 1)
         if psi == 0:
             break
     # `rank` numbers the distinct candidates in vector order, so equal ones merge.
-    counts = {row.cid: row.n for row in cluster_sizes(frame).collect()}
+    counts = state.sizes()
     state.close()
-    policy.release_once(pts, base)
+    _release(pts, vectors, base, policy)
     distinct = np.unique(state.centres, axis=0)
     weights = np.zeros(len(distinct))
     for cid, n in counts.items():
@@ -312,14 +322,63 @@ def oversampled_candidates(
     return centroid_table(spark, range(len(distinct)), distinct, w=weights)
 
 
-def _hit(l: float, psi: float, seed: int, r: int):
-    u = uniform(seed, str(r))
-    hit = u < F.lit(l) * F.col("d2") / F.lit(psi)
-    return F.when(hit, F.struct("id", u.alias("u"), "d2", "x"))
+def _release(pts: DataFrame, vectors: DataFrame | None, base: DataFrame, policy: Cache) -> None:
+    if vectors is None:
+        policy.release_once(pts, base)
+
 
+def _nearest_known(rows: DataFrame, state: NearestState) -> DataFrame:
+    """The points with the nearest of all centres so far."""
+    order = np.argsort(state.rank, kind="stable")
+    found = kernels.nearest_column(F.col("x"), order, state.centres[order]).alias("_m")
+    return rows.select("id", "x", found).select("id", "x", F.col("_m.cid").alias("cid"), F.col("_m.d2").alias("d2"))
 
-# What a pass of k-means|| is asked besides its cost: points read and distances measured.
-FACTS = {"nRows": "count(*)", "nDistances": "sum(measured)"}
+
+class EarlyHits:
+    """Points that the next rounds may draw, fetched in one pass over ids and vectors.
+
+    A round draws a point if its uniform number is below ``l * d2 / psi``.  Distances only
+    fall, so those of now and a cost that may still fall give a bound for several rounds,
+    as many as are expected to fetch ``HIT_ROWS`` rows at most, one at least.
+    """
+
+    def __init__(self, rows: DataFrame, state: NearestState, psi: float, l: float, seed: int, left: range):
+        self.l = l
+        most = HIT_ROWS if _fits(HIT_ROWS, state.centres.shape[1]) else 0
+        few = [n for n in range(1, len(left) + 1) if n * l * COST_DROP ** min(AHEAD, n) <= most]
+        wanted = left[: max(few, default=1)]
+        self.floor = psi / COST_DROP ** min(AHEAD, len(wanted))
+        measured = _nearest_known(rows, state)
+        bound = f"{float(l)!r}D * d2 / {float(self.floor)!r}D"
+        starts = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(draw_start(seed, str(r))).alias("start")) for r in wanted])
+        draws = measured.withColumn("most", bound_digits(bound)).select("*", F.inline(starts))
+        # text is compared: of the few hits only the numbers are made
+        hits = draws.select("id", "x", "d2", "r", "most", digits_of("start").alias("digits")).where("digits < most")
+        self.hits: dict = {r: [] for r in wanted}
+        for row in hits.select("id", "x", "d2", "r", "digits").collect():
+            self.hits[row.r].append(row)
+        for r in wanted:
+            found = sorted(self.hits.pop(r), key=lambda row: row.id)
+            u = [int(row.digits, 16) / 16.0 ** len(row.digits) for row in found]
+            self.hits[r] = np.array(u), np.array([row.x for row in found], dtype=float), np.array([row.d2 for row in found])
+
+    def hold(self, psi: float, r: int) -> bool:
+        """Whether all that round ``r`` may draw at this cost is here."""
+        return r in self.hits and psi >= self.floor
+
+    def drawn(self, psi: float, r: int) -> np.ndarray:
+        u, x, d2 = self.hits[r]
+        return x[u < self.l * d2 / psi]
+
+    def lower(self, new: np.ndarray) -> None:
+        """Distances after more candidates."""
+        for r, (u, x, d2) in self.hits.items():
+            if len(x):
+                self.hits[r] = u, x, np.minimum(d2, kernels.nearest(x, new)[1])
+
+
+# What a pass of k-means|| tells besides its cost: points read and distances measured.
+FACTS = {"nRows": "n", "nDistances": "measured"}
 
 
 def _log_pass(log: RunLog, psi: float, facts: dict, r: int) -> None:
@@ -328,30 +387,9 @@ def _log_pass(log: RunLog, psi: float, facts: dict, r: int) -> None:
         log.add("init", metric, value, r)
 
 
-def _cost_and_draw(frame: DataFrame, before: float | None, l: float, seed: int, r: int):
-    """Cost of the generation, the next candidates if it fell moderately, and ``FACTS``.
-
-    The hits come in up to ``HIT_ROWS`` rows: no task gathers all of them.
-    """
-    asked = [F.sum("d2").alias("psi"), *[F.expr(value).alias(name) for name, value in FACTS.items()]]
-    if before is None:
-        row = frame.agg(*asked).head()
-        return _checked(row.psi), None, {name: row[name] for name in FACTS}
-    floor = before / COST_DROP
-    slot = F.pmod(F.spark_partition_id(), F.lit(HIT_ROWS)).alias("slot")
-    parts = frame.groupBy(slot).agg(*asked, F.collect_list(_hit(l, floor, seed, r)).alias("hits"))
-    rows = sorted(parts.collect(), key=lambda row: row.slot)
-    psi = _checked(math.fsum(row.psi for row in rows) if rows else None)
-    facts = {name: sum(row[name] for row in rows) for name in FACTS}
-    if psi < floor:
-        return psi, None, facts
-    kept = sorted((h for row in rows for h in row.hits if h.u < l * h.d2 / psi), key=lambda h: h.id)
-    return psi, np.array([h.x for h in kept], dtype=float), facts
-
-
-def _draw(frame: DataFrame, l: float, psi: float, seed: int, r: int) -> np.ndarray:
-    rows = oversample(frame, l, psi, seed, r).select("id", "x").collect()
-    return np.array([row.x for row in sorted(rows, key=lambda row: row.id)], dtype=float)
+def _cost(state: BlockState) -> tuple[float, dict]:
+    row = state.totals()
+    return _checked(row.psi), {metric: row[name] for metric, name in FACTS.items()}
 
 
 def _checked(psi) -> float:

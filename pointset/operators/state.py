@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.durable import Cache, discard, materialize
+from ..sources.durable import Cache, discard, is_kept, materialize
 from . import kernels
 
 # Cells (centres x dimensions) compared anew in each pass before the result is
@@ -24,6 +25,23 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([np.sum((a - row) ** 2, axis=1) for row in b], axis=1)
 
 
+def in_blocks(pts: DataFrame) -> bool:
+    return isinstance(pts.schema["x"].dataType, T.BinaryType)
+
+
+def keep_points(pts: DataFrame, policy: Cache, again: bool = False) -> DataFrame:
+    """The vectors for many passes: kept in blocks, unless they are kept already or nothing is.
+
+    A block holds the bytes of many points: half the memory of a row each, and none of
+    them is converted again on its way to a kernel.  ``again`` also makes blocks of what
+    is kept.
+    """
+    vectors = pts.select("x")
+    if not policy.keeps or is_kept(pts) and not again:
+        return vectors
+    return policy.hold(vectors.mapInArrow(kernels.packed(), kernels.BLOCKS))
+
+
 class NearestState:
     """Keeps ``cid`` (order of arrival) and ``d2`` up to date as centres are added.
 
@@ -55,22 +73,31 @@ class NearestState:
         # Place of each centre among the distinct ones in vector order: settles
         # ties, so that ids can be replaced by these places in the end.
         self.rank = np.unique(self.centres, axis=0, return_inverse=True)[1].reshape(-1)
+        self.df = self._matched()
+        return self.df
+
+    def _latest(self) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray | None]:
+        """The latest generation, the centres that came after it and their gaps to the others."""
         ids = np.arange(self._folded, len(self.centres))
         ids = ids[np.argsort(self.rank[ids], kind="stable")]
-        x, block = F.col("x"), self.centres[ids]
+        block = self.centres[ids]
         if self._generation is None:
-            source, found = self.base, kernels.first_counted_column(x, ids, block)
+            return self.base, ids, block, None
+        few = self._folded * len(block) <= GAP_CELLS
+        return self._generation, ids, block, squared_distances(self.centres[: self._folded], block) if few else None
+
+    def _matched(self) -> DataFrame:
+        source, ids, block, gaps = self._latest()
+        x = F.col("x")
+        if self._generation is None:
+            found = kernels.first_counted_column(x, ids, block)
         else:
-            source = self._generation
-            few = self._folded * len(block) <= GAP_CELLS
-            gaps = squared_distances(self.centres[: self._folded], block) if few else None
             found = kernels.lower_counted_column(x, F.col("cid"), F.col("d2"), ids, block, self.rank, gaps)
         columns = self.base.columns
         matched = source.select(*columns, found.alias("_m"))
-        self.df = matched.select(
+        return matched.select(
             *columns, F.col("_m.cid").alias("cid"), F.col("_m.d2").alias("d2"), F.col("_m.n").alias("measured")
         )
-        return self.df
 
     def _fold(self, known: int) -> None:
         """Make the current state the generation that later passes start from."""
@@ -99,3 +126,25 @@ class NearestState:
         for df in [d for d in self._written if d is not latest]:
             discard(df)
             self._written.remove(df)
+
+
+class BlockState(NearestState):
+    """The same for vectors without ids, in rows or in blocks, of which sums are asked only."""
+
+    def _matched(self) -> DataFrame:
+        source, ids, block, gaps = self._latest()
+        return source.mapInArrow(kernels.matched_blocks(ids, block, self.rank, gaps), kernels.MATCHED_BLOCKS)
+
+    def _sums(self, sizes: bool) -> DataFrame:
+        source, ids, block, gaps = self._latest()
+        run = kernels.matched_sums(ids, block, self.rank, gaps, sizes)
+        return source.mapInArrow(run, kernels.MATCHED_SUMS)
+
+    def totals(self):
+        """``psi, n, measured`` of all points: cost, rows and distances measured; null without rows."""
+        asked = [F.sum("d2").alias("psi"), F.sum("n").alias("n"), F.sum("measured").alias("measured")]
+        return self._sums(False).agg(*asked).head()
+
+    def sizes(self) -> dict[int, int]:
+        """Points of every centre that has some."""
+        return {row.cid: row.n for row in self._sums(True).groupBy("cid").agg(F.sum("n").alias("n")).collect()}

@@ -14,6 +14,7 @@ from ..operators.iterations import lloyd
 from ..operators.nearest import assign
 from ..operators.prepare import minmax_rescale, numeric_columns
 from ..operators.seeding import init_from_set, init_from_space, init_parallel
+from ..operators.state import keep_points
 from ..operators.vectors import vector_aggregate
 from ..sources.durable import Cache, Lifetime, table_scope
 from ..sources.points import to_points, with_partitions
@@ -117,18 +118,24 @@ def cluster(
     with lifetime.active(), log.timed("total"):
         with log.timed("pre"):
             ready, labels, n = prepare(pts, rescale)
-            # What is released after the run is kept without the labels.
+            # What is released after the run is kept without the labels, and for the passes
+            # over many points without the ids, which only draws ask for.
             keeps_all = cache == "persist"
-            kept = policy.hold(spread(ready if keeps_all else ready.select("id", "x"), partitions, policy, n))
+            rows = ready if keeps_all else ready.select("id", "x")
+            kept = spread(rows, partitions, policy, n)
+            if keeps_all or kept is not rows:
+                kept = policy.hold(kept)
+            vectors = keep_points(kept, policy, again=not keeps_all)
         k = labels if k is None else k
         if init == "parallel":
-            start = init_parallel(kept, k, l, seed, log, cache, n)
+            start = init_parallel(kept, k, l, seed, log, cache, n, vectors)
         elif init == "naive":
             start = init_from_set(kept, k, seed, log, n)
         else:
             start = init_from_space(pts.sparkSession, k, dim_of(ready), seed)
-        cents = lloyd(kept, start, max_iter, tol, log=log, cache=cache, bounds=bounds)
-    policy.release(kept)
+        cents = lloyd(kept, start, max_iter, tol, log=log, cache=cache, bounds=bounds, vectors=vectors)
+    for frame in (vectors, kept):
+        policy.release(frame)
     return Clustering(kept if keeps_all else ready, cents, k, log, lifetime)
 
 

@@ -540,3 +540,55 @@ def test_step_shuffles_partial_sums_only(spark, embeddings):
     c = np.array([r.x for r in embeddings.limit(3).collect()])
     plan = iterations.step_sums(embeddings, np.arange(3), c)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") <= 1 and plan.index("MapInArrow") > plan.index("HashAggregate")
+
+
+def test_blocks_hold_the_points_as_they_are(spark, embeddings):
+    from pointset.operators import kernels, state
+
+    want = np.array([r.x for r in embeddings.coalesce(1).select("x").collect()])
+    blocks = state.keep_points(embeddings.coalesce(1), Cache("unpersist"))
+    table = blocks.toArrow().combine_chunks().to_batches()[0]
+    got, sizes = kernels.points(table), kernels.block_sizes(table, want)
+    assert np.array_equal(got, want) and sizes.sum() == len(want)
+    assert sizes.max() * want.shape[1] <= kernels.BLOCK_CELLS
+    blocks.unpersist()
+    # vectors without elements are still counted
+    none = embeddings.select(F.array().cast("array<double>").alias("x"))
+    empty = state.keep_points(none, Cache("unpersist"))
+    assert empty.agg(F.sum("n")).head()[0] == len(want)
+    empty.unpersist()
+
+
+@pytest.mark.parametrize("mode", ["none", "persist", "unpersist"])
+def test_runs_on_blocks_are_those_on_rows(spark, blobs, mode):
+    run = ps.cluster(blobs, k=4, cache=mode, seed=3, rescale=False)
+    want = ps.cluster(blobs, k=4, seed=3, rescale=False)
+    found = [{r.cid: (r.n, *r.c) for r in done.centroids.collect()} for done in (run, want)]
+    assert found[0].keys() == found[1].keys()
+    assert all(found[0][cid] == pytest.approx(found[1][cid]) for cid in found[0])
+    for metric in ("CostInit", "nRows", "nDistances"):
+        assert run.log.values("init", metric) == pytest.approx(want.log.values("init", metric))
+    run.release()
+
+
+def test_rounds_read_the_ids_of_all_points_once(spark, embeddings, monkeypatch):
+    """A pass of k-means|| takes no ids: draws of all rounds come from one."""
+    pts = embeddings.select("id", F.transform("x", lambda v: v * 0.22).alias("x"))
+    passes = []
+    early = seeding.EarlyHits.__init__
+    monkeypatch.setattr(seeding.EarlyHits, "__init__", lambda self, *a: passes.append(a[-1]) or early(self, *a))
+    log = ps.RunLog()
+    ps.oversampled_candidates(pts, 12, 3, log, "unpersist").collect()
+    assert len(log.values("init", "CostInit")) == 4 and [len(left) for left in passes] == [3]
+
+
+def test_bounds_in_digits(spark):
+    from pointset.functions import bound_digits, digits_of, draw_start
+
+    bounds = [0.0, 1e-9, 0.25, 0.3, 0.5, 0.999999, 1.0, 7.5, 1e300]
+    rows = spark.range(300).crossJoin(spark.createDataFrame([(b,) for b in bounds], "b double"))
+    start = f"'{draw_start(5, 'r')}'"
+    less = digits_of(start) < bound_digits("b")
+    assert rows.where(less != (ps.uniform(5, "r") < F.col("b"))).count() == 0
+    own = spark.range(300).withColumn("b", ps.uniform(5, "r"))
+    assert own.where(digits_of(start) < bound_digits("b")).count() == 0
