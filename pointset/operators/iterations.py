@@ -9,13 +9,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import vector_literal
 from ..sources.durable import Cache, discard, is_kept, materialize, measured
 from ..sources.runlog import RunLog
 from . import kernels
 from .nearest import assign, centroid_table, local_centroids, update_centroids
 from .state import in_blocks, keep_points
-from .vectors import vector_aggregate
 
 # Elements per partial-sum row, so that any dimensionality gives the same plan.
 CHUNK = 32
@@ -126,7 +124,7 @@ def lloyd(
     policy = Cache(cache)
     with log.timed("lloyd"):
         small = local_centroids(cents)
-        if small is None or weight or bounds:
+        if small is None or weight:
             base = policy.hold_once(pts, pts.select("x", *([weight] if weight else [])))
         else:
             base = keep_points(pts, policy) if vectors is None else vectors
@@ -179,8 +177,8 @@ def _lloyd_by_bounds(base, ids, c, max_iter, tol, log, policy) -> DataFrame:
     A generation holds the points with their centroid, the distance to it and a lower
     bound for all others; its sums are on the driver.  Centroids move since by known
     distances: where the one plus its centroid's way is less than the other minus the
-    longest way, the point stays.  That is a filter in the scan, before any vector goes
-    to a kernel.  When too many points pass it, the next iteration is a generation.
+    longest way, the point stays, and its vector is not looked at.  When too many points
+    do not, the next iteration is a generation.
     """
     costs: list[float] = []
     n = np.zeros(len(ids), dtype=np.int64)
@@ -249,18 +247,16 @@ class Generation:
 
     def __init__(self, base: DataFrame, ids: np.ndarray, c: np.ndarray, policy: Cache):
         self.ids, self.c, self.policy = ids, c, policy
-        matched = base.select("x", kernels.bounded_column(F.col("x"), ids, c).alias("_m"))
-        frame = matched.select("x", F.col("_m.cid").alias("cid"), F.sqrt("_m.d2").alias("own"), F.col("_m.other").alias("other"))
+        frame = base.mapInArrow(kernels.bounded_blocks(ids, c), kernels.BOUNDED_BLOCKS)
         self.df = policy.hold(frame) if policy.keeps else materialize(frame, "bounds")
-        origin = c.mean(axis=0)
-        shift = vector_literal(origin)
-        centred = self.df.select("cid", F.zip_with("x", shift, lambda v, o: v - o).alias("x"))
-        squares = F.sum(F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v))
-        rows = vector_aggregate(centred, ["cid"], "x", c.shape[1], {"s": "sum"}, {"n": F.count("*"), "q": squares}).collect()
-        if not rows:
+        origin, chunk = c.mean(axis=0), chunk_of(c)
+        partial = self.df.mapInArrow(kernels.centred_sums(ids, origin, chunk), kernels.PARTIAL_SUMS)
+        rows = _added(partial, chunk).toArrow()
+        if not rows.num_rows:
             raise ValueError("no points to cluster")
-        parts = {row.cid: (row.n, np.array(row.s)) for row in rows}
-        self.sums = ClusterSums(origin, math.fsum(row.q for row in rows), parts)
+        names, n, _, squares, sums = _merged(rows, max(1, -(-c.shape[1] // chunk)), c.shape[1])
+        parts = {int(cid): (int(m), s) for cid, m, s in zip(names, n, sums)}
+        self.sums = ClusterSums(origin, math.fsum(squares), parts)
 
     def since(self, ids: np.ndarray, c: np.ndarray) -> tuple[ClusterSums, int, int]:
         """The sums for centroids that moved since, the points that were looked at and
@@ -270,11 +266,9 @@ class Generation:
         gaps = np.sqrt(np.sum((self.c[at] - c) ** 2, axis=1))
         ways[ids] = gaps
         longest = float(gaps.max())
-        way = F.element_at(F.lit(ways.tolist()), F.col("cid") + 1)
-        loose = self.df.where((F.col("own") + way) * (1.0 + kernels.SLACK) >= F.col("other") - F.lit(longest))
         chunk = chunk_of(c)
-        run = kernels.shifted_sums(ids, c, longest, chunk)
-        partial = loose.select("x", "cid", "other").mapInArrow(run, kernels.PARTIAL_SUMS)
+        run = kernels.shifted_sums(ids, c, ways, longest, chunk)
+        partial = self.df.mapInArrow(run, kernels.PARTIAL_SUMS)
         rows = _added(partial, chunk).toArrow()
         names, n, w, _, sums = _merged(rows, max(1, -(-c.shape[1] // chunk)), c.shape[1])
         facts = dict(zip(names.tolist(), zip(n.astype(int).tolist(), sums)))

@@ -32,8 +32,6 @@ BLOCKS = "n int, x binary"
 MATCH = "struct<cid:int,d2:double>"
 # A match and the number of distances measured for it.
 COUNTED = "struct<cid:int,d2:double,n:int>"
-# A match and a lower bound of the distance to every other centroid.
-BOUNDED = "struct<cid:int,d2:double,other:double>"
 # Share of the distances of a batch up to which the ones that may matter are measured
 # one by one; beyond it one matrix product is faster.
 PICKED = 0.5
@@ -379,6 +377,7 @@ def matched_sums(
 
 
 MATCHED_BLOCKS = BLOCKS + ", cid binary, d2 binary"
+BOUNDED_BLOCKS = BLOCKS + ", cid binary, own binary, other binary"
 MATCHED_SUMS = "cid int, n bigint, d2 double, measured bigint"
 
 
@@ -402,25 +401,68 @@ def two_nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return where, d2, other
 
 
-def bounded_column(x: Column, ids: np.ndarray, c: np.ndarray) -> Column:
-    """Struct column of the nearest centroid and the bound of ``two_nearest``."""
+def bounded_blocks(ids: np.ndarray, c: np.ndarray) -> Callable:
+    """For ``mapInArrow`` over points or blocks: blocks with the nearest centroid, the
+    distance to it and the bound of ``two_nearest``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = points(batch)
+            if len(x):
+                where, d2, other = two_nearest(x, c)
+                yield _blocks(block_sizes(batch, x), x=x, cid=ids[where].astype(np.int32), own=np.sqrt(d2), other=other)
+
+    return run
+
+
+def centred_sums(ids: np.ndarray, origin: np.ndarray, chunk: int) -> Callable:
+    """For ``mapInArrow`` over blocks with centroids: counts, vector sums and squares per
+    centroid, vectors taken from ``origin``."""
+    k, dim = len(ids), len(origin)
+    n_chunks = max(1, -(-dim // chunk))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, squares, total = np.zeros(k, dtype=np.int64), np.zeros(k), np.zeros((k, n_chunks * chunk))
+        for batch in batches:
+            x = points(batch)
+            if not len(x):
+                continue
+            where, x = np.searchsorted(ids, unblocked(batch, "cid", np.int32)), x - origin
+            count += np.bincount(where, minlength=k)
+            squares += np.bincount(where, weights=np.einsum("ij,ij->i", x, x), minlength=k)
+            _add_rows(total, where, x)
+        used = np.flatnonzero(count)
+        yield from _sum_rows(ids[used], count[used], np.zeros(len(used)), squares[used], total[used], chunk)
+
+    return run
 
-    def run(vectors: pa.Array) -> pa.Array:
-        pts = matrix(vectors)
-        where, d2, other = two_nearest(pts, c) if len(pts) else (np.empty(0, int), np.empty(0), np.empty(0))
-        arrays = [pa.array(ids[where].astype(np.int32)), pa.array(d2), pa.array(other)]
-        return pa.StructArray.from_arrays(arrays, names=["cid", "d2", "other"])
 
-    return F.arrow_udf(run, BOUNDED).asNondeterministic()(x)
+def _sum_rows(ids, n, w, sd2, total: np.ndarray, chunk: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``PARTIAL_SUMS``, a batch per chunk."""
+    for i in range(total.shape[1] // chunk if len(ids) else 0):
+        part = np.ascontiguousarray(total[:, i * chunk : (i + 1) * chunk])
+        offsets = np.arange(0, part.size + 1, chunk, dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.asarray(ids, dtype=np.int32)),
+                pa.array(np.full(len(ids), i, dtype=np.int32)),
+                pa.array(np.asarray(n, dtype=np.int64)),
+                pa.array(np.asarray(w, dtype=float)),
+                pa.array(np.asarray(sd2, dtype=float)),
+                pa.ListArray.from_arrays(offsets, pa.array(part.ravel())),
+            ],
+            names=["cid", "chunk", "n", "w", "sd2", "s"],
+        )
 
 
-def shifted_sums(ids: np.ndarray, c: np.ndarray, fall: float, chunk: int) -> Callable:
-    """For ``mapInArrow`` over loose points: what leaves and joins each cluster.
+def shifted_sums(ids: np.ndarray, c: np.ndarray, ways: np.ndarray, fall: float, chunk: int) -> Callable:
+    """For ``mapInArrow`` over the blocks of a generation: what leaves and joins each cluster.
 
-    Columns ``x, cid, other``: ``cid`` is the cluster of the generation, ``other`` its
-    lower bound there, which has fallen by at most ``fall`` since.  A point still nearer
-    to its own centroid stays, at the cost of one distance; the others are measured
-    against all.  A task leaves a row per cluster that changed (and chunk), and one with
+    ``cid`` is a point's cluster there, whose centroid went ``ways[cid]`` since, ``own`` the
+    distance to it, and ``other`` a lower bound for all others, which has fallen by at most
+    ``fall``.  Where the bounds tell that the point stays its vector is not looked at.  A
+    loose point still nearer to its own centroid stays, at the cost of one distance; the
+    others are measured against all.  A task leaves a row per cluster that changed (and chunk), and one with
     id -1 that holds the number of points seen and of those measured against all.
     """
     k, dim = c.shape
@@ -442,11 +484,15 @@ def shifted_sums(ids: np.ndarray, c: np.ndarray, fall: float, chunk: int) -> Cal
                 total[slot][:dim] += sign * x[rows].sum(axis=0)
 
         for batch in batches:
-            if not batch.num_rows:
+            x = points(batch)
+            if not len(x):
                 continue
-            x = matrix(batch.column("x"))
-            old = batch.column("cid").to_numpy(zero_copy_only=False).astype(np.int64)
-            bound = batch.column("other").to_numpy(zero_copy_only=False) - fall
+            old = unblocked(batch, "cid", np.int32)
+            bound = unblocked(batch, "other") - fall
+            passed = np.flatnonzero((unblocked(batch, "own") + ways[old]) * (1.0 + SLACK) >= bound)
+            if not len(passed):
+                continue
+            x, old, bound = x[passed], old[passed].astype(np.int64), bound[passed]
             at = np.searchsorted(ids, old)
             live = (at < k) & (ids[np.minimum(at, k - 1)] == old)
             own = np.full(len(x), np.inf)
@@ -462,24 +508,26 @@ def shifted_sums(ids: np.ndarray, c: np.ndarray, fall: float, chunk: int) -> Cal
             add(new[changed], x[loose][changed], 1)
         names = [-1, *slots]
         sums = np.vstack([np.zeros(n_chunks * chunk), *total])
-        for i in range(n_chunks):
-            part = np.ascontiguousarray(sums[:, i * chunk : (i + 1) * chunk])
-            offsets = np.arange(0, part.size + 1, chunk, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names, pa.int32()),
-                    pa.array(np.full(len(names), i, dtype=np.int32)),
-                    pa.array([seen, *count], pa.int64()),
-                    pa.array([float(full), *[0.0] * len(count)]),
-                    pa.array(np.zeros(len(names))),
-                    pa.ListArray.from_arrays(offsets, pa.array(part.ravel())),
-                ],
-                names=["cid", "chunk", "n", "w", "sd2", "s"],
-            )
+        nothing = np.zeros(len(names))
+        yield from _sum_rows(names, [seen, *count], [float(full), *nothing[1:]], nothing, sums, chunk)
 
     return run
 
 
+def _add_rows(total: np.ndarray, where: np.ndarray, x: np.ndarray) -> None:
+    """Add every row of ``x`` to the row of ``total`` it belongs to."""
+    k, dim = len(total), x.shape[1]
+    if k <= FEW:
+        step = max(1, SCORE_CELLS // max(k, dim))
+        for a in range(0, len(x), step):
+            own = where[a : a + step] == np.arange(k)[:, None]
+            total[:, :dim] += own.astype(float) @ x[a : a + step]
+        return
+    order = np.argsort(where, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(where[order]) > 0])
+    total[where[order][starts], :dim] += np.add.reduceat(x[order], starts, axis=0)
+
+
 def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) -> Callable:
     """For ``mapInArrow`` over points or blocks: assign each and keep only sums per centroid.
 
@@ -503,32 +551,11 @@ def partial_sums(ids: np.ndarray, c: np.ndarray, chunk: int, weighted: bool) ->
             count += np.bincount(where, minlength=k)
             mass += np.bincount(where, weights=w, minlength=k)
             cost += np.bincount(where, weights=d2, minlength=k)
-            mine = x if w is None else x * w[:, None]
-            if k <= FEW:
-                step = max(1, SCORE_CELLS // max(k, dim))
-                for a in range(0, len(x), step):
-                    total[:, :dim] += (where[a : a + step] == np.arange(k)[:, None]).astype(float) @ mine[a : a + step]
-                continue
-            order = np.argsort(where, kind="stable")
-            starts = np.flatnonzero(np.r_[True, np.diff(where[order]) > 0])
-            total[where[order][starts], :dim] += np.add.reduceat(mine[order], starts, axis=0)
+            _add_rows(total, where, x if w is None else x * w[:, None])
         used = np.flatnonzero(count)
         if not len(used):
             return
-        for i in range(n_chunks):
-            sums = total[used, i * chunk : (i + 1) * chunk]
-            offsets = np.arange(0, sums.size + 1, chunk, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[used].astype(np.int32)),
-                    pa.array(np.full(len(used), i, dtype=np.int32)),
-                    pa.array(count[used]),
-                    pa.array(mass[used]),
-                    pa.array(cost[used]),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(sums).ravel())),
-                ],
-                names=["cid", "chunk", "n", "w", "sd2", "s"],
-            )
+        yield from _sum_rows(ids[used], count[used], mass[used], cost[used], total[used], chunk)
 
     return run
 

@@ -592,3 +592,24 @@ def test_bounds_in_digits(spark):
     assert rows.where(less != (ps.uniform(5, "r") < F.col("b"))).count() == 0
     own = spark.range(300).withColumn("b", ps.uniform(5, "r"))
     assert own.where(digits_of(start) < bound_digits("b")).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["none", "unpersist"])
+def test_a_generation_holds_blocks(spark, blobs, mode):
+    from pointset.operators import iterations, state
+
+    x = np.array([r.x for r in blobs.orderBy("id").collect()])
+    pts, c = blobs.select("x").coalesce(2), x[:3]
+    found = iterations.Generation(pts, np.arange(3), c, Cache(mode))
+    assert state.in_blocks(found.df) and found.df.agg(F.sum("n")).head()[0] == len(x) > found.df.count()
+    near = np.argmin(((x[:, None] - c) ** 2).sum(axis=2), axis=1)
+    assert found.sums.counts().tolist() == np.bincount(near).tolist()
+    assert np.allclose(found.sums.means(), [x[near == j].mean(axis=0) for j in range(3)])
+    # all look alike to the bounds, if centroids have not moved
+    sums, loose, full = found.since(np.arange(3), c)
+    assert sums.counts().tolist() == found.sums.counts().tolist() and full <= loose < len(x)
+    moved = found.sums.means()
+    sums, _, _ = found.since(np.arange(3), moved)
+    again = np.argmin(((x[:, None] - moved) ** 2).sum(axis=2), axis=1)
+    assert sums.counts().tolist() == np.bincount(again).tolist()
+    found.close()
